@@ -58,6 +58,26 @@ class LedgerConfig:
     def catalogue_dim(self, spark: SparkSession) -> DataFrame:
         return small_table(spark, self.catalogue_rows(), _CATALOGUE_SCHEMA)
 
+    def names_dim(self, spark: SparkSession, blocks: list, kind: str | None = None) -> DataFrame:
+        """Distinct (dominio, nombre) listed in the first of ``blocks`` that each domain has, optionally of one type."""
+        first = {d: next((b for b in blocks if self.has_block(d, b)), None) for d in self.domains}
+        names = {
+            (domain, name): None
+            for domain, block, type_, name, _ in self.catalogue_rows()
+            if block == first[domain] and (kind is None or type_ == kind)
+        }
+        return small_table(spark, list(names), pa.schema([("dominio", pa.string()), ("nombre", pa.string())]))
+
+    def accounts_dim(self, spark: SparkSession, kinds: list | None = None) -> DataFrame:
+        """Distinct (dominio, nombre, tipo) of the cash block, optionally of some types."""
+        rows = {
+            (domain, name, type_): None
+            for domain, block, type_, name, _ in self.catalogue_rows()
+            if block == "CAJA_ACTUAL" and (kinds is None or type_ in kinds)
+        }
+        schema = pa.schema([("dominio", pa.string()), ("nombre", pa.string()), ("tipo", pa.string())])
+        return small_table(spark, list(rows), schema)
+
     def account_type_dim(self, spark: SparkSession, block: str = "CAJA_ACTUAL") -> DataFrame:
         """(dominio, nombre, tipo_nombre) with the first listed type of every name in a block."""
         first = {}

@@ -1,6 +1,6 @@
 """Catalogue queries and membership joins."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.config import LedgerConfig
@@ -34,23 +34,12 @@ def mark_listed(
     rows: DataFrame, config: LedgerConfig, column: str, flag: str, blocks: list, kind: str | None = None
 ) -> DataFrame:
     """Adds a boolean: is the row's name listed for its domain in the first of ``blocks`` the domain has."""
-    first_block = {d: next((b for b in blocks if config.has_block(d, b)), None) for d in config.domains}
-    dim = config.catalogue_dim(rows.sparkSession).filter(_in_block(first_block))
-    if kind is not None:
-        dim = dim.filter(F.col("tipo") == kind)
-    listed = dim.select(
-        F.col("dominio").alias("_d"), F.col("nombre").alias("_n"), F.lit(True).alias(flag)
-    ).distinct()
-    joined = rows.join(F.broadcast(listed), (rows["dominio"] == F.col("_d")) & (rows[column] == F.col("_n")), "left")
-    return joined.drop("_d", "_n").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
-def _in_block(first_block: dict) -> Column:
-    wanted = [(F.col("dominio") == d) & (F.col("bloque") == b) for d, b in first_block.items() if b]
-    condition = F.lit(False)
-    for one in wanted:
-        condition = condition | one
-    return condition
+    listed = config.names_dim(rows.sparkSession, blocks, kind).select(
+        F.col("dominio").alias("_listado_d"), F.col("nombre").alias("_listado_n"), F.lit(True).alias(flag)
+    )
+    same = (F.col("dominio") == F.col("_listado_d")) & (F.col(column) == F.col("_listado_n"))
+    joined = rows.join(listed, same, "left").drop("_listado_d", "_listado_n")
+    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def selectable(spark: SparkSession, config: LedgerConfig) -> DataFrame:

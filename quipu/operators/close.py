@@ -14,12 +14,8 @@ CARRIED_TYPE = "GASTO"
 
 def _accounts(ledger: DataFrame, config: LedgerConfig, all_types: bool) -> DataFrame:
     """(dominio, origen, tipo_cuenta): the catalogue's cash accounts that a close settles."""
-    dim = config.catalogue_dim(ledger.sparkSession).filter(F.col("bloque") == "CAJA_ACTUAL")
-    if not all_types:
-        dim = dim.filter(F.col("tipo").isin(KEYED_BY_ORIGIN))
-    return F.broadcast(
-        dim.select("dominio", F.col("nombre").alias("origen"), F.col("tipo").alias("tipo_cuenta")).distinct()
-    )
+    dim = config.accounts_dim(ledger.sparkSession, None if all_types else KEYED_BY_ORIGIN)
+    return dim.select("dominio", F.col("nombre").alias("origen"), F.col("tipo").alias("tipo_cuenta"))
 
 
 def closing_balances(

@@ -94,9 +94,9 @@ def projected_amount(report: DataFrame, domain: str, corte: str) -> DataFrame:
     return report.filter(row).agg(F.max("valor_ajustado").alias("caja_proyectada"))
 
 
-def table_view(rows: DataFrame, scale: int = 1) -> DataFrame:
+def table_view(rows: DataFrame, scale: int = 1, digits: int = 3) -> DataFrame:
     concept = F.coalesce(F.nullif(F.col("concepto"), F.lit("")), F.lit("—"))
     return rows.select(
         "dominio", "corte", "seccion", concept.alias("concepto"),
-        millions_text(F.col("valor_ajustado"), 3, scale).alias("valor"),
+        millions_text(F.col("valor_ajustado"), digits, scale).alias("valor"),
     )

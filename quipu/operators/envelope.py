@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from quipu.defaults import EVENT_ACCOUNT, EVENT_CARD, EVENT_PROJECTION
 from quipu.functions.months import as_date
-from quipu.functions.variants import EMPTY_OBJECT, is_falsy, is_object, object_or_empty, part, text, truthy_text
+from quipu.functions.once import with_columns_once
+from quipu.functions.variants import is_falsy, is_object, object_or_empty, part, text, truthy_text
 
 # Form field -> (block, action) that holds it.
 FORM_FIELDS = {
@@ -31,14 +32,18 @@ def normalise(events: DataFrame, raw: str = "raw") -> DataFrame:
     on_bus, by_api = part(event, "$.detail").isNotNull(), part(event, "$.body").isNotNull()
     claims = "$.requestContext.authorizer.claims"
     user = F.coalesce(truthy_text(event, claims + "['cognito:username']"), text(event, claims + ".sub"))
-    return (
-        events.withColumn("_evento", object_or_empty(F.try_parse_json(raw)))
-        .withColumn("source", F.when(on_bus, "eventbridge").when(by_api, "apigateway").otherwise("unknown"))
-        .withColumn("payload", object_or_empty(F.when(on_bus, part(event, "$.detail.payload")).when(by_api, body).otherwise(event)))
-        .withColumn("user_id", F.when(on_bus, text(event, "$.detail.metadata.user_id")).when(by_api, user))
-        .withColumn("channel_id", F.when(on_bus, text(event, "$.detail.metadata.channel_id")))
-        .drop("_evento")
+    payload = F.when(on_bus, part(event, "$.detail.payload")).when(by_api, body).otherwise(event)
+    parsed = events.withColumn("_evento", F.try_parse_json(raw))
+    opened = with_columns_once(
+        parsed,
+        {
+            "source": F.when(on_bus, "eventbridge").when(by_api, "apigateway").otherwise("unknown"),
+            "_contenido": payload,
+            "user_id": F.when(on_bus, text(event, "$.detail.metadata.user_id")).when(by_api, user),
+            "channel_id": F.when(on_bus, text(event, "$.detail.metadata.channel_id")),
+        },
     )
+    return opened.withColumn("payload", object_or_empty(F.col("_contenido"))).drop("_evento", "_contenido")
 
 
 def _form_value(body: Column, name: str) -> Column:
@@ -56,30 +61,33 @@ def decode_requests(requests: DataFrame, body: str = "body") -> DataFrame:
     raw = F.col(body)
     wrapped, command_form = F.startswith(raw, F.lit("payload=")), F.contains(raw, F.lit("trigger_id"))
     parsed = F.try_parse_json(F.when(wrapped, _form_value(raw, "payload")).when(~command_form, raw))
-    request = F.col("request")
+    request, metadata = F.col("request"), F.try_parse_json(text(F.col("request"), "$.view.private_metadata"))
+    opened = with_columns_once(
+        requests,
+        {
+            "request": parsed,
+            "_comando": F.when(~wrapped & command_form, _form_value(raw, "command")),
+            "_canal": F.when(~wrapped & command_form, _form_value(raw, "channel_id")),
+        },
+    )
     command = F.coalesce(F.col("_comando"), text(request, "$.command"))
     kind = text(request, "$.type")
-    return (
-        requests.withColumn("request", object_or_empty(parsed))
-        .withColumn("_comando", F.when(~wrapped & command_form, _form_value(raw, "command")))
-        .withColumn("command", command)
-        .withColumn(
-            "request_class",
-            F.when(command.isNotNull(), "command")
+    return with_columns_once(
+        opened,
+        {
+            "command": command,
+            "request_class": F.when(command.isNotNull(), "command")
             .when(kind == "block_actions", "block_action")
             .when(kind == "view_submission", "submission")
             .otherwise("other"),
-        )
-        .withColumn(
-            "channel_id",
-            F.when(F.col("request_class") == "command", F.coalesce(_form_value(raw, "channel_id"), text(request, "$.channel_id")))
-            .otherwise(text(F.try_parse_json(text(request, "$.view.private_metadata")), "$.channel_id")),
-        )
-        .withColumn("callback_id", text(request, "$.view.callback_id"))
-        .withColumn("user_id", text(request, "$.user.id"))
-        .withColumn("question", text(request, "$.view.state.values.question.question_input.value"))
-        .drop("_comando")
-    )
+            "channel_id": F.when(command.isNotNull(), F.coalesce(F.col("_canal"), text(request, "$.channel_id"))).otherwise(
+                text(metadata, "$.channel_id")
+            ),
+            "callback_id": text(request, "$.view.callback_id"),
+            "user_id": text(request, "$.user.id"),
+            "question": text(request, "$.view.state.values.question.question_input.value"),
+        },
+    ).drop("_comando", "_canal")
 
 
 def form_state(requests: DataFrame, request: str = "request") -> DataFrame:
@@ -93,7 +101,7 @@ def form_state(requests: DataFrame, request: str = "request") -> DataFrame:
             text(F.col(request), at + ".value")
         )
 
-    return requests.withColumn("state", F.struct(*[field(*at).alias(name) for name, at in FORM_FIELDS.items()]))
+    return with_columns_once(requests, {"state": F.struct(*[field(*at).alias(name) for name, at in FORM_FIELDS.items()])})
 
 
 def integer(value: Column) -> Column:
@@ -167,7 +175,3 @@ def file_location(records: DataFrame, raw: str = "raw") -> DataFrame:
         .withColumn("location_error", F.when(~complete, "Evento inválido"))
     )
 
-
-__all__ = [
-    "EMPTY_OBJECT", "bus_message", "decode_requests", "file_location", "form_state", "integer", "normalise", "route", "route_to",
-]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.config import LedgerConfig
+from quipu.config import BROADCAST_ROWS, LedgerConfig
 from quipu.defaults import AUTOMATIC_PROJECTION, PROJECTION_TABLES
 from quipu.functions.months import as_date, month_start, months_from
 
@@ -59,26 +59,37 @@ def projected_months(existing: DataFrame) -> DataFrame:
     return existing.filter(F.col("origen_registro") == AUTOMATIC_PROJECTION).select("dominio", "corte").distinct()
 
 
-def pending(rows: DataFrame, existing: DataFrame) -> DataFrame:
+def pending(rows: DataFrame, existing: DataFrame, at_most: int | None = None) -> DataFrame:
     """Rows of the (dominio, corte) pairs not projected before.
 
-    ``rows`` is configuration-sized, so the months it asks for prune the scan of
-    the existing table first and its distinct pairs stay few.
+    Only the asked-for months of the existing table matter. ``at_most`` is a
+    proven bound on the number of rows; within the broadcast bound they filter
+    (and prune) the existing table without shuffling it.
     """
-    wanted = F.broadcast(rows.select("dominio", "corte").distinct())
-    done = projected_months(existing.join(wanted, ["dominio", "corte"], "left_semi"))
-    return rows.join(done, ["dominio", "corte"], "left_anti")
+    return rows.join(_done(rows, existing, at_most), ["dominio", "corte"], "left_anti")
+
+
+def _done(rows: DataFrame, existing: DataFrame, at_most: int | None) -> DataFrame:
+    wanted = rows.select("dominio", "corte").distinct()
+    if at_most is not None and at_most <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return projected_months(existing.join(wanted, ["dominio", "corte"], "left_semi"))
+
+
+def _run_size(config: LedgerConfig) -> int:
+    return MONTHS_AHEAD * sum(len(concepts) for concepts in config.projections.values())
 
 
 def known_concepts(rows: DataFrame, config: LedgerConfig) -> DataFrame:
     """Rows whose concept is listed among the domain's projections."""
-    listed = config.catalogue_dim(rows.sparkSession).filter(F.col("bloque") == "PROYECCION")
+    listed = config.names_dim(rows.sparkSession, ["PROYECCION"])
     return rows.join(listed.select("dominio", F.col("nombre").alias("concepto")), ["dominio", "concepto"], "left_semi")
 
 
 def new_projections(existing: DataFrame, config: LedgerConfig, corte: str | None = None, as_of=None, stamp=None) -> DataFrame:
     """The projection rows a run inserts; a second run inserts nothing."""
-    rows = known_concepts(pending(expand(existing.sparkSession, config, corte, as_of), existing), config)
+    rows = expand(existing.sparkSession, config, corte, as_of)
+    rows = known_concepts(pending(rows, existing, _run_size(config)), config)
     table = F.create_map(*[F.lit(x) for pair in PROJECTION_TABLES.items() for x in pair])
     return rows.select(
         F.sha2(F.concat_ws("|", F.lit(AUTOMATIC_PROJECTION), "dominio", "corte", "concepto"), 256).alias("trx_id"),
@@ -96,10 +107,10 @@ def run_summary(existing: DataFrame, config: LedgerConfig, corte: str | None = N
     """Per month: the rows inserted and the domains skipped because they were projected before."""
     spark = existing.sparkSession
     rows = expand(spark, config, corte, as_of)
-    wanted = F.broadcast(rows.select("dominio", "corte").distinct())
-    done = projected_months(existing.join(wanted, ["dominio", "corte"], "left_semi")).withColumn("_hecho", F.lit(True))
-    listed = config.catalogue_dim(spark).filter(F.col("bloque") == "PROYECCION")
-    valid = listed.select("dominio", F.col("nombre").alias("concepto"), F.lit(True).alias("_valido"))
+    done = _done(rows, existing, _run_size(config)).withColumn("_hecho", F.lit(True))
+    valid = config.names_dim(spark, ["PROYECCION"]).select(
+        "dominio", F.col("nombre").alias("concepto"), F.lit(True).alias("_valido")
+    )
     marked = rows.join(done, ["dominio", "corte"], "left").join(valid, ["dominio", "concepto"], "left")
     inserted = F.when(F.col("_hecho").isNull() & F.col("_valido"), F.struct("dominio", "concepto", "valor"))
     return marked.groupBy("corte").agg(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from quipu.config import BROADCAST_ROWS
+
 DIMENSION = 1536
 TOP_K = 5
 # Questions are sent to the tasks in blocks of at most this many bytes.
@@ -115,6 +117,12 @@ def nearest_for_all(index: DataFrame, questions: DataFrame, k: int = TOP_K, bloc
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def with_metadata(hits: DataFrame, index: DataFrame, at_most: int) -> DataFrame:
+    """Hits with their index metadata. ``at_most`` bounds the hits (k per question)."""
+    side = F.broadcast(hits) if at_most <= BROADCAST_ROWS else hits
+    return index.select("key", "metadata").join(side, "key")
+
+
 NO_CONTEXT = "No se encontró información relevante."
 
 
@@ -142,6 +150,12 @@ def context(questions: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def answer_context(index: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+    """(question_id, contexto) for every question against the index."""
+    hits = nearest_for_all(index, questions, k)
+    return context(questions, with_metadata(hits, index, k * questions.count()))
+
+
 def valid_questions(requests: DataFrame) -> DataFrame:
     """Requests that have both a question and a channel."""
     return requests.filter((F.coalesce("question", F.lit("")) != "") & (F.coalesce("channel_id", F.lit("")) != ""))

@@ -54,7 +54,8 @@ def change_records(rows: DataFrame) -> DataFrame:
     card, budget = F.col("tipo") == "TARJETA", F.col("tipo") == "GASTO"
     image = attributes(
         {
-            "trx_id": ("S", F.col("trx_id")),
+            # Padded, so that ids sort as text the way they sort as numbers.
+            "trx_id": ("S", F.lpad(F.col("trx_id").cast("string"), 20, "0")),
             "created_at": ("S", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss")),
             "dominioFinanciero": ("S", F.col("dominio")),
             "corte": ("S", F.col("corte")),
