@@ -113,7 +113,13 @@ def run_summary(existing: DataFrame, config: LedgerConfig, corte: str | None = N
     )
     marked = rows.join(done, ["dominio", "corte"], "left").join(valid, ["dominio", "concepto"], "left")
     inserted = F.when(F.col("_hecho").isNull() & F.col("_valido"), F.struct("dominio", "concepto", "valor"))
-    return marked.groupBy("corte").agg(
+    summary = marked.groupBy("corte").agg(
         F.sort_array(F.collect_list(inserted)).alias("insertados"),
         F.sort_array(F.collect_set(F.when(F.col("_hecho"), F.col("dominio")))).alias("omitidos_por_duplicado"),
     )
+    # Every month of the run is listed, also one without any row.
+    months = spark.range(1).select(F.explode(projection_months(_base(corte, as_of))).alias("corte"))
+    return months.join(summary, "corte", "left").select(
+        "corte",
+        *[F.coalesce(c, F.array().cast(summary.schema[c].dataType)).alias(c) for c in ("insertados", "omitidos_por_duplicado")],
+    )
