@@ -38,6 +38,15 @@ def in_list(value: Column, names) -> Column:
     return F.coalesce(value.isin(list(names)), F.lit(False)) if names else F.lit(False)
 
 
+def sql_text(value: str) -> str:
+    """A configuration text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_list(values) -> str:
+    return "(" + ", ".join(sql_text(v) for v in values) + ")"
+
+
 def millions(value: Column, digits: int = 3, scale: int = 1) -> Column:
     """Amount in millions. ``scale`` is the number of amount units per currency unit (100 for cents)."""
     return F.round(value.cast("decimal(28,2)") / F.lit(1_000_000 * scale).cast("decimal(12,0)"), digits)

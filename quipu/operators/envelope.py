@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from quipu.defaults import EVENT_ACCOUNT, EVENT_CARD, EVENT_PROJECTION
 from quipu.functions.months import as_date
 from quipu.functions.once import with_columns_once
-from quipu.functions.variants import is_falsy, is_object, object_or_empty, part, text, truthy_text
+from quipu.functions.text import blank_to_null
+from quipu.functions.variants import is_falsy, is_object, part, text
 
 # Form field -> (block, action) that holds it.
 FORM_FIELDS = {
@@ -21,29 +22,55 @@ FORM_FIELDS = {
 }
 
 
+# The fields a request payload can carry.
+PAYLOAD_FIELDS = [
+    "Cuenta", "CuentaDestino", "Franquicia", "Descripcion", "Concepto", "Subconcepto", "Valor", "FechaMovimiento", "Corte",
+    "DominioFinanciero",
+]
+_PAYLOAD = ", ".join(f"{f} variant" for f in PAYLOAD_FIELDS)
+_EVENT = (
+    f"detail struct<payload: struct<{_PAYLOAD.replace(' variant', ': variant')}>, metadata: struct<user_id: string, channel_id: string>>, "
+    f"body string, requestContext struct<authorizer: struct<claims: map<string, string>>>, {_PAYLOAD}"
+)
+
+
+def _object(json_text: Column, schema: str) -> Column:
+    """A JSON object as a struct; null for any other text."""
+    return F.when(F.startswith(F.ltrim(json_text), F.lit("{")), F.from_json(json_text, schema))
+
+
+def _has_key(raw: Column, value: Column, key: str) -> Column:
+    """Whether a key is present, be it with a null or an unexpected value (looked at only when the text names it)."""
+    odd = F.when(value.isNull() & F.contains(raw, F.lit(f'"{key}"')), part(F.try_parse_json(raw), f"$.{key}").isNotNull())
+    return value.isNotNull() | F.coalesce(odd, F.lit(False))
+
+
 def normalise(events: DataFrame, raw: str = "raw") -> DataFrame:
-    """Adds payload (variant object), user_id, channel_id and source.
+    """Adds payload (a struct of variants, one per payload field), user_id, channel_id and source.
 
     Bus events carry ``detail``, API calls carry ``body`` (text or object), and
-    anything else is taken as the payload itself. Bad JSON gives an empty payload.
+    anything else is taken as the payload itself. Bad JSON gives an empty
+    payload. One parse reads an event; a body is parsed in turn. The fields stay
+    variants because the number 0 and the text "0" mean different things.
     """
-    event = F.col("_evento")
-    body = F.try_parse_json(text(event, "$.body"))
-    on_bus, by_api = part(event, "$.detail").isNotNull(), part(event, "$.body").isNotNull()
-    claims = "$.requestContext.authorizer.claims"
-    user = F.coalesce(truthy_text(event, claims + "['cognito:username']"), text(event, claims + ".sub"))
-    payload = F.when(on_bus, part(event, "$.detail.payload")).when(by_api, body).otherwise(event)
-    parsed = events.withColumn("_evento", F.try_parse_json(raw))
-    opened = with_columns_once(
-        parsed,
+    text_, event = F.col(raw), F.col("_evento")
+    claims = event["requestContext"]["authorizer"]["claims"]
+    user = F.coalesce(blank_to_null(F.try_element_at(claims, F.lit("cognito:username"))), F.try_element_at(claims, F.lit("sub")))
+    parsed = events.withColumn("_evento", _object(text_, _EVENT))
+    marked = parsed.withColumns(
+        {"_bus": _has_key(text_, event["detail"], "detail"), "_api": _has_key(text_, event["body"], "body")}
+    )
+    on_bus, by_api = F.col("_bus"), F.col("_api")
+    bare = F.struct(*[event[f].alias(f) for f in PAYLOAD_FIELDS])
+    return with_columns_once(
+        marked,
         {
             "source": F.when(on_bus, "eventbridge").when(by_api, "apigateway").otherwise("unknown"),
-            "_contenido": payload,
-            "user_id": F.when(on_bus, text(event, "$.detail.metadata.user_id")).when(by_api, user),
-            "channel_id": F.when(on_bus, text(event, "$.detail.metadata.channel_id")),
+            "payload": F.when(on_bus, event["detail"]["payload"]).when(by_api, _object(event["body"], _PAYLOAD)).otherwise(bare),
+            "user_id": F.when(on_bus, event["detail"]["metadata"]["user_id"]).when(by_api, user),
+            "channel_id": F.when(on_bus, event["detail"]["metadata"]["channel_id"]),
         },
-    )
-    return opened.withColumn("payload", object_or_empty(F.col("_contenido"))).drop("_evento", "_contenido")
+    ).drop("_evento", "_bus", "_api")
 
 
 def _form_value(body: Column, name: str) -> Column:

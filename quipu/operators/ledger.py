@@ -14,10 +14,10 @@ _STEP = KEY + ORDER + ["bloque", "origen", "delta", "por_regla", "limitado"]
 
 def stored_steps(ledger: DataFrame, like: DataFrame) -> DataFrame:
     """A stored ledger as the first step of each of its keys (null order columns sort first)."""
-    order = {c: F.lit(None).cast(like.schema[c].dataType) for c in ORDER}
-    amount = F.col("valor").cast(like.schema["delta"].dataType)
-    flags = {"por_regla": F.lit(False), "limitado": F.lit(False)}
-    return ledger.withColumns({**order, "delta": amount, **flags}).select(*_STEP)
+    types = dict(like.dtypes)
+    order = [f"CAST(NULL AS {types[c]}) AS {c}" for c in ORDER]
+    amount = f"CAST(valor AS {types['delta']}) AS delta"
+    return ledger.selectExpr(*KEY, *order, "bloque", "origen", amount, "false AS por_regla", "false AS limitado")
 
 
 def additive_balances(steps: DataFrame) -> DataFrame:

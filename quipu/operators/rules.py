@@ -1,7 +1,7 @@
 """Compensation rules: movement -> signed postings on balance keys.
 
-A rule set is configuration of bounded size. Every rule condition becomes a
-boolean column expression, so a movement yields the positions of the rules it
+A rule set is configuration of bounded size. Every rule condition becomes one
+boolean SQL expression, so a movement yields the positions of the rules it
 matches (or of the default entry when no normal rule matches) in one
 projection. Those positions are exploded and joined with a broadcast table of
 actions that says how each one posts. All of it is narrow: movements are read
@@ -9,72 +9,67 @@ once and never shuffled to find their postings, and the generated code stays
 small however many actions there are.
 """
 
-from functools import reduce
-
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.config import LedgerConfig, small_table
-from quipu.functions.text import blank_to_null, in_list, keyed_origin
+from quipu.functions.text import sql_list, sql_text
 from quipu.schema import KEYED_BY_ORIGIN
 
 SUPPORTED_OPERATIONS = ("DECREMENTAR", "INCREMENTAR", "ADD", "REPLICAR")
 COMPLEMENTARY = "COMPLEMENTARIA"
 
 
-def rule_condition(rule: dict) -> Column:
-    """Whether a rule applies to a movement; keys that are absent from the rule do not restrict."""
-    concept, domain, origin, target, amount = (
-        F.col(c) for c in ("concepto", "dominio", "origen", "cuenta_destino", "valor")
-    )
-    checks = [in_list(F.col("tipo"), rule["tipos_origen"]), F.col("bloque").eqNullSafe(rule["bloque_origen"])]
-    if "excluir_conceptos" in rule:
-        checks.append(~in_list(concept, rule["excluir_conceptos"]))
-    if "incluir_conceptos" in rule:
-        checks.append(in_list(concept, rule["incluir_conceptos"]))
-    if "excluir_dominio" in rule:
-        checks.append(~in_list(domain, rule["excluir_dominio"]))
-    if "incluir_dominio" in rule:
-        checks.append(in_list(domain, rule["incluir_dominio"]))
+def _listed(column: str, names) -> str:
+    """Membership that is false for a null value and for an empty list."""
+    return f"coalesce({column} IN {sql_list(names)}, false)" if names else "false"
+
+
+def rule_condition(rule: dict) -> str:
+    """SQL condition under which a rule applies; keys that are absent from the rule do not restrict."""
+    checks = [_listed("tipo", rule["tipos_origen"]), f"bloque <=> {sql_text(rule['bloque_origen'])}"]
+    for key, column, wanted in (
+        ("excluir_conceptos", "concepto", False),
+        ("incluir_conceptos", "concepto", True),
+        ("excluir_dominio", "dominio", False),
+        ("incluir_dominio", "dominio", True),
+    ):
+        if key in rule:
+            checks.append(("" if wanted else "NOT ") + _listed(column, rule[key]))
     if "incluir_origen" in rule:
-        listed = rule["incluir_origen"]
-        checks.append(in_list(origin, listed) | in_list(target, listed))
-    sign = rule["condicion_valor"]
-    if sign == "POSITIVO":
-        checks.append(amount > 0)
-    elif sign == "NEGATIVO":
-        checks.append(amount < 0)
+        watched = rule["incluir_origen"]
+        checks.append(f"({_listed('origen', watched)} OR {_listed('cuenta_destino', watched)})")
+    # Any other sign condition does not restrict.
+    checks += {"POSITIVO": ["valor > 0"], "NEGATIVO": ["valor < 0"]}.get(rule["condicion_valor"], [])
     if rule.get("requiere_origen"):
-        checks.append(blank_to_null(origin).isNotNull())
-    return reduce(lambda a, b: a & b, checks)
+        checks.append("coalesce(origen, '') <> ''")
+    return " AND ".join(checks)
 
 
 def _is_complementary(rule: dict) -> bool:
     return rule.get("tipo") == COMPLEMENTARY
 
 
+def _any(names: list) -> str:
+    return "(" + " OR ".join(names) + ")" if names else "false"
+
+
 def _flagged(movements: DataFrame, config: LedgerConfig, first_normal_rule_only: bool) -> tuple:
     """Movements with one boolean column per active rule, and the (position, rule, column) list."""
     active = [(pos, rule, f"_regla_{pos}") for pos, rule in enumerate(config.rules) if rule.get("activo")]
-    flagged = movements.withColumns({name: rule_condition(rule) for _, rule, name in active})
+    flags = [f"coalesce({rule_condition(rule)}, false) AS {name}" for _, rule, name in active]
+    flagged = movements.selectExpr("*", *flags)
     if first_normal_rule_only:
         normal = [name for _, rule, name in active if not _is_complementary(rule)]
-        firsts = {
-            name: reduce(lambda a, b: a & b, [F.col(name)] + [~F.col(before) for before in normal[:i]])
-            for i, name in enumerate(normal)
-        }
+        firsts = {name: F.expr(f"{name} AND NOT {_any(normal[:i])}") for i, name in enumerate(normal)}
         flagged = flagged.withColumns(firsts) if firsts else flagged
     return flagged, active
 
 
-def _any(names: list) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(n) for n in names], F.lit(False))
-
-
-def _fired(hits: list) -> Column:
-    """Explodes the values of the (condition, value) pairs that hold."""
-    return F.explode(F.array(*[F.when(condition, F.lit(value)) for condition, value in hits]))
+def _fired(hits: list) -> str:
+    """Explodes the values of the (condition, value) pairs that hold; others come out as null."""
+    return "explode(array(" + ", ".join(f"CASE WHEN {condition} THEN {value} END" for condition, value in hits) + "))"
 
 
 def rule_matches(movements: DataFrame, config: LedgerConfig) -> DataFrame:
@@ -82,7 +77,8 @@ def rule_matches(movements: DataFrame, config: LedgerConfig) -> DataFrame:
     flagged, active = _flagged(movements, config, False)
     names = [(pos, rule["id"], _is_complementary(rule)) for pos, rule, _ in active]
     schema = pa.schema([("regla_pos", pa.int32()), ("regla_id", pa.string()), ("complementaria", pa.bool_())])
-    matched = flagged.select("trx_id", _fired([(F.col(n), pos) for pos, _, n in active]).alias("regla_pos"))
+    hits = _fired([(name, pos) for pos, _, name in active] or [("false", 0)])
+    matched = flagged.selectExpr("trx_id", f"{hits} AS regla_pos")
     return matched.join(small_table(movements.sparkSession, names, schema), "regla_pos")
 
 
@@ -154,75 +150,59 @@ def postings(
         return (only is None or kind in only) and (without is None or kind not in without)
 
     spark = movements.sparkSession
-    card_target = F.lit(False)
+    card_target = "false"
     if _flips(config):
-        types = config.account_type_dim(spark).select(
-            "dominio", F.col("nombre").alias("cuenta_destino"), F.col("tipo_nombre").alias("_tipo_destino")
-        )
+        types = config.account_type_dim(spark).selectExpr("dominio", "nombre AS cuenta_destino", "tipo_nombre AS _tipo_destino")
         movements = movements.join(types, ["dominio", "cuenta_destino"], "left")
-        card_target = F.col("_tipo_destino").eqNullSafe("TARJETA")
+        card_target = "_tipo_destino <=> 'TARJETA'"
 
     flagged, active = _flagged(movements, config, first_normal_rule_only)
     unknown = _with_unknown_operation(active)
     if unknown:
-        flagged = flagged.filter(~_any(unknown))
-    unmatched = ~_any([name for _, rule, name in active if not _is_complementary(rule)])
+        flagged = flagged.filter(f"NOT {_any(unknown)}")
+    unmatched = "NOT " + _any([name for _, rule, name in active if not _is_complementary(rule)])
     if only is not None:
-        unmatched = unmatched & in_list(F.col("tipo"), only)
+        unmatched += " AND " + _listed("tipo", only)
     if without is not None:
-        unmatched = unmatched & ~in_list(F.col("tipo"), without)
+        unmatched += " AND NOT " + _listed("tipo", without)
     hits = [
-        (F.col(name) & (F.col("valor") != 0), pos)
+        (f"{name} AND valor <> 0", pos)
         for pos, rule, name in active
         if any(wanted(a["tipo_destino"]) for a in rule["acciones"])
     ]
     hits.append((unmatched, len(config.rules)))
 
-    fired = flagged.select(
-        "trx_id", "created_at", "corte", "dominio", "tipo", "bloque", "concepto", blank_to_null(F.col("origen")).alias("origen"),
-        blank_to_null(F.col("cuenta_destino")).alias("cuenta_destino"), "valor", card_target.alias("_a_tarjeta"),
-        _fired(hits).alias("regla_pos"),
-    ).filter(F.col("regla_pos").isNotNull())
-    acted = fired.join(_actions(spark, config, active, wanted), "regla_pos")
-
-    origin, target, watched = F.col("origen"), F.col("cuenta_destino"), F.col("vigiladas")
-    to_target = F.col("ruta").eqNullSafe("USAR_CUENTA_DESTINO")
-    to_affected = F.col("ruta").eqNullSafe("USAR_CUENTA_AFECTADA")
-    kind = F.coalesce(F.col("a_tipo"), F.col("tipo"))
-    block = F.coalesce(F.col("a_bloque"), F.col("bloque"))
-    by_rule = F.col("por_regla")
-    posted_origin = (
-        F.when(to_target, target)
-        .when(to_affected & F.array_contains(watched, origin), origin)
-        .when(to_affected, F.when(F.array_contains(watched, target), target))
-        .when(by_rule | F.col("tipo").isin(KEYED_BY_ORIGIN), origin)
-    )
+    fired = flagged.selectExpr(
+        "trx_id", "created_at", "corte", "dominio", "tipo", "bloque", "concepto", "nullif(origen, '') AS origen",
+        "nullif(cuenta_destino, '') AS cuenta_destino", "valor", f"{card_target} AS _a_tarjeta", f"{_fired(hits)} AS regla_pos",
+    ).filter("regla_pos IS NOT NULL")
+    to_target, to_affected = "ruta <=> 'USAR_CUENTA_DESTINO'", "ruta <=> 'USAR_CUENTA_AFECTADA'"
+    keyed = sql_list(KEYED_BY_ORIGIN)
     # Paying into a card lowers what is owed on it.
-    falls = (F.col("operacion") == "DECREMENTAR") | (
-        (F.col("operacion") == "INCREMENTAR") & to_target & F.col("_a_tarjeta")
-    )
-    delta = (
-        F.when(F.col("operacion") == "REPLICAR", F.col("valor"))
-        .when(falls, -F.abs(F.col("valor")))
-        .otherwise(F.abs(F.col("valor")))
-    )
+    falls = f"operacion = 'DECREMENTAR' OR (operacion = 'INCREMENTAR' AND {to_target} AND _a_tarjeta)"
     return (
-        acted.select(
-            "trx_id", "created_at", "corte", "regla_pos", "accion_pos", "regla_id",
-            F.coalesce("a_dominio", "dominio").alias("dominio"),
-            kind.alias("tipo"),
-            F.coalesce("a_concepto", "concepto").alias("concepto"),
-            block.alias("bloque"),
-            posted_origin.alias("origen"),
-            delta.alias("delta"),
-            by_rule, "complementaria",
-            (to_target | to_affected).alias("_enrutada"),
+        fired.join(_actions(spark, config, active, wanted), "regla_pos")
+        .selectExpr(
+            "trx_id", "created_at", "corte", "regla_pos", "accion_pos", "regla_id", "por_regla", "complementaria",
+            "coalesce(a_dominio, dominio) AS dominio",
+            "coalesce(a_tipo, tipo) AS tipo",
+            "coalesce(a_concepto, concepto) AS concepto",
+            "coalesce(a_bloque, bloque) AS bloque",
+            f"""CASE WHEN {to_target} THEN cuenta_destino
+                     WHEN {to_affected} AND array_contains(vigiladas, origen) THEN origen
+                     WHEN {to_affected} AND array_contains(vigiladas, cuenta_destino) THEN cuenta_destino
+                     WHEN {to_affected} THEN NULL
+                     WHEN por_regla OR tipo IN {keyed} THEN origen END AS origen""",
+            f"CASE WHEN operacion = 'REPLICAR' THEN valor WHEN {falls} THEN -abs(valor) ELSE abs(valor) END AS delta",
+            f"{to_target} OR {to_affected} AS _enrutada",
         )
         # A routed action without an account to post to is skipped.
-        .filter(~F.col("_enrutada") | F.col("origen").isNotNull())
-        .withColumn("origen_clave", keyed_origin(F.col("tipo"), F.col("origen")))
-        .withColumn("limitado", F.col("por_regla") & (F.col("bloque") == "PROYECCION") & (F.col("delta") < 0))
-        .drop("_enrutada")
+        .filter("NOT _enrutada OR origen IS NOT NULL")
+        .selectExpr(
+            "* EXCEPT (_enrutada)",
+            f"CASE WHEN tipo IN {keyed} THEN origen END AS origen_clave",
+            "por_regla AND bloque = 'PROYECCION' AND delta < 0 AS limitado",
+        )
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.functions.months import month_start, months_from
-from quipu.functions.variants import text
+from quipu.functions.variants import scalar_text
 from quipu.operators import catalogue, close, dashboard, documents, ingest, outbox, projections, report, rules, search
 from quipu.operators import ledger as books
 from quipu.operators.balances import running_balance
@@ -81,10 +81,9 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def envelope_normalise(spark: SparkSession, folder: str) -> DataFrame:
     rows = normalise(inputs.mixed_events(spark, folder))
-    payload = F.col("payload")
     return rows.select(
-        "origin", "id", "source", "user_id", "channel_id", text(payload, "$.Cuenta").alias("cuenta"),
-        text(payload, "$.DominioFinanciero").alias("dominio"), text(payload, "$.Valor").alias("valor"),
+        "origin", "id", "source", "user_id", "channel_id", scalar_text(F.col("payload.Cuenta")).alias("cuenta"),
+        scalar_text(F.col("payload.DominioFinanciero")).alias("dominio"), scalar_text(F.col("payload.Valor")).alias("valor"),
     )
 
 

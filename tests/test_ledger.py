@@ -110,6 +110,13 @@ def test_empty_include_list_rejects_and_unknown_sign_passes(movement):
     assert found == [(0, "B"), (0, "C"), (1, "B")]
 
 
+def test_quotes_in_configured_names(movement):
+    rule = {**CONFIG.rules[0], "excluir_conceptos": ["D'ANGELO\\S"]}
+    config = dataclasses.replace(CONFIG, rules=[rule])
+    rows = movement({"valor": -5, "concepto": "D'ANGELO\\S"}, {"valor": -5, "concepto": "OTRO"})
+    assert [r["trx_id"] for r in rules.rule_matches(rows, config).collect()] == [1]
+
+
 def random_rows(seed, n=400):
     pick = random.Random(seed)
     rows = []
