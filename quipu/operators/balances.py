@@ -21,28 +21,35 @@ HOT_KEY_STEPS = 5_000_000
 
 
 def _running(steps: DataFrame, group: list) -> DataFrame:
-    """Adds _s (running sum) and _m (running minimum of _s over limited steps) inside each group."""
-    window = Window.partitionBy(*group).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    return steps.withColumn("_s", F.sum("delta").over(window)).withColumn(
-        "_m", F.min(F.when(F.col("limitado"), F.col("_s"))).over(window)
+    """Adds the running values of each group.
+
+    _s is the running sum, _m the running minimum of _s over limited steps, and
+    _m0 that minimum before the step. One sort serves all of them.
+    """
+    ordered = Window.partitionBy(*group).orderBy(*ORDER)
+    so_far, before = ordered.rowsBetween(Window.unboundedPreceding, 0), ordered.rowsBetween(Window.unboundedPreceding, -1)
+    limited = F.when(F.col("limitado"), F.col("_s"))
+    return steps.withColumn("_s", F.sum("delta").over(so_far)).withColumns(
+        {"_m": F.min(limited).over(so_far), "_m0": F.min(limited).over(before)}
     )
 
 
-def _with_effect(steps: DataFrame, group: list, start: Column) -> DataFrame:
-    """Adds saldo and efectivo (what the step really changed), starting each group at ``start``."""
-    # greatest() skips nulls, so a group without limited steps keeps start + _s.
-    balance = F.greatest(start + F.col("_s"), F.col("_s") - F.col("_m"))
-    window = Window.partitionBy(*group).orderBy(*ORDER)
+def _with_effect(running: DataFrame, start: Column) -> DataFrame:
+    """Adds saldo and efectivo (what the step really changed) from a group's start balance; row by row."""
+    # greatest() skips nulls, so without limited steps the balance is start + sum.
+    sum_before = F.col("_s") - F.col("delta")
+    before = F.greatest(start + sum_before, sum_before - F.col("_m0"))
     return (
-        steps.withColumn("saldo", balance)
-        .withColumn("efectivo", F.col("saldo") - F.coalesce(F.lag("saldo").over(window), start))
-        .drop("_s", "_m")
+        running.withColumn("saldo", F.greatest(start + F.col("_s"), F.col("_s") - F.col("_m")))
+        .withColumn("efectivo", F.col("saldo") - before)
+        .drop("_s", "_m", "_m0")
     )
 
 
-def most_steps_on_a_key(steps: DataFrame) -> int:
-    row = steps.groupBy(*KEY).count().agg(F.max("count").alias("n")).first()
-    return row["n"] or 0
+def step_counts(steps: DataFrame) -> tuple:
+    """(steps on the fullest key, all steps)."""
+    row = steps.groupBy(*KEY).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    return row["most"] or 0, row["all"] or 0
 
 
 def running_balance(steps: DataFrame, hot_key_steps: int | None = HOT_KEY_STEPS, chunks: int | None = None) -> DataFrame:
@@ -53,27 +60,26 @@ def running_balance(steps: DataFrame, hot_key_steps: int | None = HOT_KEY_STEPS,
     cut into ordered chunks first (``None`` skips the check). ``chunks`` sets
     their number.
     """
-    if hot_key_steps is not None and most_steps_on_a_key(steps) > hot_key_steps:
-        return _chunked_balance(steps, chunks)
-    return _with_effect(_running(steps, KEY), KEY, F.lit(0))
+    if hot_key_steps is not None:
+        most, total = step_counts(steps)
+        if most > hot_key_steps:
+            default = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return _chunked_balance(steps, chunks or max(default, -(-4 * total // hot_key_steps)))
+    return _with_effect(_running(steps, KEY), F.lit(0))
 
 
-def _chunked_balance(steps: DataFrame, chunks: int | None) -> DataFrame:
+def _chunked_balance(steps: DataFrame, chunks: int) -> DataFrame:
     """The same balances with every key spread over as many tasks as it fills.
 
     The full replay order is unique, so range partitioning balances the tasks
-    whatever the skew. The partition number becomes the chunk; it depends on
-    sampled bounds, so the labelled steps are checkpointed before two branches
-    read them.
+    whatever the skew; the partition number is the chunk. The running values of
+    the chunks are checkpointed because two branches read them and the chunk
+    numbers depend on sampled bounds.
     """
-    spark = steps.sparkSession
-    enable_checkpoints(spark)
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    labelled = (
-        steps.repartitionByRange(chunks, *KEY, *ORDER).withColumn("_chunk", F.spark_partition_id()).checkpoint()
-    )
+    enable_checkpoints(steps.sparkSession)
+    ranged = steps.repartitionByRange(chunks, *KEY, *ORDER).withColumn("_chunk", F.spark_partition_id())
     group = KEY + ["_chunk"]
-    local = _running(labelled, group)
+    local = _running(ranged, group).checkpoint()
 
     # One row per key and chunk: at most (keys + chunks) rows in all.
     summary = local.groupBy(*group).agg(F.sum("delta").alias("_sum"), F.min("_m").alias("_low"))
@@ -86,4 +92,4 @@ def _chunked_balance(steps: DataFrame, chunks: int | None) -> DataFrame:
     )
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in group]
     started = local.alias("l").join(starts.alias("s"), same).select("l.*", "s._start")
-    return _with_effect(started, group, F.col("_start")).drop("_start", "_chunk")
+    return _with_effect(started, F.col("_start")).drop("_start", "_chunk")

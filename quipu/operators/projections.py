@@ -72,6 +72,8 @@ def pending(rows: DataFrame, existing: DataFrame, at_most: int | None = None) ->
 def _done(rows: DataFrame, existing: DataFrame, at_most: int | None) -> DataFrame:
     wanted = rows.select("dominio", "corte").distinct()
     if at_most is not None and at_most <= BROADCAST_ROWS:
+        months = {r["corte"] for r in wanted.select("corte").distinct().collect()}
+        existing = existing.filter(F.col("corte").isin(list(months)))
         wanted = F.broadcast(wanted)
     return projected_months(existing.join(wanted, ["dominio", "corte"], "left_semi"))
 

@@ -3,12 +3,14 @@
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from quipu.config import BROADCAST_ROWS
@@ -57,27 +59,33 @@ def nearest(index: DataFrame, query: list, k: int = TOP_K) -> DataFrame:
     return scored.filter(F.col("score").isNotNull()).orderBy(F.col("score").desc(), "key").limit(k)
 
 
-def _block_candidates(ids: list, vectors: np.ndarray, k: int):
+def _block_candidates(ids: pa.Array, vectors: np.ndarray, k: int, schema: pa.Schema):
     """Per Arrow batch, the k best rows for each question of the block."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
-    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch[batch["embedding"].notna()]
-            if batch.empty:
+            batch = batch.filter(pc.is_valid(batch.column("embedding")))
+            if not batch.num_rows:
                 continue
-            matrix = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
+            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            matrix = flat.reshape(batch.num_rows, unit.shape[1]).astype(np.float64)
             sizes = np.linalg.norm(matrix, axis=1)
-            keep = sizes > 0
-            keys = batch["key"].to_numpy()[keep]
-            if not keys.size:
-                continue
+            kept = np.flatnonzero(sizes > 0)
+            # Rows in key order, so that a stable sort by score leaves ties in key order.
+            keys = batch.column("key")
+            by_key = kept[np.argsort(keys.to_numpy(zero_copy_only=False)[kept], kind="stable")]
             # Adding 0.0 turns a rounded -0.0 into 0.0.
-            scores = np.round(unit @ (matrix[keep] / sizes[keep, None]).T, SCORE_DIGITS) + 0.0
-            by_key = np.argsort(keys, kind="stable")
-            for question, row in zip(ids, scores[:, by_key]):
-                best = by_key[np.argsort(-row, kind="stable")[:k]]
-                yield pd.DataFrame({"question_id": question, "key": keys[best], "score": row[np.argsort(-row, kind="stable")[:k]]})
+            scores = np.round(unit @ (matrix[by_key] / sizes[by_key, None]).T, SCORE_DIGITS) + 0.0
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            if not best.size:
+                continue
+            columns = [
+                ids.take(pa.array(np.repeat(np.arange(len(ids)), best.shape[1]))),
+                keys.take(pa.array(by_key[best].ravel())),
+                pa.array(np.take_along_axis(scores, best, axis=1).ravel()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return candidates
 
@@ -106,8 +114,9 @@ def nearest_for_all(index: DataFrame, questions: DataFrame, k: int = TOP_K, bloc
         if not listed:
             continue
         vectors = np.array([r["embedding"] for r in listed], dtype=np.float64)
-        kernel = _block_candidates([r["question_id"] for r in listed], vectors, k)
-        parts.append(rows.mapInPandas(kernel, found))
+        arrow = to_arrow_schema(found)
+        ids = pa.array([r["question_id"] for r in listed], arrow.field("question_id").type)
+        parts.append(rows.mapInArrow(_block_candidates(ids, vectors, k, arrow), found))
     if not parts:
         return spark.createDataFrame([], found).withColumn("rank", F.lit(1))
     candidates = parts[0]

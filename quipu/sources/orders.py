@@ -8,6 +8,7 @@ the tests and the benchmark; its text runs unchanged in other SQL engines.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quipu.functions.once import with_columns_once
 from quipu.schema import IMAGE
 
 MOVEMENTS_SQL = """
@@ -85,6 +86,8 @@ def change_records(rows: DataFrame) -> DataFrame:
             F.struct(new_image.alias("NewImage"), F.lit(None).cast(IMAGE).alias("OldImage")).alias("dynamodb"),
         )
 
+    shaped = with_columns_once(rows, {"_imagen": image, "_tabla": table})
+    image, table = F.col("_imagen"), F.col("_tabla")
     ignored = F.array(record("REMOVE", table, F.lit(None).cast(IMAGE)), record("INSERT", F.lit("OtraTabla"), image))
     records = F.array(record("INSERT", table, image))
-    return rows.select(F.explode(F.when(budget, F.concat(records, ignored)).otherwise(records)).alias("r")).select("r.*")
+    return shaped.select(F.explode(F.when(budget, F.concat(records, ignored)).otherwise(records)).alias("r")).select("r.*")

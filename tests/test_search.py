@@ -48,6 +48,13 @@ def test_equals_brute_force(index, questions, data, block_bytes):
         assert got == brute_force(data[0], data[1][q], 5)
 
 
+def test_text_keys_and_all_ties(spark):
+    rows = spark.createDataFrame([(f"k{i:02d}", [1.0, 2.0]) for i in range(20)], "key string, embedding array<float>")
+    questions = spark.createDataFrame([("q", [2.0, 4.0]), ("zero", [0.0, 0.0])], "question_id string, embedding array<double>")
+    got = [tuple(r) for r in search.nearest_for_all(rows.repartition(4), questions, 3).orderBy("rank").collect()]
+    assert got == [("q", "k00", 1.0, 1), ("q", "k01", 1.0, 2), ("q", "k02", 1.0, 3)]
+
+
 def test_one_question(index, data):
     got = [(r["key"], r["score"]) for r in search.nearest(index, data[1][3].tolist(), 5).collect()]
     assert got == brute_force(data[0], data[1][3], 5)
