@@ -34,12 +34,11 @@ def ordered_balances(steps: DataFrame, hot_key_steps: int | None = HOT_KEY_STEPS
     effects = running_balance(steps, hot_key_steps)
     # A rule posting without effect writes nothing; a default posting always writes.
     writes = effects.filter(~F.col("por_regla") | (F.col("efectivo") != 0))
+    # Grouping by the few (bloque, origen) pairs of a key first keeps the row-level aggregation on plain numbers.
+    written = writes.groupBy(*KEY, "bloque", "origen").agg(F.sum("efectivo").alias("valor"), F.max("posicion").alias("_ultima"))
     return (
-        writes.groupBy(*KEY)
-        .agg(
-            F.sum("efectivo").alias("valor"),
-            F.max_by(F.struct("bloque", "origen"), F.struct(*ORDER)).alias("_ultimo"),
-        )
+        written.groupBy(*KEY)
+        .agg(F.sum("valor").alias("valor"), F.max_by(F.struct("bloque", "origen"), "_ultima").alias("_ultimo"))
         .select(*KEY, "_ultimo.bloque", "_ultimo.origen", "valor")
     )
 
