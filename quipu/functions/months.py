@@ -19,6 +19,14 @@ def month_key(date) -> Column:
     return F.date_format(as_date(date), "yyyy-MM")
 
 
+def month_sql(as_of) -> str:
+    """SQL for the month key of a date, of ISO text, or of today (None)."""
+    if as_of is None:
+        return "date_format(current_date(), 'yyyy-MM')"
+    day = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
+    return f"'{day:%Y-%m}'"
+
+
 def month_start(corte: Column) -> Column:
     """First day of a yyyy-MM key; null when the text is not a month."""
     return F.when(corte.rlike(r"^\d{4}-(0[1-9]|1[0-2])$"), F.try_to_date(F.concat(corte, F.lit("-01"))))
