@@ -7,7 +7,7 @@ from quipu.defaults import EVENT_ACCOUNT, EVENT_CARD, EVENT_PROJECTION
 from quipu.functions.months import as_date
 from quipu.functions.once import with_columns_once
 from quipu.functions.text import blank_to_null
-from quipu.functions.variants import is_falsy, is_object, part, text
+from quipu.functions.variants import part, text
 
 # Form field -> (block, action) that holds it.
 FORM_FIELDS = {
@@ -79,54 +79,62 @@ def _form_value(body: Column, name: str) -> Column:
     return F.nullif(F.try_url_decode(encoded), F.lit(""))
 
 
+_FORM = ", ".join(
+    f"{block}: struct<{action}: struct<selected_option: map<string, string>, value: string>>"
+    for block, action in FORM_FIELDS.values()
+)
+_REQUEST = (
+    "type string, command string, channel_id string, user struct<id: string>, "
+    "view struct<callback_id: string, private_metadata: string, state: struct<values: "
+    f"struct<question: struct<question_input: struct<value: string>>, {_FORM}>>>"
+)
+
+
 def decode_requests(requests: DataFrame, body: str = "body") -> DataFrame:
     """Adds the request class and what the class carries.
 
     Bodies are ``payload=<encoded JSON>``, a URL-encoded command (recognised by
-    its trigger_id) or plain JSON.
+    its trigger_id) or plain JSON. JSON is parsed once, into the fields in use.
     """
-    raw = F.col(body)
+    raw, request = F.col(body), F.col("request")
     wrapped, command_form = F.startswith(raw, F.lit("payload=")), F.contains(raw, F.lit("trigger_id"))
-    parsed = F.try_parse_json(F.when(wrapped, _form_value(raw, "payload")).when(~command_form, raw))
-    request, metadata = F.col("request"), F.try_parse_json(text(F.col("request"), "$.view.private_metadata"))
+    json_text = F.when(wrapped, _form_value(raw, "payload")).when(~command_form, raw)
     opened = with_columns_once(
         requests,
         {
-            "request": parsed,
+            "_json": json_text,
             "_comando": F.when(~wrapped & command_form, _form_value(raw, "command")),
             "_canal": F.when(~wrapped & command_form, _form_value(raw, "channel_id")),
         },
     )
-    command = F.coalesce(F.col("_comando"), text(request, "$.command"))
-    kind = text(request, "$.type")
+    parsed = with_columns_once(opened, {"request": _object(F.col("_json"), _REQUEST)})
+    command = F.coalesce(F.col("_comando"), request["command"])
     return with_columns_once(
-        opened,
+        parsed,
         {
             "command": command,
             "request_class": F.when(command.isNotNull(), "command")
-            .when(kind == "block_actions", "block_action")
-            .when(kind == "view_submission", "submission")
+            .when(request["type"] == "block_actions", "block_action")
+            .when(request["type"] == "view_submission", "submission")
             .otherwise("other"),
-            "channel_id": F.when(command.isNotNull(), F.coalesce(F.col("_canal"), text(request, "$.channel_id"))).otherwise(
-                text(metadata, "$.channel_id")
+            "channel_id": F.when(command.isNotNull(), F.coalesce(F.col("_canal"), request["channel_id"])).otherwise(
+                F.get_json_object(request["view"]["private_metadata"], "$.channel_id")
             ),
-            "callback_id": text(request, "$.view.callback_id"),
-            "user_id": text(request, "$.user.id"),
-            "question": text(request, "$.view.state.values.question.question_input.value"),
+            "callback_id": request["view"]["callback_id"],
+            "user_id": request["user"]["id"],
+            "question": request["view"]["state"]["values"]["question"]["question_input"]["value"],
         },
-    ).drop("_comando", "_canal")
+    ).drop("_json", "_comando", "_canal")
 
 
 def form_state(requests: DataFrame, request: str = "request") -> DataFrame:
     """Adds ``state``: the selected option's value, else the text value, of the eight form fields."""
-    values = "$.view.state.values"
+    values = F.col(f"{request}.view.state.values")
 
     def field(block: str, action: str) -> Column:
-        at = f"{values}.{block}.{action}"
-        chosen = is_object(F.col(request), at + ".selected_option") & ~is_falsy(F.col(request), at + ".selected_option")
-        return F.when(chosen, text(F.col(request), at + ".selected_option.value")).otherwise(
-            text(F.col(request), at + ".value")
-        )
+        entry = values[block][action]
+        chosen = entry["selected_option"]
+        return F.when(F.size(chosen) > 0, F.try_element_at(chosen, F.lit("value"))).otherwise(entry["value"])
 
     return with_columns_once(requests, {"state": F.struct(*[field(*at).alias(name) for name, at in FORM_FIELDS.items()])})
 

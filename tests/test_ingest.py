@@ -167,6 +167,21 @@ def test_routes(spark, fields, event, expected):
     assert {k: row["payload"][k] for k in expected} == expected and row["payload"]["FechaMovimiento"] == "2026-03-15"
 
 
+def test_form_values_that_are_not_plain_options(spark):
+    def entry(block, action, value):
+        return json.dumps({"type": "view_submission", "view": {"state": {"values": {block: {action: value}}}}})
+
+    bodies = [
+        entry("dominio", "dominio_select", {"selected_option": {}, "value": "v"}),
+        entry("dominio", "dominio_select", {"selected_option": "x", "value": "v"}),
+        entry("dominio", "dominio_select", {"selected_option": {"text": {"a": 1}}, "value": "v"}),
+        entry("dominio", "dominio_select", {"selected_option": None, "value": 5}),
+        entry("dominio", "dominio_select", {"selected_option": {"value": "s", "text": {"a": 1}}}),
+    ]
+    rows = envelope.form_state(envelope.decode_requests(spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "n int, body string")))
+    assert [r[0] for r in rows.orderBy("n").select("state.dominio").collect()] == ["v", "v", None, "5", "s"]
+
+
 @pytest.mark.parametrize("fields", [dict(tipo_registro="OTRO", valor="1"), dict(valor="1"), dict(tipo_registro="PROYECCION", valor="1.5"), dict(tipo_registro="PROYECCION")])
 def test_route_errors(spark, fields):
     row = envelope.route(state(spark, **fields)).first()
