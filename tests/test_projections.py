@@ -2,7 +2,6 @@ import dataclasses
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from quipu import default_config
 from quipu.operators import projections
