@@ -118,6 +118,14 @@ def test_accepted_rows(spark):
     assert ingest.rejected(rows).count() == 1
 
 
+def test_tables_are_appended(spark, tmp_path):
+    rows = ingest.accepted(ingest.validate(envelope.normalise(raw(spark, PROJECTION)), ingest.PROJECTION, CONFIG), ingest.PROJECTION)
+    for _ in range(2):
+        ingest.append_table(rows, str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.count() == 2 and stored.first()["origen_registro"] == "PROYECCION_MANUAL" and stored.first()["tabla"] == "conceptos_fijos"
+
+
 def test_requests(spark):
     question = {
         "type": "view_submission", "user": {"id": "U1"},

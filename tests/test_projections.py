@@ -2,6 +2,7 @@ import dataclasses
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from quipu import default_config
 from quipu.operators import projections
@@ -85,3 +86,15 @@ def test_all_domains_unprojectable(spark):
     assert projections.expand(spark, none, "2026-05").count() == 0
     rows = projections.run_summary(spark.createDataFrame([], DDL), none, "2026-05").collect()
     assert sorted((r["corte"], r["insertados"]) for r in rows) == [("2026-06", []), ("2026-07", []), ("2026-08", [])]
+
+
+def test_scheduled_run_appends_once(spark, existing, tmp_path):
+    from quipu.plans.jobs import monthly_projections
+
+    path = str(tmp_path / "table")
+    monthly_projections(existing, CONFIG, path, "2026-05")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 5 and {r["tabla"] for r in stored.collect()} == {"conceptos_fijos", "conceptos_fijos_persona"}
+    both = existing.unionByName(stored.select("dominio", F.col("corte").cast("string").alias("corte"), "origen_registro"))
+    monthly_projections(both, CONFIG, path, "2026-05")
+    assert spark.read.parquet(path).count() == 5
