@@ -3,10 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import mixing, rules
+from quipu.llm import mixing, pii, rules, secret_scan
 from quipu.llm.common import table
 
 
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    names = ["doc_id", *[f"n_{k}" for k in pii.KINDS], "base_sha256", "spans"]
+    return pii.digest(pii.find_personal_data(docs)).select(*names)
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"]
@@ -19,7 +25,13 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op6_mixing)}
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    names = ["doc_id", *[f"n_{k}" for k in secret_scan.BASE], "base_sha256", "spans"]
+    return secret_scan.digest(secret_scan.scan(docs)).select(*names)
+
+
+QUERIES = {f.__name__: f for f in (op1_personal_data, op4_quality_rules, op6_mixing, op7_secret_scan)}
 
 _OP6 = """
 WITH d AS (
