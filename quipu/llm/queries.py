@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import mixing, pii, rules, secret_scan
+from quipu.llm import mixing, pii, rules, secret_scan, warc
 from quipu.llm.common import table
 
 
@@ -13,6 +13,12 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(docs)).select(*names)
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    files, at = warc.archive(table(spark, folder, "pages"))
+    records = warc.read_chunks(files, at, with_data=False).filter("last")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"]
@@ -31,7 +37,7 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs)).select(*names)
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op4_quality_rules, op6_mixing, op7_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op3_warc, op4_quality_rules, op6_mixing, op7_secret_scan)}
 
 _OP6 = """
 WITH d AS (
@@ -61,4 +67,21 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source
 """
 
-ORACLE_SQL = {"op6_mixing": _OP6}
+_OP3 = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hexa FROM pages
+), d AS (
+    SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, list_aggregate(list_transform(range(32), lambda k:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((CAST('0x' || substr(hexa, 5 * CAST(k // 4 AS INTEGER) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)),
+        'string_agg', '') AS payload_digest
+    FROM p
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM d
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM f
+"""
+
+ORACLE_SQL = {"op3_warc": _OP3, "op6_mixing": _OP6}
