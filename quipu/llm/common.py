@@ -1,6 +1,8 @@
 """Shared expressions: words, code-point spans, stored tables."""
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,15 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def with_package(rows: DataFrame) -> DataFrame:
+    """rows, for a Python step: workers also look for this package where the driver has it, besides their own PYTHONPATH."""
+    home, env = str(Path(__file__).resolve().parents[2]), rows.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    return rows
+
+
 def whole_text(name: str = "text") -> Column:
     """The text; empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import mixing, pii, rules, secret_scan, warc
+from quipu.llm import mixing, packing, pii, rules, secret_scan, warc
 from quipu.llm.common import table
 
 
@@ -13,6 +13,18 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(docs)).select(*names)
 
 
+def tokenizer_path(name: str = packing.TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = packing.pack(packing.pieces(docs, tokenizer_path()))
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     files, at = warc.archive(table(spark, folder, "pages"))
     records = warc.read_chunks(files, at, with_data=False).filter("last")
@@ -37,7 +49,7 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs)).select(*names)
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op3_warc, op4_quality_rules, op6_mixing, op7_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_packing, op3_warc, op4_quality_rules, op6_mixing, op7_secret_scan)}
 
 _OP6 = """
 WITH d AS (

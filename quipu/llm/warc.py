@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
-from quipu.llm.common import bound, stored, whole_text
+from quipu.llm.common import bound, stored, whole_text, with_package, with_package
 from quipu.scratch import run_folder
 
 CHUNK = 1 << 20
@@ -146,7 +146,7 @@ def write_archives(chunks: DataFrame, folder: str, day: str = "2000-01-01T00:00:
         names = ["path", "records", "bytes"]
         yield pa.RecordBatch.from_pydict({n: [d[i] for d in done] for i, n in enumerate(names)}, schema=_FILES)
 
-    return stored(chunks.mapInArrow(write, "path string, records long, bytes long"), "warc-files")
+    return stored(with_package(chunks).mapInArrow(write, "path string, records long, bytes long"), "warc-files")
 
 
 _FILES = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
@@ -239,7 +239,7 @@ def read_chunks(files: DataFrame, folder: str, chunk: int = CHUNK, with_data: bo
                 yield _batch(names, rows)
 
     tasks = max(1, files.sparkSession.sparkContext.defaultParallelism)
-    return files.select("path").repartition(tasks, "path").mapInArrow(read, RECORD_TABLE)
+    return with_package(files).select("path").repartition(tasks, "path").mapInArrow(read, RECORD_TABLE)
 
 
 _TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
