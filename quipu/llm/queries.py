@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import mixing, packing, pii, rules, secret_scan, warc
+from quipu.llm import group_join, mixing, packing, pii, rules, secret_scan, warc
 from quipu.llm.common import table
 
 
@@ -49,7 +49,11 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs)).select(*names)
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_packing, op3_warc, op4_quality_rules, op6_mixing, op7_secret_scan)}
+def op9_group_join(spark: SparkSession, folder: str) -> DataFrame:
+    return group_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_packing, op3_warc, op4_quality_rules, op6_mixing, op7_secret_scan, op9_group_join)}
 
 _OP6 = """
 WITH d AS (
