@@ -1,9 +1,9 @@
 """Contract queries of the subpackage: thin digests of what the operators return."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import group_join, mixing, packing, pii, rules, secret_scan, warc
+from quipu.llm import group_join, mixing, packing, pii, quality, rules, secret_scan, toxicity, warc
 from quipu.llm.common import table
 
 
@@ -37,6 +37,17 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.vote_quality(docs).select(*names)
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return _judged(quality.score_quality(docs, model), quality.held_out(F.col("doc_id")), "quality", quality.ACCEPT)
+
+
+def _judged(rows: DataFrame, held_out: Column, score: str, least: float) -> DataFrame:
+    predicted = (F.col(score) >= least).cast("int")
+    return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(score).alias("score"), predicted.alias("predicted"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     rows = mixing.repetitions(docs)
@@ -53,7 +64,20 @@ def op9_group_join(spark: SparkSession, folder: str) -> DataFrame:
     return group_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_packing, op3_warc, op4_quality_rules, op6_mixing, op7_secret_scan, op9_group_join)}
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    rows = toxicity.score_texts(docs, model).drop("text")
+    return _judged(rows, toxicity.held_out(F.col("doc_id")), "toxicity", toxicity.REJECT)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_personal_data, op2_packing, op3_warc, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_secret_scan, op9_group_join,
+        op10_toxicity,
+    )
+}
 
 _OP6 = """
 WITH d AS (
