@@ -23,6 +23,8 @@ TRAIN_ROWS = 15_000
 #: The prior weighs as much as this share of the texts.
 PRIOR_SHARE = 0.1
 MIN_TEXTS = 3
+#: Least score, an odds ratio of about 7: words that merely lean to toxic texts, as a language's own may, say nothing.
+MIN_SCORE = 2.0
 DRIFT = 0.25
 MAX_SCORE = 8.0
 REJECT = 0.7
@@ -127,7 +129,7 @@ def log_odds(toxic: dict[bytes, int], clean: dict[bytes, int], n_toxic: int, n_c
         b = (x + prior) / max(n_clean + weight - x - prior, 0.5)
         delta = math.log(a / b)
         doubt = math.sqrt(1 / (y + prior) + 1 / (x + prior))
-        if delta - doubt > DRIFT and delta >= least_z(texts) * doubt:
+        if delta - doubt >= MIN_SCORE and delta >= least_z(texts) * doubt:
             out[w] = min(delta - doubt, MAX_SCORE)
     return out
 
