@@ -46,52 +46,63 @@ def _ticket(doc_id: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
 
-def repetitions(docs: DataFrame, weigh=alternating_weights, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """One row per row of docs (doc_id, source, text, ...), without its text: size, source_size, target and times, how often the mix
-    takes it.
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    rows = docs.withColumns({"size": word_count(whole_text()), "__ticket": _ticket(F.col("doc_id"), seed)})
+    return rows.withColumn("__step", F.substring("__ticket", 1, 3))
 
-    Documents of a source are ordered by a seeded ticket; the part of a target beyond whole epochs is filled in that order, up to
-    the nearest document. The order is found by its first 4096 steps: sums per step, and an exact sort in the step that the cut
-    falls into only, so that no task holds a source. A null text has size 0; equal ids get neighbouring tickets; an empty table
-    gives an empty result. Reruns agree.
-    """
-    rows = docs.withColumns({"size": word_count(whole_text()), "__ticket": _ticket(F.col("doc_id"), seed)}).drop("text")
-    rows = stored(rows.withColumn("__step", F.substring("__ticket", 1, 3)), "mix-sizes")
-    steps = rows.groupBy("source", "__step").agg(F.sum("size").alias("step_size"))
-    steps = stored(steps, "mix-steps")
+
+def _decisions(rows: DataFrame, weigh, max_epochs: int) -> tuple[DataFrame, DataFrame]:
+    """Per source: source_size, target, __whole epochs and the step that the cut falls into; per document of such a step: __more."""
+    steps = stored(rows.groupBy("source", "__step").agg(F.sum("size").alias("step_size")), "mix-steps")
     sources = targets(weigh(steps.groupBy("source").agg(F.sum("step_size").alias("source_size"))), max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     sources = sources.withColumn("__whole", epochs.cast("long"))
     sources = sources.withColumn("__need", F.col("target") - F.col("__whole") * F.col("source_size"))
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
     filled = Window.partitionBy("source").orderBy("__step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = steps.withColumn("__upto", F.sum("step_size").over(filled))
-    reach = reach.join(sources.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
+    reach = reach.join(sources.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")), "left")
+    rest = F.col("__need") - F.col("__upto") + F.col("step_size")
     cut = reach.groupBy("source").agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("__whole").alias("__whole"),
-        F.min(F.when(F.col("__upto") > F.col("__need"), F.struct("__step", (F.col("__need") - F.col("__upto") + F.col("step_size")).alias("rest")))).alias("__cut"),
+        F.min(F.when(F.col("__upto") > F.col("__need"), F.struct("__step", rest.alias("rest")))).alias("__cut"),
     )
     cut = stored(cut.withColumnRenamed("source", "__source"), "mix-targets")
-    rows = rows.join(cut, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
-    within = F.col("__step") == F.col("__cut.__step")
-    outside = rows.filter(~F.coalesce(within, F.lit(False)))
-    outside = outside.withColumn("__more", F.coalesce(F.col("__step") < F.col("__cut.__step"), F.lit(False)).cast("long"))
+    inside = rows.join(cut, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__step") == F.col("__cut.__step")))
+    inside = inside.groupBy("source", "doc_id", "size", "__ticket").agg(F.count("*").alias("n"), F.first("__cut").alias("__cut"))
     order = Window.partitionBy("source").orderBy("__ticket", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = rows.filter(within).withColumn("__upto", F.sum("size").over(order))
-    inside = inside.withColumn("__more", (F.col("__upto") - F.col("size") / 2 <= F.col("__cut.rest")).cast("long")).drop("__upto")
-    out = outside.unionByName(inside).withColumn("times", F.col("__whole") + F.col("__more"))
-    return out.drop("__ticket", "__step", "__cut", "__whole", "__more")
-
-
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """docs (with doc_id) repeated as the mix takes them, all columns kept; rows taken no time are left out."""
-    keys = repetitions(docs.select("doc_id", "source", "text"), **options).select("doc_id", "size", "source", "times")
-    keys = keys.groupBy("doc_id", "source", "size").agg(F.sum("times").alias("__times"), F.count("*").alias("__rows"))
-    keys = keys.toDF("__id", "__source", "__size", "__times", "__rows")
-    place = Window.partitionBy("doc_id", "source", "__n").orderBy(F.xxhash64("text"))
-    here = docs.withColumn("__n", word_count(whole_text())).withColumn("__place", F.row_number().over(place))
-    joined = here.join(
-        keys, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__size"))
-    )
-    share = F.floor(F.col("__times") / F.col("__rows")) + (F.col("__place") <= F.col("__times") % F.col("__rows")).cast("long")
-    return joined.filter(share > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), share)).alias("__copy")).drop("__copy")
+    own = F.col("size") * F.col("n")
+    more = (F.sum(own).over(order) - own / 2 <= F.col("__cut.rest")).cast("long")
+    keys = {"source": "__s", "doc_id": "__id", "size": "__size"}
+    return cut, stored(inside.select("source", "doc_id", "size", more.alias("__more")).withColumnsRenamed(keys), "mix-cuts")
+
+
+def _decided(rows: DataFrame, cut: DataFrame, edge: DataFrame) -> DataFrame:
+    """rows with source_size, target and times."""
+    same = F.col("source").eqNullSafe(F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("size") == F.col("__size"))
+    out = rows.join(cut, F.col("source").eqNullSafe(F.col("__source")), "left").join(edge, same, "left")
+    before = F.coalesce(F.col("__step") < F.col("__cut.__step"), F.lit(False)).cast("long")
+    out = out.withColumn("times", F.col("__whole") + F.coalesce("__more", before))
+    return out.drop("__ticket", "__step", "__cut", "__whole", "__more", "__source", *["__s", "__id", "__size"])
+
+
+def repetitions(docs: DataFrame, weigh=alternating_weights, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """One row per row of docs (doc_id, source, text, ...), without its text: size, source_size, target and times, how often the mix
+    takes it.
+
+    Documents of a source are ordered by a seeded ticket; the part of a target beyond whole epochs is filled in that order, up to
+    the nearest document. The order is found by its first 4096 steps: sums per step, and an exact sort in the step that the cut
+    falls into only, so that no task holds a source. A null text has size 0; repeated rows of one id, source and size are taken
+    together; an empty table gives an empty result. Reruns agree.
+    """
+    rows = stored(_sized(docs, seed).drop("text"), "mix-sizes")
+    return _decided(rows, *_decisions(rows, weigh, max_epochs))
+
+
+def mix(docs: DataFrame, weigh=alternating_weights, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """docs repeated as the mix takes them, columns kept; rows taken no time are left out. Extra columns stay; those named like the
+    helpers (size, times, source_size, target) come back unchanged."""
+    renamed = docs.select(*[F.col(c).alias(c if c in ("doc_id", "source", "text") else f"__doc_{c}") for c in docs.columns])
+    rows = stored(_sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
+    out = _decided(_sized(renamed, seed), *_decisions(rows, weigh, max_epochs)).filter("times > 0")
+    out = out.select(*renamed.columns, F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("__copy"))
+    return out.select(*[F.col(c).alias(c.removeprefix("__doc_")) for c in renamed.columns])
