@@ -1,11 +1,15 @@
 """Shared expressions: words, code-point spans, stored tables."""
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quipu.scratch import run_folder
 
@@ -35,6 +39,29 @@ def with_package(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def map_batches(rows: DataFrame, used: list[str], kept: list[str], added: str, compute: Callable[..., dict]) -> DataFrame:
+    """kept columns as they are, plus the columns of the DDL ``added``, computed batch by batch in Python.
+
+    compute gets the used columns as lists and returns a list or array for every added column, and, where it makes several rows of
+    one or none, "rows": the place of each result's input row. Kept columns stay in Arrow, so nulls and large ids survive.
+    """
+    fields = T.StructType.fromDDL(added).fields
+    types = [to_arrow_type(f.dataType) for f in fields]
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = compute(*[batch.column(f"__in_{c}").to_pylist() for c in used])
+            places = made.get("rows")
+            old = [batch.column(c) for c in kept]
+            if places is not None:
+                old = [c.take(pa.array(np.asarray(places, np.int64))) for c in old]
+            new = [pa.array(made[f.name], t) for f, t in zip(fields, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*old, *new], names=[*kept, *[f.name for f in fields]])
+
+    source = with_package(rows).select(*[F.col(f"`{c}`") for c in kept], *[F.col(c).alias(f"__in_{c}") for c in used])
+    return source.mapInArrow(step, T.StructType([*[rows.schema[c] for c in kept], *fields]))
+
+
 def whole_text(name: str = "text") -> Column:
     """The text; empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

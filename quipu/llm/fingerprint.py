@@ -10,11 +10,11 @@ Bands of slots give candidates, and a comparison of the whole fingerprints verif
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import stored, whole_text, with_package
+from quipu.llm.common import map_batches, stored, whole_text, with_package
 
 SLOTS = 128
 STRETCH = 3
@@ -139,13 +139,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """docs with fingerprint (lowercase hex of SLOTS bytes) in place of their text. Equal texts have equal fingerprints; a null or
     empty one has zeros only."""
     kept = [c for c in docs.columns if c not in ("text", "fingerprint")]
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "fingerprint string"])
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[kept].assign(fingerprint=[f.tobytes().hex() for f in embed_all(list(batch["text"]))])
-
-    return with_package(docs).select(*kept, whole_text().alias("text")).mapInPandas(walk, schema)
+    walk = lambda texts: {"fingerprint": [f.tobytes().hex() for f in embed_all([t or "" for t in texts])]}
+    return map_batches(docs, ["text"], kept, "fingerprint string", walk)
 
 
 def near_pairs(docs: DataFrame, alike_from: float = ALIKE, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
@@ -197,18 +192,19 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     dealt = at.select("doc_id", "text", F.inline(copies))
     dealt = dealt.repartition(max(count, 1), "range").sortWithinPartitions("range", "closing", F.col("doc_id").desc_nulls_last(), "text")
 
-    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             out = []
-            for doc_id, text, part, closing in zip(*[batch[c] for c in ("doc_id", "text", "range", "closing")], strict=True):
+            for doc_id, text, part, closing in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "range", "closing")], strict=True):
                 if last is not None and last[2] == part:
-                    out.append((last[0], last[1], text))
+                    out.append({"doc_id": last[0], "text": last[1], "following": text})
                 # Of the rows sent along, the first closes the range.
                 last = None if closing else (doc_id, text, part)
-            yield pd.DataFrame(out, columns=["doc_id", "text", "following"]).astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return with_package(dealt).mapInPandas(follow, "doc_id long, text string, following string")
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("following", pa.string())])
+    return with_package(dealt).mapInArrow(follow, "doc_id long, text string, following string")
 
 
 def edited(text: str, following: str) -> str:

@@ -9,14 +9,13 @@ however many pieces there are, and every piece finds its sequence from its rank
 import array
 import re
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipu.llm.common import stored, whole_text, with_package
+from quipu.llm.common import map_batches, stored
 
 SIZE = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -81,27 +80,22 @@ def _encoder(path: str) -> Encoder:
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = 0) -> DataFrame:
     """docs without their text, one row per piece: piece, start, length, ids_crc32. A null text is empty: the end id alone."""
-    kept = [c for c in docs.columns if c != "text"]
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "piece int, start long, length long, ids_crc32 long"])
+    made = ["piece", "start", "length", "ids_crc32"]
+    kept = [c for c in docs.columns if c not in ("text", *made)]
     stop = np.asarray([end], "<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(texts: list[str | None]) -> dict:
         encode = _encoder(tokenizer).encode
-        for batch in batches:
-            rows, out = [], []
-            for i, text in enumerate(batch["text"]):
-                ids = encode(text) + stop
-                for k in range(0, len(ids), 4 * size):
-                    part = ids[k : k + 4 * size]
-                    rows.append(i)
-                    out.append((k // (4 * size), k // 4, len(part) // 4, zlib.crc32(part)))
-            found = batch[kept].iloc[rows].reset_index(drop=True)
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            for name, kind, values in zip(["piece", "start", "length", "ids_crc32"], ["int32", "int64", "int64", "int64"], columns, strict=True):
-                found[name] = np.asarray(values, kind)
-            yield found
-
-    return with_package(docs).select(*kept, whole_text().alias("text")).mapInPandas(cut, schema)
+        rows, out = [], []
+        for i, text in enumerate(texts):
+            ids = encode(text or "") + stop
+            for k in range(0, len(ids), 4 * size):
+                part = ids[k : k + 4 * size]
+                rows.append(i)
+                out.append((k // (4 * size), k // 4, len(part) // 4, zlib.crc32(part)))
+        return {"rows": rows} | dict(zip(made, zip(*out, strict=True) if out else [[]] * 4, strict=True))
+
+    return map_batches(docs, ["text"], kept, "piece int, start long, length long, ids_crc32 long", cut)
 
 
 def few_document_patterns(counts: np.ndarray, partners: int = PARTNERS) -> np.ndarray:

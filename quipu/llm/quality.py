@@ -6,15 +6,13 @@ batch of documents at once, one step per level.
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import whole_text, with_package
+from quipu.llm.common import map_batches
 from quipu.llm.toxicity import labelled_sample
 
 TRAIN_ROWS = 20_000
@@ -139,20 +137,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def _table(batch: pd.DataFrame) -> np.ndarray:
-    return np.asarray([statistics(t or "") for t in batch["text"]], float).reshape(-1, len(FEATURES))
+def _table(texts: list[str | None]) -> np.ndarray:
+    return np.asarray([statistics(t or "") for t in texts], float).reshape(-1, len(FEATURES))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Trees from labelled rows that aren't held out, at most about ``rows``; their statistics reach the driver, their texts don't."""
     sample = labelled_sample(docs, labels, "quality", ~held_out(F.col("doc_id")), rows)
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": list(_table(batch))})
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, x array<double>"
-    found = with_package(sample).select("doc_id", "text", F.col("label").cast("int").alias("label")).mapInPandas(measure, schema).collect()
+    sample = sample.withColumn("label", F.col("label").cast("int"))
+    found = map_batches(sample, ["text"], ["doc_id", "label"], "x array<double>", lambda texts: {"x": list(_table(texts))}).collect()
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), str(r["doc_id"])))
     x = np.asarray([r["x"] for r in found], float).reshape(-1, len(FEATURES))
     return grow(x, np.asarray([r["label"] for r in found], float))
@@ -161,10 +155,4 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
 def score_quality(docs: DataFrame, model: Trees) -> DataFrame:
     """docs without their text, with quality (0 to 1). Null and empty texts score as texts whose statistics are all 0."""
     kept = [c for c in docs.columns if c not in ("text", "quality")]
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "quality double"])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[kept].assign(quality=model.score(_table(batch)))
-
-    return with_package(docs).select(*kept, whole_text().alias("text")).mapInPandas(score, schema)
+    return map_batches(docs, ["text"], kept, "quality double", lambda texts: {"quality": model.score(_table(texts))})

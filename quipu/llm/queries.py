@@ -1,14 +1,12 @@
 """Contract queries of the subpackage: thin digests of what the operators return."""
 
 import hashlib
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import fingerprint, group_join, mixing, packing, pii, quality, rules, secret_scan, toxicity, warc
-from quipu.llm.common import table, with_package
+from quipu.llm.common import map_batches, table
 
 
 def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,25 +65,23 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = fingerprint.with_successor(table(spark, folder, "documents").select("doc_id", "text"))
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, after = list(batch["text"]), list(batch["following"])
-            changed = [fingerprint.edited(t, f) for t, f in zip(texts, after, strict=True)]
-            # The next document mostly is the next row: every text is walked once.
-            different = list(dict.fromkeys([*texts, *changed, *after]))
-            place, prints = {t: k for k, t in enumerate(different)}, fingerprint.embed_all(different)
-            own, other, following = (prints[[place[t] for t in x]] for x in (texts, changed, after))
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"], "n_chars": [len(t) for t in texts],
-                    "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-                    "fingerprint": [f.tobytes().hex() for f in own], "edited_fingerprint": [f.tobytes().hex() for f in other],
-                    "near_edited": fingerprint.alike(own, other), "near_next": fingerprint.alike(own, following),
-                }
-            )
-
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_package(docs).mapInPandas(compare, schema)
+    def compare(texts: list[str], after: list[str]) -> dict:
+        changed = [fingerprint.edited(t, f) for t, f in zip(texts, after, strict=True)]
+        # The next document mostly is the next row: every text is walked once.
+        different = list(dict.fromkeys([*texts, *changed, *after]))
+        place, prints = {t: k for k, t in enumerate(different)}, fingerprint.embed_all(different)
+        own, other, following = (prints[[place[t] for t in x]] for x in (texts, changed, after))
+        return {
+            "n_chars": [len(t) for t in texts],
+            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
+            "fingerprint": [f.tobytes().hex() for f in own],
+            "edited_fingerprint": [f.tobytes().hex() for f in other],
+            "near_edited": fingerprint.alike(own, other),
+            "near_next": fingerprint.alike(own, following),
+        }
+
+    made = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return map_batches(docs, ["text", "following"], ["doc_id"], made, compare)
 
 
 def op9_group_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import whole_text, with_package
+from quipu.llm.common import map_batches, whole_text, with_package
 
 #: Labelled rows that the lexicon and the calibration see at most, together.
 TRAIN_ROWS = 15_000
@@ -240,14 +240,12 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     equal texts score equally; an empty table gives an empty result.
     """
     kept = [c for c in docs.columns if c not in ("toxicity", "passages")]
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], f"toxicity double, passages {PASSAGES}"])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [model.passages(t or "") for t in batch["text"]]
-            out = batch.copy()
-            out["toxicity"] = [model.score(model.evidence(f)) for f in found]
-            out["passages"] = [[dict(zip(("first", "last", "score", "chance"), p, strict=True)) for p in f] for f in found]
-            yield out
+    def score(texts: list[str | None]) -> dict:
+        found = [model.passages(t or "") for t in texts]
+        return {
+            "toxicity": [model.score(model.evidence(f)) for f in found],
+            "passages": [[dict(zip(("first", "last", "score", "chance"), p, strict=True)) for p in f] for f in found],
+        }
 
-    return with_package(docs).select(*kept).mapInPandas(score, schema)
+    return map_batches(docs, ["text"], kept, f"toxicity double, passages {PASSAGES}", score)
