@@ -73,21 +73,39 @@ def fit_voters(patterns: dict[tuple[int, ...], int], prior: float, rounds: int =
     return model
 
 
-def fit_logistic(rows: list[tuple[tuple[float, ...], float, float]], rounds: int = 300, penalty: float = 1.0) -> list[float]:
-    """Weights (bias last) of a logistic model of (features, probability, count) rows, by gradient steps with a diagonal bound on
-    the curvature."""
+def _solved(a: list[list[float]], b: list[float]) -> list[float]:
+    """x of a x = b, by elimination; a is positive definite."""
+    n, m = len(b), [[*row, v] for row, v in zip(a, b, strict=True)]
+    for k in range(n):
+        for i in range(k + 1, n):
+            f = m[i][k] / m[k][k]
+            m[i] = [x - f * y for x, y in zip(m[i], m[k], strict=True)]
+    x = [0.0] * n
+    for k in reversed(range(n)):
+        x[k] = (m[k][n] - sum(m[k][j] * x[j] for j in range(k + 1, n))) / m[k][k]
+    return x
+
+
+def fit_logistic(rows: list[tuple[tuple[float, ...], float, float]], rounds: int = 30, penalty: float = 0.05) -> list[float]:
+    """Weights (bias last) of a logistic model of (features, probability, count) rows, by Newton steps."""
     width = len(rows[0][0]) + 1 if rows else 1
     weights = [0.0] * width
     rows = [((*x, 1.0), p, n) for x, p, n in rows]
-    bound = [penalty + 0.25 * sum(n * abs(x[k]) * sum(map(abs, x)) for x, _, n in rows) for k in range(width)]
     for _ in range(rounds):
         slope = [-penalty * w for w in weights]
-        slope[-1] = 0.0
+        bend = [[penalty * (i == j) for j in range(width)] for i in range(width)]
         for x, p, n in rows:
             z = sum(w * v for w, v in zip(weights, x, strict=True))
-            miss = n * (p - 1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
-            for k, v in enumerate(x):
-                if v:
-                    slope[k] += miss * v
-        weights = [w + s / b for w, s, b in zip(weights, slope, bound, strict=True)]
+            q = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+            own = [k for k, v in enumerate(x) if v]
+            for i in own:
+                slope[i] += n * (p - q) * x[i]
+                for j in own:
+                    bend[i][j] += n * q * (1 - q) * x[i] * x[j]
+        step = _solved(bend, slope)
+        # Shortened where it would overshoot.
+        size = max(map(abs, step))
+        weights = [w + s * min(1.0, 2.0 / max(size, 1e-12)) for w, s in zip(weights, step, strict=True)]
+        if size < 1e-6:
+            break
     return weights
