@@ -131,7 +131,7 @@ def write_archives(chunks: DataFrame, folder: str, day: str = "2000-01-01T00:00:
                     if out is None or size >= roll:
                         close()
                         path, records, size = f"{base}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                        out = files.open_output_stream(path)
+                        out = files.open_output_stream(path, compression=None)
                     member, digest = _Member(out, level), hashlib.sha1()
                     member.add(_head(row, day))
                 digest.update(row["data"])
@@ -213,7 +213,7 @@ def read_chunks(files: DataFrame, folder: str, chunk: int = CHUNK, with_data: bo
         system, _ = _file_system(folder)
         for path in (p for b in batches for p in b.column("path").to_pylist()):
             rows, held, record, total, digest = [], 0, -1, 0, None
-            with system.open_input_stream(path) as stream:
+            with system.open_input_stream(path, compression=None) as stream:
                 for meta, number, last, data in _records(stream, chunk):
                     if number == 0:
                         record, total, digest = record + 1, 0, hashlib.sha1()
