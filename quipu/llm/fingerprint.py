@@ -1,7 +1,7 @@
 """Document fingerprints by randomised edit embedding.
 
-One random walk, shared by all documents, turns a text of n characters into a string of 3 n: at step j it writes the current character
-and moves on or stays, by a random bit of (j, character). Texts a few edits apart fall back into step, so their strings differ in
+One random walk, shared by all documents, turns a text of n characters into a string of about 2 n: at step j it writes the current
+character and moves on or stays, by a random bit of (j, character), up to the text's end. Texts a few edits apart fall back into step, so their strings differ in
 few places: edit distance becomes Hamming distance. A fingerprint samples places of that string. Every slot of it samples by its own
 random order of all places, the first of those that the string has, so that texts of different lengths share most of their samples.
 Bands of slots give candidates, and a comparison of the whole fingerprints verifies them.
@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import map_batches, stored, whole_text, with_package
+from quipu.llm.common import bound, map_batches, stored, whole_text, with_package
 
 SLOTS = 128
 STRETCH = 3
@@ -27,6 +27,11 @@ _PERIOD = 8192
 _SEED = 20_240_229
 
 
+def limits(sizes: np.ndarray) -> np.ndarray:
+    """Most steps of a walk: about two for a character, with room that chance practically never uses up."""
+    return np.where(sizes > 0, STRETCH * sizes + 64, 0)
+
+
 def _moves() -> np.ndarray:
     """Random bits of (step, character class); class 0 is the end of a text, where the walk stays."""
     bits = np.random.default_rng(_SEED).integers(0, 2, (_PERIOD, 256)).astype(np.int64)
@@ -53,16 +58,23 @@ class Sampler:
                 self.values[s] = v * rng.random()
         self.reach = length
 
-    def places(self, lengths: np.ndarray) -> np.ndarray:
-        """(texts, slots) sampled places, below each length; -1 for length 0."""
-        if len(lengths) and lengths.max() > self.reach:
-            self._extend(int(lengths.max()))
-        out = np.empty((len(lengths), len(self.records)), np.int64)
+    def places(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, slot, place), by place: all that may be a slot's sample in texts of these sizes. A walk takes ``size`` steps at
+        least, so that is the last record below size and those from there to the most steps."""
+        most = limits(sizes)
+        if len(most) and most.max() > self.reach:
+            self._extend(int(most.max()))
+        parts = []
         for s, records in enumerate(self.records):
             r = np.asarray(records, np.int64)
-            out[:, s] = r[np.maximum(np.searchsorted(r, lengths, "left") - 1, 0)]
-        out[lengths == 0] = -1
-        return out
+            low = np.maximum(np.searchsorted(r, sizes, "left") - 1, 0)
+            count = np.where(sizes > 0, np.searchsorted(r, most, "left") - low, 0)
+            rows = np.repeat(np.arange(len(sizes)), count)
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+            parts.append((rows, np.full(len(rows), s), r[at]))
+        rows, slots, when = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        turn = np.argsort(when, kind="stable")
+        return rows[turn], slots[turn], when[turn]
 
 
 _STATE: dict = {}
@@ -89,19 +101,18 @@ def embed(texts: list[str]) -> np.ndarray:
     order = np.argsort([-len(t) for t in texts], kind="stable")
     classes = [_classes(texts[k]) for k in order]
     sizes = np.asarray([len(c) for c in classes], np.int64)
-    lengths = STRETCH * sizes
     flat = np.concatenate([np.append(c, np.uint8(0)) for c in classes]) if classes else np.zeros(1, np.uint8)
-    at = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64) if classes else np.empty(0, np.int64)
-    places = sampler.places(lengths)
-    rows, slots = np.nonzero(places >= 0)
-    when = places[rows, slots]
-    turn = np.argsort(when, kind="stable")
-    rows, slots, when = rows[turn], slots[turn], when[turn]
+    ends = np.cumsum(sizes + 1) - 1
+    at = ends - sizes
+    rows, slots, when = sampler.places(sizes)
     out = np.zeros((len(texts), SLOTS), np.uint8)
-    done, longest = 0, int(lengths[0]) if len(lengths) else 0
-    active = len(lengths)
+    longest = int(limits(sizes[:1])[0]) if len(sizes) else 0
+    done, active = 0, len(sizes)
     for start in range(0, longest, BLOCK):
-        active = int(np.searchsorted(-lengths[:active], -start, "left"))
+        walking = np.flatnonzero(at[:active] < ends[:active])
+        active = int(walking[-1]) + 1 if len(walking) else 0
+        if not active:
+            break
         steps = min(BLOCK, longest - start)
         written, pos = np.empty((steps, active), np.uint8), at[:active]
         for k in range(steps):
@@ -109,8 +120,12 @@ def embed(texts: list[str]) -> np.ndarray:
             np.take(flat, pos, out=c)
             pos += moves[(start + k) % _PERIOD].take(c)
         stop = int(np.searchsorted(when, start + steps, "left"))
-        r, s, w = rows[done:stop], slots[done:stop], when[done:stop]
-        mixed = (w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + written[w - start, r].astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        here = rows[done:stop] < active
+        r, s, w = rows[done:stop][here], slots[done:stop][here], when[done:stop][here]
+        sign = written[w - start, r]
+        # Later records replace earlier ones, up to the end of the walk, where 0 is written.
+        r, s, w, sign = (x[sign > 0] for x in (r, s, w, sign))
+        mixed = (w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + sign.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
         out[order[r], s] = (mixed >> np.uint64(33)) % np.uint64(255) + np.uint64(1)
         done = stop
     return out
@@ -165,6 +180,20 @@ def near_pairs(docs: DataFrame, alike_from: float = ALIKE, bands: int = BANDS) -
     return pairs.filter(F.col("likeness") >= alike_from).select("a", "b", "likeness"), members
 
 
+def _range_of(value: Column, cuts: list) -> Column:
+    """How many of the descending cuts are above the value, by binary search; all of them for a null."""
+    if not cuts:
+        return F.lit(0)
+    array = F.array(*[F.lit(c) for c in cuts])
+
+    def search(low: Column, step: int) -> Column:
+        if not step:
+            return low
+        return bound(F.when(F.get(array, low + step - 1) > value, low + step).otherwise(low), lambda x: search(x, step // 2))
+
+    return F.when(value.isNull(), len(cuts)).otherwise(search(F.lit(0), 1 << (len(cuts).bit_length() - 1)))
+
+
 def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc_id, text and following, the text of the next document by descending doc_id; the last one's is the first's.
 
@@ -176,17 +205,13 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     count = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
     cuts = rows.select(F.percentile_approx("doc_id", [k / count for k in range(1, count)], 100 * count)).first()[0] or []
     cuts = sorted(set(cuts), reverse=True)
-    bucket = F.lit(len(cuts))
-    for k, c in reversed(list(enumerate(cuts))):
-        bucket = F.when(F.col("doc_id") >= c, k).otherwise(bucket)
-    at = rows.withColumn("__bucket", bucket)
-    heads = at.groupBy("__bucket").agg(F.max("doc_id").alias("id")).collect()
-    heads = sorted((r["__bucket"], r["id"]) for r in heads) if heads else []
+    at = rows.withColumn("__bucket", _range_of(F.col("doc_id"), cuts))
+    heads = {r["__bucket"]: r["id"] for r in at.groupBy("__bucket").agg(F.max("doc_id").alias("id")).collect()}
     # The head of a range closes the range before it; the first range's head closes the last.
-    sent = F.array().cast("array<int>")
-    for k, (b, i) in enumerate(heads):
-        before = heads[k - 1][0]
-        sent = F.when((F.col("__bucket") == b) & F.col("doc_id").eqNullSafe(F.lit(i)), F.array(F.lit(before))).otherwise(sent)
+    filled = sorted(heads)
+    before = {b: filled[k - 1] for k, b in enumerate(filled)}
+    of = lambda values, kind: F.get(F.array(*[F.lit(values.get(k)).cast(kind) for k in range(len(cuts) + 1)]), F.col("__bucket"))
+    sent = F.when(F.col("doc_id").eqNullSafe(of(heads, "long")), F.array(of(before, "int"))).otherwise(F.array().cast("array<int>"))
     own = F.struct(F.col("__bucket").alias("range"), F.lit(0).alias("closing"))
     copies = F.concat(F.array(own), F.transform(sent, lambda b: F.struct(b.alias("range"), F.lit(1).alias("closing"))))
     dealt = at.select("doc_id", "text", F.inline(copies))
