@@ -1,12 +1,13 @@
 """Embedding and exact cosine search."""
 
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,18 +20,44 @@ DIMENSION = 1536
 TOP_K = 5
 # Questions are sent to the tasks in blocks of at most this many bytes.
 QUESTION_BLOCK_BYTES = 8 << 20
-# Scores are compared at this precision, so equal texts tie and the key decides.
-SCORE_DIGITS = 6
+WORDS = r"[\p{L}\p{M}\p{N}_]+"
+WORD_CACHE = 200_000
+# Scores are compared up to the noise of floating-point sums, so that equal texts tie and the key decides, and shown shorter.
+SCORE_DIGITS = 12
+SHOWN_DIGITS = 6
 
 
 def embed_by_hashing(rows: DataFrame, text: str = "texto", output: str = "embedding", dimension: int = DIMENSION) -> DataFrame:
-    """Unit-length term-frequency vectors by feature hashing over the whole text."""
-    words = RegexTokenizer(inputCol="_texto", outputCol="_palabras", pattern=r"\W+", toLowercase=True)
-    counted = HashingTF(inputCol="_palabras", outputCol="_tf", numFeatures=dimension)
-    scaled = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0)
-    prepared = rows.withColumn("_texto", F.coalesce(F.col(text), F.lit("")))
-    vectors = scaled.transform(counted.transform(words.transform(prepared)))
-    return vectors.withColumn(output, vector_to_array("_unit", "float32")).drop("_texto", "_palabras", "_tf", "_unit")
+    """Unit-length term-frequency vectors by feature hashing over the whole text.
+
+    Words are runs of letters, marks, digits and underscores of any script, in lower case. A word's place is the first 32 bits of
+    its MD5 modulo ``dimension``. A null text and one without words give the zero vector.
+    """
+    kept = rows.select(*[c for c in rows.columns if c != output], F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_texto"))
+    schema = T.StructType([*[f for f in kept.schema.fields if f.name != "_texto"], T.StructField(output, T.ArrayType(T.FloatType()))])
+    names = schema.fieldNames()[:-1]
+
+    def place(word: str) -> int:
+        return int.from_bytes(hashlib.md5(word.encode("utf-8", "surrogatepass")).digest()[:4], "big") % dimension
+
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = regex.compile(WORDS)
+        places: dict[str, int] = {}
+        for batch in batches:
+            if len(places) > WORD_CACHE:
+                places.clear()
+            vectors = np.zeros((batch.num_rows, dimension))
+            for i, value in enumerate(batch.column("_texto").to_pylist()):
+                for word, n in Counter(words.findall(value)).items():
+                    if word not in places:
+                        places[word] = place(word)
+                    vectors[i, places[word]] += n
+            lengths = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+            unit = (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
+            made = pa.ListArray.from_arrays(pa.array(np.arange(0, unit.size + 1, dimension), pa.int32()), pa.array(unit.ravel()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], names=[*names, output])
+
+    return kept.mapInArrow(embed, schema)
 
 
 def build_index(documents: DataFrame, embed=embed_by_hashing) -> DataFrame:
@@ -56,7 +83,8 @@ def cosine(vector: Column, query: list) -> Column:
 def nearest(index: DataFrame, query: list, k: int = TOP_K) -> DataFrame:
     """The k best keys for one question vector."""
     scored = index.withColumn("score", F.round(cosine(F.col("embedding"), query), SCORE_DIGITS))
-    return scored.filter(F.col("score").isNotNull()).orderBy(F.col("score").desc(), "key").limit(k)
+    best = scored.filter(F.col("score").isNotNull()).orderBy(F.col("score").desc(), "key").limit(k)
+    return best.withColumn("score", F.round("score", SHOWN_DIGITS))
 
 
 def _block_candidates(ids: pa.Array, vectors: np.ndarray, k: int, schema: pa.Schema):
@@ -123,7 +151,8 @@ def nearest_for_all(index: DataFrame, questions: DataFrame, k: int = TOP_K, bloc
     for part in parts[1:]:
         candidates = candidates.unionByName(part)
     order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "key")
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.withColumn("score", F.round("score", SHOWN_DIGITS) + 0.0)
 
 
 def with_metadata(hits: DataFrame, index: DataFrame, at_most: int) -> DataFrame:

@@ -36,11 +36,6 @@ def ledger(spark: SparkSession, folder: str) -> DataFrame:
     return consolidate(movements(spark, folder), config())
 
 
-def kept_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """The ledger, persisted because several branches read it. It holds one row per balance."""
-    return ledger(spark, folder).persist()
-
-
 def _null() -> Column:
     return F.lit(None).cast("string")
 

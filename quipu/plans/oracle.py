@@ -99,7 +99,7 @@ _BLOCK = "CASE WHEN seccion LIKE '%CAJA_ACTUAL%' THEN 'CAJA_ACTUAL' WHEN seccion
 _UNITS = "CAST(round_even(valor_ajustado / 100.0, 0) AS BIGINT)"
 _NUMBER = f"CASE WHEN valor_ajustado < 0 AND {_UNITS} = 0 THEN '-0' ELSE format('{{:,}}', {_UNITS}) END"
 DOC = f"""{REP}, doc AS (SELECT concat_ws('_', dominio, corte, seccion, concepto) AS id, dominio, corte, {_BLOCK} AS categoria_bloque,
- {_TYPE} AS tipo_registro, corte >= {MONTH} AS es_futuro, seccion, concepto, valor_ajustado AS valor,
+ {_TYPE} AS tipo_registro, corte >= {MONTH} AS es_futuro, seccion, concepto, CAST(valor_ajustado / 100.0 AS DOUBLE) AS valor,
  'Dominio financiero: ' || dominio || '. Periodo: ' || corte || '. Sección: ' || seccion || '. ' ||
  CASE WHEN concepto <> '' THEN 'Concepto: ' || concepto || '. ' ELSE '' END || 'Tipo registro: ' || {_TYPE} ||
  '. Valor calculado: ' || {_NUMBER} AS texto FROM rep)"""
@@ -173,7 +173,7 @@ bases AS (SELECT DISTINCT corte AS base FROM m),
 ex AS (SELECT base, fp.dominio, fp.concepto, {_ADD.format('base', 'i')} AS corte, CAST(fp.valor AS BIGINT) AS valor FROM bases, fp, n),
 existing AS (SELECT dominio, corte FROM m WHERE tipo = 'GASTO' AND valor >= {AUTOMATIC_FROM})"""
 
-_SCORE = "round(list_dot_product(CAST(v.embedding AS DOUBLE[]), c.embedding) / (sqrt(list_dot_product(CAST(v.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[]))) * sqrt(list_dot_product(c.embedding, c.embedding))), 6) + 0.0"
+_SCORE = "round(list_dot_product(CAST(v.embedding AS DOUBLE[]), c.embedding) / (sqrt(list_dot_product(CAST(v.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[]))) * sqrt(list_dot_product(c.embedding, c.embedding))), 12)"
 HITS = f"""e AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 means AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM e GROUP BY label, i),
 c AS (SELECT label AS question_id, list(x ORDER BY i) AS embedding FROM means GROUP BY label),
@@ -267,7 +267,7 @@ def oracle_sql() -> dict:
  SELECT clase, dominio, salida, codigo, count(*) AS n, CAST(coalesce(sum(valor), 0) AS BIGINT) AS total FROM s GROUP BY clase, dominio, salida, codigo"""
 
     q["catalogue_names"] = f"""WITH {MOV}, {_catalogue()}, g AS (SELECT dominio, count(*) AS movimientos FROM m GROUP BY dominio)
- SELECT cat.dominio, cat.bloque, cat.nombre, CAST(cat.pos AS INTEGER) AS pos, g.movimientos FROM cat JOIN g ON cat.dominio = g.dominio"""
+ SELECT cat.dominio, cat.bloque, cat.nombre, CAST(cat.pos AS INTEGER) AS pos, coalesce(g.movimientos, 0) AS movimientos FROM cat LEFT JOIN g ON cat.dominio = g.dominio"""
     q["catalogue_type"] = f"""WITH {MOV}, {_catalogue()}, d AS (SELECT dominio, nombre, arg_min(tipo, pos) AS tipo FROM cat WHERE bloque = 'CAJA_ACTUAL' GROUP BY dominio, nombre)
  SELECT m.trx_id, m.dominio, m.cuenta_destino, d.tipo AS tipo_destino FROM m LEFT JOIN d ON m.dominio = d.dominio AND m.cuenta_destino = d.nombre"""
     q["selectable_values"] = f"""WITH {MOV}, {_catalogue()}, t(tipo_registro, clase, bloque) AS (VALUES
@@ -338,10 +338,14 @@ def oracle_sql() -> dict:
     q["doc_text"] = f"WITH {DOC} SELECT id, texto FROM doc"
     q["documents"] = f"WITH {DOC} SELECT * FROM doc"
 
-    q["vector_topk"] = f"WITH {HITS} SELECT question_id, key, CAST(rank AS INTEGER) AS rank, score FROM hits"
+    q["vector_topk"] = f"WITH {HITS} SELECT question_id, key, CAST(rank AS INTEGER) AS rank, round(score, 6) + 0.0 AS score FROM hits"
     q["context_text"] = f"""WITH {HITS} SELECT question_id, string_agg(chr(10) || 'Dominio: ' || CASE WHEN label < 3 THEN 'CASA' WHEN label < 6 THEN 'PERSONAL' ELSE 'AHORRO' END ||
  chr(10) || 'Periodo: 1998-07' || chr(10) || 'Sección: PROYECCION' || chr(10) || 'Concepto: ' || CASE WHEN label <> 0 THEN 'ETIQUETA ' || CAST(label AS VARCHAR) ELSE 'None' END ||
  chr(10) || 'Valor: ' || CAST(key AS VARCHAR) || chr(10), chr(10) ORDER BY rank) AS contexto FROM hits GROUP BY question_id"""
+    q["embed_hash"] = """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}_]+')) AS palabra FROM documents),
+ p AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(palabra), 1, 8) AS BIGINT) % 256 AS INTEGER) AS posicion, count(*) AS n FROM w GROUP BY ALL),
+ s AS (SELECT *, sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS largo FROM p)
+ SELECT doc_id, posicion, round(CAST(CAST(n / largo AS FLOAT) AS DOUBLE), 6) AS peso FROM s"""
     q["question_intake"] = f"""WITH {_REQ} SELECT conv_id, turn, canal AS channel_id, usuario AS user_id, text AS question FROM req WHERE role = 'user' AND coalesce(text, '') <> ''"""
 
     q["dash_filter"] = f"WITH {REP} SELECT {section} FROM rep WHERE dominio = 'CASA' AND seccion = 'PROYECCION'"

@@ -66,15 +66,15 @@ def catalogue_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = run_folder(spark, "report-csv")
-    files.write_report_csv(report.report(inputs.kept_ledger(spark, folder), AS_OF), path)
+    files.write_report_csv(report.report(inputs.ledger(spark, folder), AS_OF), path)
     return files.read_report_csv(spark, path).withColumn("valor_ajustado", F.col("valor_ajustado").cast("bigint"))
 
 
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = run_folder(spark, "documents")
-    rows = report.report(inputs.kept_ledger(spark, folder), AS_OF)
+    rows = report.report(inputs.ledger(spark, folder), AS_OF)
     files.write_documents(documents.documents(rows, AS_OF, CENTS), path)
-    return files.read_documents(spark, path).withColumn("valor", F.col("valor").cast("bigint"))
+    return files.read_documents(spark, path).withColumn("valor", F.col("valor").cast("double"))
 
 
 # --- envelopes and routing ---------------------------------------------------
@@ -176,7 +176,7 @@ def catalogue_names(spark: SparkSession, folder: str) -> DataFrame:
             part = catalogue.names(spark, config, domain, block).select(F.lit(domain).alias("dominio"), F.lit(block).alias("bloque"), "nombre", "pos")
             listed = part if listed is None else listed.unionByName(part)
     counts = movements(spark, folder).groupBy("dominio").agg(F.count(F.lit(1)).alias("movimientos"))
-    return listed.join(counts, "dominio")
+    return listed.join(counts, "dominio", "left").fillna(0, ["movimientos"])
 
 
 def catalogue_type(spark: SparkSession, folder: str) -> DataFrame:
@@ -292,7 +292,7 @@ def close_carry(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def close_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return close.close_month(inputs.kept_ledger(spark, folder), inputs.close_config(), AS_OF).select(*KEY, "bloque", "valor")
+    return close.close_month(inputs.ledger(spark, folder), inputs.close_config(), AS_OF).select(*KEY, "bloque", "valor")
 
 
 # --- projections -------------------------------------------------------------
@@ -358,11 +358,11 @@ def report_running_projection(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_projected_cash(spark: SparkSession, folder: str) -> DataFrame:
-    return report.projected_cash(inputs.kept_ledger(spark, folder), AS_OF)
+    return report.projected_cash(inputs.ledger(spark, folder), AS_OF)
 
 
 def _report(spark: SparkSession, folder: str) -> DataFrame:
-    return report.report(inputs.kept_ledger(spark, folder), AS_OF)
+    return report.report(inputs.ledger(spark, folder), AS_OF)
 
 
 def report_full(spark: SparkSession, folder: str) -> DataFrame:
@@ -385,7 +385,7 @@ def doc_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return documents.documents(_report(spark, folder), AS_OF, CENTS)
+    return documents.documents(_report(spark, folder), AS_OF, CENTS).withColumn("valor", F.col("valor").cast("double"))
 
 
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -405,7 +405,8 @@ def question_intake(spark: SparkSession, folder: str) -> DataFrame:
 
 def embed_hash(spark: SparkSession, folder: str) -> DataFrame:
     embedded = search.embed_by_hashing(inputs.table(spark, folder, "documents"), "text", dimension=256)
-    return embedded.select("doc_id", "embedding")
+    places = embedded.select("doc_id", F.posexplode("embedding").alias("posicion", "peso")).filter("peso <> 0")
+    return places.withColumn("peso", F.round(F.col("peso").cast("double"), 6))
 
 
 # --- dashboard ---------------------------------------------------------------
