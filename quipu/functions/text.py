@@ -18,9 +18,13 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def trimmed(text: Column) -> Column:
+    return F.trim(text, F.lit(_BLANKS))
+
+
 def amount(text: Column) -> Column:
     """Decimal amount, null where the text is not a finite number."""
-    return F.trim(text, F.lit(_BLANKS)).try_cast(AMOUNT)
+    return trimmed(text).try_cast(AMOUNT)
 
 
 def keyed_origin(tipo: Column, origen: Column) -> Column:

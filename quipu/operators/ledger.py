@@ -16,8 +16,7 @@ def stored_steps(ledger: DataFrame, like: DataFrame) -> DataFrame:
     """A stored ledger as the first step of each of its keys (null order columns sort first)."""
     types = dict(like.dtypes)
     order = [f"CAST(NULL AS {types[c]}) AS {c}" for c in ORDER]
-    amount = f"CAST(valor AS {types['delta']}) AS delta"
-    return ledger.selectExpr(*KEY, *order, "bloque", "origen", amount, "false AS por_regla", "false AS limitado")
+    return ledger.selectExpr(*KEY, *order, "bloque", "origen", "valor AS delta", "false AS por_regla", "false AS limitado")
 
 
 def additive_balances(steps: DataFrame) -> DataFrame:

@@ -150,6 +150,8 @@ def postings(
         return (only is None or kind in only) and (without is None or kind not in without)
 
     spark = movements.sparkSession
+    if "seq" not in movements.columns:
+        movements = movements.withColumn("seq", F.lit(None).cast("string"))
     card_target = "false"
     if _flips(config):
         types = config.account_type_dim(spark).selectExpr("dominio", "nombre AS cuenta_destino", "tipo_nombre AS _tipo_destino")
@@ -173,7 +175,7 @@ def postings(
     hits.append((unmatched, len(config.rules)))
 
     fired = flagged.selectExpr(
-        "trx_id", "created_at", "corte", "dominio", "tipo", "bloque", "concepto", "nullif(origen, '') AS origen",
+        "trx_id", "created_at", "seq", "corte", "dominio", "tipo", "bloque", "concepto", "nullif(origen, '') AS origen",
         "nullif(cuenta_destino, '') AS cuenta_destino", "valor", f"{card_target} AS _a_tarjeta", f"{_fired(hits)} AS regla_pos",
     ).filter("regla_pos IS NOT NULL")
     to_target, to_affected = "ruta <=> 'USAR_CUENTA_DESTINO'", "ruta <=> 'USAR_CUENTA_AFECTADA'"
@@ -183,7 +185,7 @@ def postings(
     return (
         fired.join(_actions(spark, config, active, wanted), "regla_pos")
         .selectExpr(
-            "trx_id", "created_at", "corte", "regla_pos", "accion_pos", "regla_id", "por_regla", "complementaria",
+            "trx_id", "created_at", "seq", "corte", "regla_pos", "accion_pos", "regla_id", "por_regla", "complementaria",
             "coalesce(a_dominio, dominio) AS dominio",
             "coalesce(a_tipo, tipo) AS tipo",
             "coalesce(a_concepto, concepto) AS concepto",

@@ -10,7 +10,8 @@ from quipu.operators.projections import new_projections
 from quipu.operators.report import report
 from quipu.operators.search import build_index, embed_by_hashing, write_index
 from quipu.sources.files import write_documents, write_report_csv
-from quipu.sources.snapshots import last_batch, read_ledger, write_ledger
+from quipu.sources.snapshots import VersionConflict, latest, read_ledger, write_ledger
+from quipu.streaming.jobs import COMMIT_ATTEMPTS
 
 
 def rebuild_ledger(movements: DataFrame, config: LedgerConfig, path: str) -> int:
@@ -19,11 +20,16 @@ def rebuild_ledger(movements: DataFrame, config: LedgerConfig, path: str) -> int
 
 
 def monthly_close(spark: SparkSession, config: LedgerConfig, path: str, as_of=None, **options) -> int | None:
-    """Close the month before the run date as one atomic new version."""
-    ledger = read_ledger(spark, path)
-    if ledger is None:
-        return None
-    return write_ledger(close_month(ledger, config, as_of, **options), path, last_batch(spark, path))
+    """Close the month before the run date as one atomic new version; again from the start if another writer commits meanwhile."""
+    for attempt in range(COMMIT_ATTEMPTS):
+        base = latest(spark, path)
+        if not base:
+            return None
+        try:
+            return write_ledger(close_month(read_ledger(spark, path, base), config, as_of, **options), path, parent=base)
+        except VersionConflict:
+            if attempt + 1 == COMMIT_ATTEMPTS:
+                raise
 
 
 def monthly_projections(existing: DataFrame, config: LedgerConfig, path: str, corte: str | None = None, as_of=None) -> None:

@@ -342,6 +342,13 @@ def oracle_sql() -> dict:
     q["context_text"] = f"""WITH {HITS} SELECT question_id, string_agg(chr(10) || 'Dominio: ' || CASE WHEN label < 3 THEN 'CASA' WHEN label < 6 THEN 'PERSONAL' ELSE 'AHORRO' END ||
  chr(10) || 'Periodo: 1998-07' || chr(10) || 'Sección: PROYECCION' || chr(10) || 'Concepto: ' || CASE WHEN label <> 0 THEN 'ETIQUETA ' || CAST(label AS VARCHAR) ELSE 'None' END ||
  chr(10) || 'Valor: ' || CAST(key AS VARCHAR) || chr(10), chr(10) ORDER BY rank) AS contexto FROM hits GROUP BY question_id"""
+    q["stream_quarantine"] = f"""WITH {MOV}, t AS (SELECT trx_id % 50 AS k FROM m)
+ SELECT 'RECIBIDOS' AS destino, count(*) + count(*) FILTER (WHERE k = 4) AS n FROM t
+ UNION ALL SELECT 'REPETIDOS', count(*) FROM t WHERE k = 4
+ UNION ALL SELECT 'APLICADOS', count(*) FROM t WHERE k NOT IN (1, 2, 3)
+ UNION ALL SELECT 'VALOR_NO_NUMERICO', count(*) FROM t WHERE k = 1
+ UNION ALL SELECT 'FALTA_CONCEPTO', count(*) FROM t WHERE k = 2
+ UNION ALL SELECT 'VALOR_FUERA_DE_RANGO', count(*) FROM t WHERE k = 3"""
     q["embed_hash"] = """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}_]+')) AS palabra FROM documents),
  p AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(palabra), 1, 8) AS BIGINT) % 256 AS INTEGER) AS posicion, count(*) AS n FROM w GROUP BY ALL),
  s AS (SELECT *, sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS largo FROM p)

@@ -17,7 +17,7 @@ from quipu.plans.inputs import AS_OF, CENTS
 from quipu.schema import KEY, LEDGER
 from quipu.scratch import run_folder
 from quipu.sources import files
-from quipu.sources.changes import decode_changes, table_name
+from quipu.sources.changes import decode_changes, source_rows
 from quipu.sources.orders import change_records, movements
 
 
@@ -38,11 +38,9 @@ def change_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 def source_context(spark: SparkSession, folder: str) -> DataFrame:
     records = change_records(movements(spark, folder))
-    decoded = decode_changes(records).select("event_id", "tipo", "bloque", "valor")
-    named = records.select(F.col("eventID").alias("event_id"), table_name(F.col("eventSourceARN")).alias("tabla"))
     # Removals and unmapped tables keep null context.
     return (
-        named.join(decoded, "event_id", "left")
+        source_rows(records)
         .groupBy("tabla", "tipo", "bloque")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("valor").cast("bigint").alias("total"))
     )

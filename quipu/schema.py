@@ -10,8 +10,8 @@ MOVEMENT = [
 # Key of a balance. origen_clave is set only where the key separates by origin.
 KEY = ["dominio", "corte", "tipo", "concepto", "origen_clave"]
 
-# Replay order of the postings of one run.
-ORDER = ["created_at", "trx_id", "regla_pos", "accion_pos"]
+# Replay order of the postings of one run; seq tells apart the records of one movement.
+ORDER = ["created_at", "trx_id", "seq", "regla_pos", "accion_pos"]
 
 LEDGER = KEY + ["bloque", "origen", "valor"]
 
@@ -28,7 +28,7 @@ CHANGE = T.StructType(
         T.StructField("eventID", T.StringType()),
         T.StructField("eventName", T.StringType()),
         T.StructField("eventSourceARN", T.StringType()),
-        T.StructField("dynamodb", T.StructType([T.StructField("NewImage", IMAGE), T.StructField("OldImage", IMAGE)])),
+        T.StructField("dynamodb", T.StructType([T.StructField("NewImage", IMAGE), T.StructField("OldImage", IMAGE), T.StructField("SequenceNumber", T.StringType())])),
     ]
 )
 

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 from quipu import default_config
 from quipu.functions.text import millions_text
 from quipu.operators import dashboard, documents, report
+from quipu.plans import jobs
 from quipu.plans.jobs import daily_report, monthly_close, rebuild_ledger
-from quipu.sources import files
-from quipu.sources.snapshots import last_batch, read_ledger, write_ledger
+from quipu.sources import files, snapshots
+from quipu.sources.snapshots import VersionConflict, last_batch, latest, read_ledger, write_ledger
+from quipu.streaming import jobs as streams
+from quipu.streaming.jobs import apply_batch
 
 CONFIG = default_config()
 AS_OF = dt.date(2026, 4, 15)
@@ -136,5 +139,42 @@ def test_snapshots_and_scheduled_jobs(spark, ledger, movement, tmp_path):
     assert monthly_close(spark, CONFIG, path, dt.date(2026, 5, 1)) == 3
     assert "2026-04" not in {r["corte"] for r in read_ledger(spark, path).collect()}
     # A version that was never committed is not read.
-    (tmp_path / "ledger" / "v00000009-b9").mkdir()
-    assert last_batch(spark, path) == 3
+    (tmp_path / "ledger" / "v9-abc").mkdir()
+    assert last_batch(spark, path) == 3 and latest(spark, path) == 3
+
+
+def test_writers_do_not_lose_each_other(spark, ledger, movement, tmp_path, monkeypatch):
+    """A close and a micro-batch that start from the same version, each committing first in turn."""
+    for first in ("batch", "close"):
+        path = str(tmp_path / first)
+        write_ledger(ledger(("CASA", "2026-04", "GASTO#SALUD", 10)), f"{path}/ledger")
+        batch = movement({"tipo": "GASTO", "concepto": "SALUD", "corte": "2026-06", "valor": 7}).withColumn("event_id", F.lit("e"))
+        other = {
+            "batch": lambda p=path: apply_batch(batch, 0, CONFIG, p),
+            "close": lambda p=path: monthly_close(spark, CONFIG, f"{p}/ledger", dt.date(2026, 5, 1)),
+        }
+        late, module = ("close", jobs) if first == "batch" else ("batch", streams)
+        plain, calls = module.write_ledger, []
+
+        def slow(*args, run=other[first], write=plain, seen=calls, **options):
+            if not seen:
+                seen.append(1)
+                run()
+            return write(*args, **options)
+
+        monkeypatch.setattr(module, "write_ledger", slow)
+        other[late]()
+        monkeypatch.setattr(module, "write_ledger", plain)
+        found = {(r["corte"], r["concepto"]): r["valor"] for r in read_ledger(spark, f"{path}/ledger").collect() if r["valor"]}
+        assert ("2026-04", "SALUD") not in found and found["2026-06", "SALUD"] == 7
+        assert latest(spark, f"{path}/ledger") == 3 and last_batch(spark, f"{path}/ledger") == 0
+
+
+def test_old_versions_go(spark, ledger, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "KEPT_VERSIONS", 2)
+    for i in range(4):
+        write_ledger(ledger(("CASA", "2026-04", "GASTO#SALUD", i)), str(tmp_path), batch=i)
+    assert sorted(p.name for p in tmp_path.glob("*.version")) == ["v3.version", "v4.version"]
+    assert read_ledger(spark, str(tmp_path)).first()["valor"] == 3 and read_ledger(spark, str(tmp_path), 3).first()["valor"] == 2
+    with pytest.raises(VersionConflict):
+        write_ledger(ledger(("CASA", "2026-04", "GASTO#SALUD", 9)), str(tmp_path), parent=3)

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 
 import pytest
@@ -136,3 +137,51 @@ def test_decoded_changes_fold_like_movements(spark):
     assert sorted(map(str, consolidate(decoded, CONFIG).select(*KEY, "valor").collect())) == sorted(
         map(str, consolidate(movements, CONFIG).select(*KEY, "valor").collect())
     )
+
+
+def test_no_record_is_lost(spark, tmp_path):
+    odd = dict(BASE, trx_id="o", descripcion="odd")
+    amounts = {"a": "1.005", "b": "12345678901234567.25", "c": "0.0000001", "d": "1e30", "e": "abc", "f": "NaN"}
+    root = tmp_path / "c"
+    write(root, [change("INSERT", ACCOUNTS, image(**{**BASE, "trx_id": k, "valor": v}), event_id=k) for k, v in amounts.items()])
+    write(root, [change("INSERT", ACCOUNTS, image(**{k: v for k, v in odd.items() if k != "descripcion"}), event_id="g")])
+    write(root, [change("INSERT", ACCOUNTS, image(**BASE), event_id="a"), change("REMOVE", ACCOUNTS, None, event_id="x")])
+    state = str(tmp_path / "s")
+    ledger_stream(stream_changes(spark, str(root)), CONFIG, state, str(tmp_path / "k")).awaitTermination()
+    held = {r["event_id"]: r["motivo"] for r in spark.read.parquet(f"{state}/quarantine").collect()}
+    assert held == {"c": "VALOR_FUERA_DE_RANGO", "d": "VALOR_FUERA_DE_RANGO", "e": "VALOR_NO_NUMERICO", "f": "VALOR_FUERA_DE_RANGO", "g": "FALTA_CONCEPTO"}
+    assert spark.read.parquet(f"{state}/conteos").drop("lote").first() == (8, 1, 5, 2)
+    total = sum(r["valor"] for r in read_ledger(spark, f"{state}/ledger").collect() if r["tipo"] == "CUENTA")
+    assert str(total) in ("12345678901234568.255000", "12345678901234667.250000")
+    more = change("INSERT", ACCOUNTS, image(**{**BASE, "trx_id": "z", "valor": "0.5"}), event_id="z")
+    write(root, [more])
+    ledger_stream(stream_changes(spark, str(root)), CONFIG, state, str(tmp_path / "k")).awaitTermination()
+    again = sum(r["valor"] for r in read_ledger(spark, f"{state}/ledger").collect() if r["tipo"] == "CUENTA")
+    assert str(again - total) == "0.500000"
+
+
+def test_unknown_operations_are_held(spark, movement, tmp_path):
+    rules = [{**r, "acciones": [{**a, "operacion": "NUEVA"} for a in r["acciones"]]} for r in CONFIG.rules]
+    odd = dataclasses.replace(CONFIG, rules=rules)
+    rows = movement({"valor": -5}, {"tipo": "GASTO", "valor": 3}).withColumn("event_id", F.col("trx_id").cast("string"))
+    apply_batch(rows, 0, odd, str(tmp_path))
+    held = spark.read.parquet(f"{tmp_path}/quarantine").collect()
+    assert [r["motivo"] for r in held] == ["OPERACION_NO_SOPORTADA"]
+    assert spark.read.parquet(f"{tmp_path}/conteos").drop("lote").first() == (2, 0, 1, 1)
+
+
+@pytest.mark.parametrize("modify", ["readd", "delta"])
+def test_insert_and_modify_of_one_movement_keep_their_order(spark, tmp_path, modify):
+    """A projection that a negative account movement lowers and its modification raises: the sequence decides, not chance."""
+    first = change("INSERT", ACCOUNTS, image(**{**BASE, "valor": -8}), event_id="b")
+    second = change("MODIFY", ACCOUNTS, image(**{**BASE, "valor": -3}), image(**{**BASE, "valor": -8}), event_id="a")
+    for n, record in ((1, first), (2, second)):
+        record["dynamodb"]["SequenceNumber"] = str(n)
+    found = set()
+    for k, order in enumerate(([first, second], [second, first])):
+        path = write(tmp_path / f"c{k}", order)
+        rows = decode_changes(read_changes(spark, path), modify)
+        assert [r["event_id"] for r in rows.orderBy("seq").collect()] == ["b", "a"]
+        book = consolidate(rows.drop("event_id"), CONFIG).select(*KEY, "valor")
+        found.add(tuple(sorted(map(str, book.collect()))))
+    assert len(found) == 1
