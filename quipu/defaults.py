@@ -1,10 +1,13 @@
 """Default configuration.
 
 Everything in this module is a fixed value: names, amounts, conditions and key
-texts that results depend on. Any of it can be replaced by the JSON documents
-that ``quipu.config.load_config`` reads.
+texts that results depend on. Catalogue, rules, projections and persistent
+concepts can be replaced by the JSON documents that ``quipu.config.load_config``
+reads; source and projection tables, record types and event names cannot.
 """
 
+from typing import NamedTuple
+
 # Catalogue, domain -> block -> type -> names in listed order.
 CATALOGUE = {
     "CASA": {
@@ -183,12 +186,20 @@ PROJECTION_TABLES = {
     "INVERSIONES": "conceptos_fijos_persona",
 }
 
-# What a record type asks for: (needs account, needs concept, concept block, account block).
+
+class RecordType(NamedTuple):
+    """What a form asks for."""
+
+    account: bool
+    concept: bool
+
+
+# Record types.
 RECORD_TYPES = {
-    "MOVIMIENTO_GENERAL": (True, True, "PROYECCION", "CAJA_ACTUAL"),
-    "MOVIMIENTO_TARJETA": (True, True, "PROYECCION", "CAJA_ACTUAL"),
-    "PROYECCION": (False, True, "PROYECCION", None),
-    "TRANSFERENCIA": (True, False, None, "CAJA_ACTUAL"),
+    "MOVIMIENTO_GENERAL": RecordType(account=True, concept=True),
+    "MOVIMIENTO_TARJETA": RecordType(account=True, concept=True),
+    "PROYECCION": RecordType(account=False, concept=True),
+    "TRANSFERENCIA": RecordType(account=True, concept=False),
 }
 
 # Event names.

@@ -47,7 +47,7 @@ def selectable(spark: SparkSession, config: LedgerConfig) -> DataFrame:
 
     Projections offer no accounts; only transfers offer destination accounts.
     """
-    accounts = [t for t, (needs_account, *_) in RECORD_TYPES.items() if needs_account]
+    accounts = [t for t, r in RECORD_TYPES.items() if r.account]
     offers = {"cuenta": ("CAJA_ACTUAL", accounts), "concepto": ("PROYECCION", list(RECORD_TYPES)), "cuenta_destino": ("CAJA_ACTUAL", ["TRANSFERENCIA"])}
     kinds = F.array(*[
         F.struct(F.lit(c).alias("clase"), F.lit(b).alias("_bloque"), F.lit(t).alias("tipo_registro"))

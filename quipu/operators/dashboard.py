@@ -67,18 +67,25 @@ def _matrix(report: DataFrame, domains: list, scale: int) -> DataFrame:
     return report.groupBy("corte").agg(*cells)
 
 
-def evolution(report: DataFrame, domains: list, scale: int = 1) -> DataFrame:
-    """Projected cash in millions, month x domain; every month of the report, null where there is none."""
-    return _matrix(report, [d for d in domains if d != NOT_CHARTED], scale)
+def charted_domains(report: DataFrame) -> list:
+    """The report's own domains that are charted, in order."""
+    found = report.select("dominio").filter((F.col("dominio") != NOT_CHARTED) & (F.col("dominio") != "")).distinct()
+    return sorted(r["dominio"] for r in found.collect())
 
 
-def comparison(rows: DataFrame, report: DataFrame, domains: list, scale: int = 1) -> DataFrame:
+def evolution(report: DataFrame, domains: list | None = None, scale: int = 1) -> DataFrame:
+    """Projected cash in millions, month x domain; every month of the report, null where there is none. The domains are the report's
+    unless they are given."""
+    charted = charted_domains(report) if domains is None else [d for d in domains if d != NOT_CHARTED]
+    return _matrix(report, charted, scale)
+
+
+def comparison(rows: DataFrame, report: DataFrame, domains: list | None = None, scale: int = 1) -> DataFrame:
     """The months of the selected rows with projected cash from the whole report, 0 where there is none."""
-    charted = [d for d in domains if d != NOT_CHARTED]
+    matrix = evolution(report, domains, scale)
     months = rows.select("corte").distinct()
-    return months.join(_matrix(report, charted, scale), "corte", "left").select(
-        "corte", *[F.coalesce(F.col(d), F.lit(0)).alias(d) for d in charted]
-    )
+    filled = [F.coalesce(F.col(d), F.lit(0)).alias(d) for d in matrix.columns if d != "corte"]
+    return months.join(matrix, "corte", "left").select("corte", *filled)
 
 
 def top_concepts(rows: DataFrame, n: int = TOP_CONCEPTS) -> DataFrame:

@@ -428,13 +428,13 @@ def _as_double(matrix: DataFrame) -> DataFrame:
 
 
 def dash_evolution(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_double(dashboard.evolution(_report(spark, folder), inputs.config().domains, CENTS))
+    return _as_double(dashboard.evolution(_report(spark, folder), scale=CENTS))
 
 
 def dash_comparison(spark: SparkSession, folder: str) -> DataFrame:
     rows = _report(spark, folder)
     chosen = dashboard.select_rows(rows, domain="PERSONAL")
-    return _as_double(dashboard.comparison(chosen, rows, inputs.config().domains, CENTS))
+    return _as_double(dashboard.comparison(chosen, rows, scale=CENTS))
 
 
 def dash_top_concepts(spark: SparkSession, folder: str) -> DataFrame:
