@@ -39,6 +39,15 @@ def with_package(rows: DataFrame) -> DataFrame:
     return rows
 
 
+#: Rows of a few small columns that may be broadcast.
+SMALL_ROWS = 500_000
+
+
+def small_side(rows: DataFrame, at_most: int = SMALL_ROWS) -> DataFrame:
+    """A stored table for the small side of a join: broadcast where it is counted to be small, else joined by shuffle."""
+    return F.broadcast(rows) if rows.count() <= at_most else rows
+
+
 def map_batches(rows: DataFrame, used: list[str], kept: list[str], added: str, compute: Callable[..., dict]) -> DataFrame:
     """kept columns as they are, plus the columns of the DDL ``added``, computed batch by batch in Python.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
-from quipu.llm.common import bound, ranked, span_text, spans, stored, whole_text
+from quipu.llm.common import bound, ranked, small_side, span_text, spans, stored, whole_text
 from quipu.scratch import run_folder
 
 
@@ -77,7 +77,7 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: list[Rule] = RUL
     blobs = blobs.join(seen, "blob", "left").withColumn("__missing", F.array_except(wanted, F.coalesce("__seen", F.array().cast("array<string>"))))
     # Blobs on one path and never scanned need no entry: what is left out is scanned whole.
     special = stored(blobs.filter((F.col("__paths") > 1) | F.col("__seen").isNotNull()).select("blob", "__first", "__missing"), "secret-repeats")
-    texts = keyed.select(F.col(path).alias("__path"), "blob", "__text").join(special, "blob", "left")
+    texts = keyed.select(F.col(path).alias("__path"), "blob", "__text").join(small_side(special), "blob", "left")
     alone = F.col("__missing").isNull()
     chosen = alone | ((F.size("__missing") > 0) & F.col("__path").eqNullSafe(F.col("__first")))
     missing = F.coalesce("__missing", wanted)

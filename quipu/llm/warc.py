@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
-from quipu.llm.common import bound, stored, whole_text, with_package, with_package
+from quipu.llm.common import bound, small_side, stored, whole_text, with_package, with_package
 from quipu.scratch import run_folder
 
 CHUNK = 1 << 20
@@ -44,7 +44,7 @@ def record_kinds(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     firsts = pages.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
     firsts = firsts.agg(F.min("page_id").alias("__first"), F.count("*").alias("__rows")).filter("__rows > 1").drop("__rows")
     firsts = stored(firsts, "warc-repeats")
-    rows = pages.join(firsts, "payload_digest", "left")
+    rows = pages.join(small_side(firsts), "payload_digest", "left")
     again = F.coalesce((F.col("payload_bytes") >= min_bytes) & F.col("__first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("__first")), F.lit(False))
     rows = rows.withColumn("record_type", F.when(again, "revisit").otherwise("response"))
     return rows.withColumn("refers_to", F.when(again, F.col("__first"))).drop("__first")
