@@ -48,6 +48,17 @@ def small_side(rows: DataFrame, at_most: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= at_most else rows
 
 
+#: Python sees about so many bytes of a batch at a time.
+PART_BYTES = 8 << 20
+
+
+def cut_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about PART_BYTES; Arrow batches may be much larger than what Python objects leave room for."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 def map_batches(rows: DataFrame, used: list[str], kept: list[str], added: str, compute: Callable[..., dict]) -> DataFrame:
     """kept columns as they are, plus the columns of the DDL ``added``, computed batch by batch in Python.
 
@@ -58,7 +69,7 @@ def map_batches(rows: DataFrame, used: list[str], kept: list[str], added: str, c
     types = [to_arrow_type(f.dataType) for f in fields]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut_batch(whole)):
             made = compute(*[batch.column(f"__in_{c}").to_pylist() for c in used])
             places = made.get("rows")
             old = [batch.column(c) for c in kept]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import bound, map_batches, stored, whole_text, with_package
+from quipu.llm.common import bound, cut_batch, map_batches, stored, whole_text, with_package
 
 SLOTS = 128
 STRETCH = 3
@@ -22,7 +22,7 @@ BANDS = 32
 ALIKE = 0.8
 #: Steps walked at a time, and characters of texts walked together.
 BLOCK = 512
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 _PERIOD = 8192
 _SEED = 20_240_229
 
@@ -219,7 +219,7 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut_batch(whole)):
             out = []
             for doc_id, text, part, closing in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "range", "closing")], strict=True):
                 if last is not None and last[2] == part:
