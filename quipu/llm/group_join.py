@@ -5,6 +5,9 @@ to it form groups; the matrix holds, for every shingle that matters, the groups
 whose overlap bound allows a similar member, and only their members that share such a shingle; every link is verified on the whole
 sets. "Shingles that matter" are the first n - ceil(0.8 n) + 1 of a set in one order for all documents: two sets with similarity 0.8
 have one of them in common. The order puts shingles that many documents share last, so that common passages hardly ever matter.
+
+The bound: if two sets share c shingles up to one that stands at places i and j of their orders, they share at most c plus what
+either has after it, min(|x| - 1 - i, |y| - 1 - j). A similarity of 0.8 needs an overlap of 0.8 / 1.8 (|x| + |y|).
 """
 
 from collections.abc import Iterator
@@ -12,20 +15,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import stored, whole_text, with_package
+from quipu.llm.common import map_batches, small_side, stored, whole_text, with_package
 from quipu.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-#: Documents looked at for the order of shingles, and in how many of them a common one is. Any order gives the same links.
-SAMPLE = 8_000
-COMMON = 3
-#: Pairs that share one task with a copy of their anchor.
+#: Share and number of documents looked at, at most, for the order of shingles, and in how many of them a common one is. Any order
+#: gives the same links; this one keeps passages that many documents share at its end.
+SHARE_SEEN = 1 / 8
+SAMPLE = 400_000
+COMMON = 2
+#: Pairs that are verified together, about.
 SHARE = 500
-_CACHE = 500_000
+_CACHE = 200_000
 _FACTORS = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 _HASHES: dict[bytes, int] = {}
 
@@ -54,6 +59,11 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+def _ordered(s: np.ndarray, common: int) -> np.ndarray:
+    """Shingles as longs in the common order: rare ones by hash, then common ones."""
+    return ((s >> np.uint64(2)) | np.uint64(common << 62)).view(np.int64)
+
+
 def _least(n: int) -> int:
     """Overlap that a partner of a set of n needs at least."""
     return -(-PERCENT * n // 100)
@@ -62,65 +72,72 @@ def _least(n: int) -> int:
 def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """doc_id, n_shingles, class_key and the shingles that matter: rare ones and common ones apart."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes, keys, rare, often = [], [], [], []
-            for text in batch["text"]:
-                s = shingles(text)
-                sizes.append(len(s))
-                keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                need = len(s) - _least(len(s)) + 1 if len(s) else 0
-                place = np.minimum(np.searchsorted(common, s), max(len(common) - 1, 0))
-                is_common = common[place] == s if len(common) else np.zeros(len(s), bool)
-                own = s[~is_common][:need]
-                rare.append(own.view(np.int64))
-                often.append(s[is_common][: need - len(own)].view(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes, "class_key": keys, "rare": rare, "often": often})
-
-    rows = with_package(docs).select("doc_id", whole_text().alias("text"))
-    return rows.mapInPandas(find, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, class_key binary, rare array<long>, often array<long>")
-
-
-def common_shingles(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Shingles that COMMON or more different sets of a bounded sample have."""
-    share = min(1.0, sample / max(1, docs.count()))
+    def find(texts: list[str | None]) -> dict:
+        sizes, keys, rare, often = [], [], [], []
+        for text in texts:
+            s = shingles(text or "")
+            sizes.append(len(s))
+            keys.append(xxhash.xxh3_128_digest(s.tobytes()))
+            need = len(s) - _least(len(s)) + 1 if len(s) else 0
+            place = np.minimum(np.searchsorted(common, s), max(len(common) - 1, 0))
+            is_common = common[place] == s if len(common) else np.zeros(len(s), bool)
+            own = s[~is_common][:need]
+            more = s[is_common][: need - len(own)]
+            rare.append(_ordered(own, 0))
+            often.append(_ordered(more, 1))
+        return {"n_shingles": sizes, "class_key": keys, "rare": rare, "often": often}
+
+    return map_batches(docs, ["text"], ["doc_id"], "n_shingles long, class_key binary, rare array<long>, often array<long>", find)
+
+
+def common_shingles(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN) -> np.ndarray:
+    """Shingles that COMMON or more different sets of a bounded sample have; of the lower half by hash, where those that matter are."""
+    share = min(share, sample / max(1, docs.count()))
     few = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"shingles": [shingles(t).view(np.int64) for t in batch["text"]]})
+    def find(texts: list[str | None]) -> dict:
+        sets = [shingles(t or "") for t in texts]
+        return {"shingles": [s[: np.searchsorted(s, np.uint64(1 << 63))].view(np.int64) for s in sets]}
 
-    sets = with_package(few).select(whole_text().alias("text")).distinct().mapInPandas(find, "shingles array<long>").distinct()
+    sets = map_batches(few.select("text").distinct(), ["text"], [], "shingles array<long>", find).distinct()
     counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
     return np.sort(counts.select("s").toPandas()["s"].to_numpy(np.int64).view(np.uint64))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (a, b) whose sets are similar. texts: doc_id, text of every id in pairs.
+def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFrame:
+    """pairs (a, b) whose sets are similar. texts: doc_id, text of every id in pairs; families: rep, family.
 
-    Pairs meet at a copy of b's text; one that many pairs name gets a copy for every SHARE of them.
+    Pairs are dealt by their two families, so that a text goes to few places however many pairs it is in; a large pair of families
+    is cut into parts of about SHARE pairs, each with the texts that it names.
     """
-    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / SHARE).alias("parts"))
-    dealt = pairs.join(parts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
-    anchors = parts.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    members = dealt.join(texts.withColumnRenamed("doc_id", "a"), "a").select("b", "part", "a", F.lit(1).alias("role"), "text")
-    heads = anchors.join(texts.withColumnRenamed("doc_id", "b"), "b").select("b", "part", F.col("b").alias("a"), F.lit(0).alias("role"), "text")
+    of = lambda c: families.select(F.col("rep").alias(c), F.col("family").alias(f"f{c}"))
+    keyed = pairs.join(of("a"), "a").join(of("b"), "b")
+    keyed = keyed.select("a", "b", F.least("fa", "fb").alias("lo"), F.greatest("fa", "fb").alias("hi"))
+    parts = keyed.groupBy("lo", "hi").agg(F.ceil(F.count("*") / SHARE).alias("parts"))
+    keyed = keyed.join(parts, ["lo", "hi"]).select("a", "b", "lo", "hi", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
+    keyed = stored(keyed, "near-dealt")
+    named = keyed.select("lo", "hi", "part", F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(texts, "doc_id")
+    none = F.lit(None).cast("string")
+    rows = named.select("lo", "hi", "part", F.lit(0).alias("role"), F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "text")
+    rows = rows.unionByName(keyed.select("lo", "hi", "part", F.lit(1).alias("role"), "a", "b", none.alias("text")))
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, of = np.empty(0, np.uint64), None
+        sets, of = {}, None
         for batch in batches:
             out = []
-            for b, part, a, role, text in zip(*[batch[c] for c in ("b", "part", "a", "role", "text")], strict=True):
-                own = shingles(text)
+            for *key, role, a, b, text in zip(*[batch[c] for c in ("lo", "hi", "part", "role", "a", "b", "text")], strict=True):
+                if key != of:
+                    sets, of = {}, key
                 if role == 0:
-                    head, of = own, (b, part)
-                elif of == (b, part) and len(own) and len(head):
-                    both = len(np.intersect1d(own, head, assume_unique=True))
-                    if 100 * both >= PERCENT * (len(own) + len(head) - both):
-                        out.append((a, b))
+                    sets[a] = shingles(text)
+                    continue
+                x, y = sets[a], sets[b]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both and 100 * both >= PERCENT * (len(x) + len(y) - both):
+                    out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    rows = with_package(heads.unionByName(members)).repartition("b", "part").sortWithinPartitions("b", "part", "role")
+    rows = with_package(rows).repartition("lo", "hi", "part").sortWithinPartitions("lo", "hi", "part", "role")
     return rows.mapInPandas(test, "a long, b long")
 
 
@@ -130,7 +147,7 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(found.drop("n"), "shingle")
 
 
-def near_copies(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN) -> DataFrame:
     """One row per row of docs (doc_id long, text): doc_id, n_shingles, component_id, the smallest doc_id that links lead to.
 
     Documents without words or text have an empty set, link with nothing and are their own component. Equal texts, repeated rows
@@ -138,58 +155,93 @@ def near_copies(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     result. No link is left out, and no group of copies is expanded into pairs.
     """
     docs = docs.select("doc_id", "text")
-    rows = stored(_sets(docs, common_shingles(docs, sample)), "near-sets")
+    rows = stored(_sets(docs, common_shingles(docs, sample, share)), "near-sets")
     classes = rows.filter("n_shingles > 0").groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     repeats = stored(classes.filter("copies > 1").select("class_key", "rep"), "near-classes")
-    whole = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(repeats, "class_key", "left")
+    whole = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(small_side(repeats), "class_key", "left")
     whole = whole.filter("rep IS NULL OR rep = doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", "rare", "often")
 
-    rare = whole.select("rep", F.explode("rare").alias("shingle")).repartition("shingle")
-    often = whole.select("rep", F.explode("often").alias("shingle")).distinct()
+    rare = whole.select("rep", F.posexplode("rare").alias("pos", "shingle")).repartition("shingle")
+    often = whole.select("rep", F.size("rare").alias("first"), F.posexplode("often").alias("pos", "shingle"))
+    often = often.select("rep", (F.col("first") + F.col("pos")).alias("pos"), "shingle").distinct()
     matter = stored(_shared(rare).unionByName(_shared(often)), "near-shared")
-    needed = matter.select(F.col("rep").alias("doc_id")).distinct()
+    needed = stored(matter.select(F.col("rep").alias("doc_id")).distinct(), "near-needed")
     sizes = whole.select("rep", "n_shingles").join(needed.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     sizes = stored(sizes.distinct(), "near-sizes")
-    texts = docs.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
+    families = stored(matter.groupBy("rep").agg(F.min("anchor").alias("family")), "near-families")
+    texts = docs.join(small_side(needed), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
     texts = stored(texts, "near-texts")
 
-    # Groups: every class with the anchor that it shares most shingles with, if they prove similar.
+    # Groups: every class with the anchor that it shares most shingles with, a tenth of those that matter at least, if they prove
+    # similar. Any grouping will do; what it leaves out is found below.
     best = matter.filter("rep <> anchor").groupBy("rep", "anchor").agg(F.count("*").alias("n"))
-    best = best.groupBy("rep").agg(F.max_by("anchor", F.struct("n", -F.col("anchor"))).alias("b")).withColumnRenamed("rep", "a")
-    links = stored(verified(best, texts), "near-links")
-    links = links.unionByName(_opened(matter, sizes, texts, links, heads_only=True))
-    links = links.unionByName(_opened(matter, sizes, texts, links, heads_only=False))
+    best = best.groupBy("rep").agg(F.max(F.struct("n", -F.col("anchor"))).alias("best"))
+    best = best.join(sizes, "rep").filter(F.col("best.n") * 10 * 100 >= F.col("n_shingles") * (100 - PERCENT))
+    best = best.select(F.col("rep").alias("a"), (-F.col("best.col2")).alias("b"))
+    tried = stored(best, "near-pairs")
+    links = stored(verified(tried, texts, families), "near-links")
+    for heads_only in (True, False):
+        pairs = _opened(matter, sizes, links, heads_only).join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "near-pairs")
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(stored(verified(pairs, texts, families), "near-links"))
     return _labelled(rows, repeats, components(links))
 
 
 def _grouped(matter: DataFrame, sizes: DataFrame, links: DataFrame) -> DataFrame:
-    """Shingles that two or more groups have: shingle, rep, n_shingles, team (its group)."""
+    """Shingles that two or more groups have: shingle, rep, n (its size), pos (the shingle's place in its order), team (its group)."""
     teams = sizes.join(components(links), F.col("rep") == F.col("node"), "left")
-    teams = teams.select("rep", "n_shingles", F.coalesce("label", "rep").alias("team"))
-    rows = matter.select("shingle", "rep").join(teams, "rep")
+    teams = teams.select("rep", F.col("n_shingles").alias("n"), F.coalesce("label", "rep").alias("team"))
+    rows = matter.select("shingle", "rep", "pos").join(teams, "rep")
     mixed = rows.groupBy("shingle").agg(F.min("team").alias("lo"), F.max("team").alias("hi")).filter("lo <> hi").select("shingle")
     return stored(rows.join(mixed, "shingle", "left_semi"), "near-grouped")
 
 
-def _opened(matter: DataFrame, sizes: DataFrame, texts: DataFrame, links: DataFrame, heads_only: bool) -> DataFrame:
-    """Links between different groups. heads_only: a query tries one member of each group it may open, the one at the head of most
-    shared shingles, which joins most groups that belong together; else every member that shares a shingle."""
+def _overlap(n: Column, m: Column) -> Column:
+    """Overlap that sets of n and m need."""
+    return F.ceil(PERCENT * (n + m) / F.lit(100 + PERCENT))
+
+
+def _may_link(n: Column, pos: Column, lo: Column, hi: Column, rest: Column) -> Column:
+    """Whether a set of n may be similar to one of lo to hi, if a shingle at pos of its order, with at most ``rest`` after it in the
+    other's, is their first common one. What this drops of a pair's common shingles comes after what it keeps."""
+    asked = _overlap(n, F.greatest(lo, F.ceil(PERCENT * n / F.lit(100))))
+    return (100 * hi >= PERCENT * n) & (PERCENT * lo <= 100 * n) & (n - pos >= asked) & (rest + 1 >= asked)
+
+
+def _opened(matter: DataFrame, sizes: DataFrame, links: DataFrame, heads_only: bool) -> DataFrame:
+    """Pairs (a > b) of different groups to verify. heads_only: a query tries one member of each group that it may open, the one at
+    the head of most shared shingles, which joins most groups that belong together; else every member that its own bound allows."""
     rows = _grouped(matter, sizes, links)
-    matrix = rows.groupBy("shingle", "team").agg(F.min("rep").alias("head"), F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
-    queries = rows.select("shingle", F.col("rep").alias("a"), F.col("n_shingles").alias("n"), F.col("team").alias("own"))
-    # A set of n has similar sets of 0.8 n to n / 0.8 only; and one shared shingle that matters is the least overlap.
-    fits = (F.col("hi") * 100 >= F.col("n") * PERCENT) & (F.col("lo") * PERCENT <= F.col("n") * 100)
-    bounds = queries.join(matrix, "shingle").filter((F.col("own") != F.col("team")) & fits)
+    rest = F.col("n") - 1 - F.col("pos")
+    matrix = rows.groupBy("shingle", "team").agg(
+        F.min("rep").alias("head"), F.max("rep").alias("tail"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(rest).alias("rest")
+    )
+    queries = rows.select("shingle", F.col("rep").alias("a"), "n", "pos", F.col("team").alias("own"))
+    near = _may_link(F.col("n"), F.col("pos"), F.col("lo"), F.col("hi"), F.col("rest"))
+    met = queries.join(matrix, "shingle").filter((F.col("own") != F.col("team")) & near)
+    end = F.max(F.struct("shingle", F.least(F.col("n") - 1 - F.col("pos"), F.col("rest")).alias("left"), "lo")).alias("end")
+    by_head = met.groupBy("a", "n", "team", "head").agg(F.count("*").alias("c"), F.max("tail").alias("tail"), end)
+    bound = by_head.groupBy("a", "n", "team").agg(
+        F.sum("c").alias("c"), F.min("head").alias("head"), F.max("tail").alias("tail"), F.max("end").alias("end"),
+        F.max(F.struct("c", (-F.col("head")).alias("minus"))).alias("best"),
+    )
+    alone = F.col("head") == F.col("tail")
+    enough = F.col("c") + F.col("end.left") >= _overlap(F.col("n"), F.col("end.lo"))
+    bound = stored(bound.filter(~alone | enough).select("a", "team", (-F.col("best.minus")).alias("b"), alone.alias("alone")), "near-open")
     if heads_only:
-        heads = bounds.groupBy("a", "team", "head").agg(F.count("*").alias("n"))
-        pairs = heads.groupBy("a", "team").agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("b")).select("a", "b")
+        pairs = bound.select("a", "b")
     else:
-        open_ = stored(bounds.select("shingle", "a", "n", "team").distinct(), "near-open")
-        members = rows.select("shingle", "team", F.col("rep").alias("b"), F.col("n_shingles").alias("m"))
-        close = (F.col("m") * 100 >= F.col("n") * PERCENT) & (F.col("m") * PERCENT <= F.col("n") * 100)
-        pairs = open_.join(members, ["shingle", "team"]).filter(close).select("a", "b")
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return stored(verified(stored(pairs, "near-pairs"), texts), "near-links")
+        several = bound.filter("NOT alone").select("a", "team")
+        asking = rows.select("shingle", F.col("rep").alias("a"), F.col("n"), "pos").join(several, "a")
+        members = rows.select("shingle", "team", F.col("rep").alias("b"), F.col("n").alias("m"), rest.alias("rest"))
+        found = asking.join(members, ["shingle", "team"])
+        found = found.filter(_may_link(F.col("n"), F.col("pos"), F.col("m"), F.col("m"), F.col("rest")))
+        end = F.max(F.struct("shingle", F.least(F.col("n") - 1 - F.col("pos"), F.col("rest")).alias("left"))).alias("end")
+        found = found.groupBy("a", "n", "b", "m").agg(F.count("*").alias("c"), end)
+        pairs = found.filter(F.col("c") + F.col("end.left") >= _overlap(F.col("n"), F.col("m"))).select("a", "b")
+        pairs = pairs.unionByName(bound.filter("alone").select("a", "b"))
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _labelled(rows: DataFrame, repeats: DataFrame, labels: DataFrame) -> DataFrame:

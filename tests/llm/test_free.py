@@ -295,8 +295,8 @@ def test_near_copies_equal_brute_force(spark):
     rows = [(i, t, "x") for i, t in texts.items()] + [(601, texts[601], "x"), (None, "nobody's own text", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, rep string")
     want, sizes = linked(texts)
-    for sample in (group_join.SAMPLE, 1):
-        got = group_join.near_copies(docs, sample).collect()
+    for share in (1.0, 0.0):
+        got = group_join.near_copies(docs, share=share).collect()
         assert len(got) == len(rows)
         for row in got:
             if row["doc_id"] is None:
