@@ -33,13 +33,20 @@ class Rule:
 _KEYWORD = r"(?i:password|passwd|secret|token|api_?key)"
 _VALUE = "[A-Za-z0-9+/_.=-]"
 _GLUE = r"[\"']?\x20*[:=]\x20*[\"']?"
+# A key in armour, from its BEGIN line to its END line. Where that is missing: its headers and base64 lines, and long base64 runs
+# that share a line with other text. Line ends may be written as escapes.
+_KIND = r"(?:(?!PRIVATE KEY)[A-Z0-9 ])*+PRIVATE KEY(?: BLOCK)?-----"
+_BREAK = r"(?:\s|\\[nrt])++"
+_HEADERS = rf"(?:{_BREAK}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+)*+"
+_LINES = rf"(?:{_BREAK}(?:[A-Za-z0-9+/=]{{20,}}+|[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n]|\\[nr]|\z))))*+"
+_KEY = rf"-----BEGIN {_KIND}(?:(?:(?!-----)[\s\S])*+-----END {_KIND}|{_HEADERS}{_LINES})"
 # The base kinds and their order.
 BASE = ["assign", "access", "hex"]
 RULES = [
     Rule("assign", 1, f"{_KEYWORD}{_GLUE}{_VALUE}+", "[:=]", f"^{_KEYWORD}{_GLUE}{_VALUE}{{8,}}$"),
     Rule("access", 1, "AKIA[A-Z0-9]{12,}+", "AKIA"),
     Rule("hex", 1, "(?<![0-9a-f])[0-9a-f]{32,}+", "[0-9a-f]{32}"),
-    Rule("private_key", 1, "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "PRIVATE KEY-----"),
+    Rule("private_key", 2, _KEY, "PRIVATE KEY"),
     Rule("bearer", 1, r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", "eyJ"),
     Rule("forge", 1, r"(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+)", "(?:gh[pousr]_|xox[abprs]-)"),
     Rule("address", 1, r"[a-z][a-z0-9+.-]{1,20}://[^/\s:@]{1,64}+:[^/\s:@]{1,128}+@", "://"),

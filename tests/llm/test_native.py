@@ -204,3 +204,29 @@ def test_masking(spark):
     rows = found.withColumn("text", F.when(F.col("doc_id") == 1, F.lit(text)))
     got = {r["doc_id"]: r["t"] for r in rows.select("doc_id", secret_scan.masked(F.col("text"), F.col("findings")).alias("t")).collect()}
     assert got == {1: "a [SECRET] and [SECRET] é [SECRET]", 2: None}
+
+
+def test_masking_removes_whole_keys(spark):
+    lines = [hashlib.sha256(b"%d" % i).hexdigest().upper()[:40] + "+/aB" for i in range(30)] + ["Zg=="]
+    body, odd_kind = "\n".join(lines), "A" * 60
+    whole = {
+        f"-----BEGIN {k}-----{sep}{head}{b}{sep}-----END {k}-----"
+        for k in ("PRIVATE KEY", "RSA PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK", f"{odd_kind} PRIVATE KEY")
+        for head, sep, b in [
+            ("", "\n", body), ("", "\r\n", "\r\n".join(lines)), ("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n", "\n", body),
+            ("Version: GnuPG v2\n\n", "\n", body + "\n=aBc9"), ("", "\\n", "\\n".join(lines)), ("", " ", " ".join(lines)), ("", "\n> ", "\n> ".join(lines)),
+            ("", "\n", "\n".join(lines * 2000)),
+        ]
+    }
+    cut = {f"-----BEGIN RSA PRIVATE KEY-----{sep}{head}{sep.join(lines)}" for sep in ("\n", "\r\n", "\\n") for head in ("", f"DEK-Info: A,B{sep}{sep}")}
+    texts = [f"é before\n{k}\nafter it" for k in sorted(whole | cut)]
+    texts += [f"{k}\n{k}\nafter it" for k in sorted(cut)]
+    plain = "it starts with -----BEGIN PRIVATE KEY----- and has lines of base64"
+    docs = spark.createDataFrame(list(enumerate([*texts, plain])), "doc_id long, text string")
+    rows = secret_scan.scan(docs).join(docs, "doc_id").select("doc_id", secret_scan.masked(F.col("text"), F.col("findings")).alias("t"))
+    got = {r["doc_id"]: r["t"] for r in rows.collect()}
+    n = len(whole | cut)
+    assert {got[i] for i in range(n)} == {"é before\n[SECRET]\nafter it"}
+    assert {got[i] for i in range(n, len(texts))} == {"[SECRET]\n[SECRET]\nafter it"}
+    assert got[len(texts)] == "it starts with [SECRET] and has lines of base64"
+    assert next(r.key for r in secret_scan.RULES if r.name == "private_key") == "private_key@2"
