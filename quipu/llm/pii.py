@@ -24,7 +24,11 @@ OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]
 
 # Candidates of the added kinds, by family.
 NUMBER = r"(?<![0-9])[0-9](?:[\x20().-]{0,2}[0-9]){6,}+"
-SPOKEN = r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?: at | ?\(at\) ?| ?\[at\] ?)[a-z0-9-]++(?:(?: dot | ?\(dot\) ?| ?\[dot\] ?|\.)[a-z0-9-]++)++"
+_HOST = r"(?: at | ?\(at\) ?| ?\[at\] ?)[a-z0-9-]++"
+_DOT = r"(?: dot | ?\(dot\) ?| ?\[dot\] ?|\.)"
+SPOKEN = rf"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++{_HOST}(?:{_DOT}[a-z0-9-]++)++"
+# The end of every spoken address, up to its first dot.
+SPOKEN_SIGN = rf"(?i){_HOST}{_DOT}[a-z0-9-]"
 # Gazetteers and context words, fixed values.
 FIRST_NAMES = (
     "James John Robert Michael William David Richard Joseph Thomas Mary Patricia Jennifer Linda Elizabeth Barbara Susan Sarah Karen "
@@ -159,7 +163,7 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
         {
             "base": F.concat(*[ranked(F.col(k), k, i) for i, k in enumerate(KINDS)]),
             "__number": spans(t, NUMBER),
-            "__spoken": spans(t, SPOKEN, t.rlike(r"(?i)[ (\[]at[ )\]]") & t.rlike(r"(?i)[ .(\[](?:dot|com|org|net)\b")),
+            "__spoken": spans(t, SPOKEN, t.rlike(SPOKEN_SIGN)),
             "__name": spans(t, NAME),
         },
     )

@@ -206,6 +206,16 @@ def test_masking(spark):
     assert got == {1: "a [SECRET] and [SECRET] é [SECRET]", 2: None}
 
 
+def test_spoken_addresses_of_every_ending(spark):
+    hosts = [f"{form}firma.{ending}" for ending in pii.ENDINGS for form in (" (at) ", "[at]", " at ")]
+    rows = [(i, f"please write to anna.schmidt{h} today") for i, h in enumerate(hosts)] + [(1000 + i, f"mail a{i}@b.de now") for i in range(20)]
+    rows += [(2000 + i, "we met at noon and left at one") for i in range(5)]
+    found = {r["doc_id"]: r["added"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, h in enumerate(hosts):
+        assert [(s["kind"], s["start"], s["end"]) for s in found[i]] == [("contact", 16, 28 + len(h))], h
+    assert not any(found[i] for i in found if i >= 1000)
+
+
 def test_masking_removes_whole_keys(spark):
     lines = [hashlib.sha256(b"%d" % i).hexdigest().upper()[:40] + "+/aB" for i in range(30)] + ["Zg=="]
     body, odd_kind = "\n".join(lines), "A" * 60
