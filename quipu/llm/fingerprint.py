@@ -7,7 +7,7 @@ random order of all places, the first of those that the string has, so that text
 Bands of slots give candidates, and a comparison of the whole fingerprints verifies them.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.llm.common import bound, cut_batch, map_batches, stored, whole_text, with_package
+from quipu.scratch import run_folder
 
 SLOTS = 128
 STRETCH = 3
 BANDS = 32
 ALIKE = 0.8
+#: Documents that all are compared with in a query: ids divisible by it. Queries that a task holds, and pairs compared, at a time.
+ASK_EVERY = 50
+QUERIES = 65_536
+PAIRS = 65_536
 #: Steps walked at a time, and characters of texts walked together.
 BLOCK = 512
 BATCH_CHARS = 2_000_000
@@ -158,26 +163,120 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["text"], kept, "fingerprint string", walk)
 
 
-def near_pairs(docs: DataFrame, alike_from: float = ALIKE, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
+def _band_keys(prints: np.ndarray, bands: int) -> np.ndarray:
+    """(bands, texts): a number for every band of slots; equal bands have equal numbers."""
+    cut = prints.reshape(len(prints), bands, SLOTS // bands)
+    keys = np.zeros(cut.shape[:2], np.uint64)
+    for k in range(cut.shape[2]):
+        keys = keys * np.uint64(0x100000001B3) + cut[:, :, k]
+    return np.ascontiguousarray(keys.T)
+
+
+class Asked:
+    """A block of fingerprints that others are compared with, their bands in order."""
+
+    def __init__(self, prints: np.ndarray, bands: int):
+        self.prints, self.bands = prints, bands
+        keys = _band_keys(prints, bands)
+        self.turn = np.argsort(keys, axis=1, kind="stable")
+        self.keys = np.take_along_axis(keys, self.turn, 1)
+
+    def agreeing(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(places in prints, places here, likeness) of all pairs that agree in a whole band, each once, about PAIRS at a time."""
+        for k, own in enumerate(_band_keys(prints, self.bands)):
+            low = np.searchsorted(self.keys[k], own, "left")
+            count = np.searchsorted(self.keys[k], own, "right") - low
+            some = np.flatnonzero(count)
+            ends = np.cumsum(count[some])
+            for start in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+                at = np.arange(start, min(start + PAIRS, int(ends[-1])))
+                which = np.searchsorted(ends, at, "right")
+                rows = some[which]
+                asked = self.turn[k, low[rows] + at - (ends[which] - count[rows])]
+                a, b = prints[rows], self.prints[asked]
+                whole = (a == b).reshape(len(at), self.bands, -1).all(axis=2)
+                # A pair counts in the first band that it agrees in.
+                new = whole[:, k] & ~whole[:, :k].any(axis=1)
+                yield rows[new], asked[new], alike(a[new], b[new])
+
+
+def _bytes_of(prints: list[str]) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex("".join(prints)), np.uint8).reshape(len(prints), SLOTS)
+
+
+def _searched(rows: DataFrame, queries: DataFrame, used: list[str], made: str, find: Callable[..., dict], bands: int, block: int) -> DataFrame:
+    """The DDL ``made`` of find(Asked, the block's queries, used columns of rows), for all rows and all queries.
+
+    A block of queries (stored, with a fingerprint) at a time goes to the tasks, so that no bucket of a band meets in one task and no
+    pair is shuffled.
+    """
+    spark = rows.sparkSession
+    folder = run_folder(spark, "fingerprint-found")
+    spark.createDataFrame([], made).write.mode("append").parquet(folder)
+    blocks = -(-queries.count() // block)
+    for b in range(blocks):
+        held = queries.filter(F.pmod(F.xxhash64("fingerprint"), F.lit(blocks)) == b).collect()
+        if not held:
+            continue
+        prints, own = _bytes_of([r["fingerprint"] for r in held]), [r.asDict() for r in held]
+
+        def compute(*columns: list, prints=prints, own=own, ready=[]) -> dict:  # noqa: B006
+            if not ready:
+                ready.append(Asked(prints, bands))
+            return find(ready[0], own, *columns)
+
+        map_batches(rows, used, [], made, compute).write.mode("append").parquet(folder)
+    return spark.read.schema(made).parquet(folder)
+
+
+def partners(prints: DataFrame, queries: DataFrame, alike_from: float = ALIKE, bands: int = BANDS, block: int = QUERIES) -> DataFrame:
+    """fingerprint and partners, the number of other fingerprints among the queries' that share a band with it and are alike.
+
+    prints and queries have a column fingerprint, in hex; prints is stored. Fingerprints without partners have no row.
+    """
+
+    def find(asked: Asked, own: list[dict], texts: list[str]) -> dict:
+        different = list(dict.fromkeys(texts))
+        n = np.zeros(len(different), np.int64)
+        for rows, _, near in asked.agreeing(_bytes_of(different)) if different else ():
+            n += np.bincount(rows[(near >= alike_from) & (near < 1)], minlength=len(n))
+        found = np.flatnonzero(n)
+        return {"fingerprint": [different[k] for k in found], "block": [own[0]["fingerprint"]] * len(found), "n": n[found]}
+
+    asked = stored(queries.select("fingerprint").distinct(), "fingerprint-queries")
+    found = _searched(prints, asked, ["fingerprint"], "fingerprint string, block string, n long", find, bands, block)
+    # Several batches may hold a fingerprint; a block gives it the same number in each.
+    return found.groupBy("fingerprint", "block").agg(F.max("n").alias("n")).groupBy("fingerprint").agg(F.sum("n").alias("partners"))
+
+
+def near_pairs(docs: DataFrame, alike_from: float = ALIKE, bands: int = BANDS, asked: Column | None = None, block: int = QUERIES) -> tuple[DataFrame, DataFrame]:
     """(pairs, members): pairs of representatives (a < b, likeness) that agree in a whole band and are alike, and every doc_id's
     representative, the smallest id of its fingerprint.
 
-    Copies are never paired with each other. Those that share a band are linked with its smallest member, each band anew, so that
-    groups are not expanded into all pairs. Likeness is a sample's: the pairs are a search result, not a complete join.
+    Copies are never paired with each other. All members of a band are compared with the queries among them: the fingerprints of
+    documents for which ``asked`` holds; None: of all. Likeness is a sample's: the pairs are a search result, not a complete join.
     """
     prints = stored(fingerprints(docs.select("doc_id", "text")), "fingerprints")
-    heads = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
-    members = prints.join(heads, "fingerprint").select("doc_id", "rep")
-    width = 2 * SLOTS // bands
-    cut = F.array(*[F.struct(F.lit(k).alias("band"), F.substring("fingerprint", k * width + 1, width).alias("key")) for k in range(bands)])
-    banded = heads.select("rep", "fingerprint", F.inline(cut))
-    first = banded.groupBy("band", "key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").select("band", "key", "a")
-    pairs = banded.join(first, ["band", "key"]).filter("rep > a").select("a", F.col("rep").alias("b")).distinct()
-    pairs = pairs.join(heads.toDF("x", "a"), "a").join(heads.toDF("y", "b"), "b")
-    place = lambda c, k: F.substring(c, 2 * k + 1, 2)
-    same = sum(((place("x", k) == place("y", k)).cast("int") for k in range(SLOTS)), F.lit(0)) / SLOTS
-    pairs = pairs.withColumn("likeness", F.greatest((same - 1 / 255) / (1 - 1 / 255), F.lit(0.0)))
-    return pairs.filter(F.col("likeness") >= alike_from).select("a", "b", "likeness"), members
+    which = F.lit(True) if asked is None else F.coalesce(asked, F.lit(False))
+    heads = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.max(which).alias("asked"))
+    heads = stored(heads, "fingerprint-heads")
+    members = prints.join(heads.drop("asked"), "fingerprint").select("doc_id", "rep")
+
+    def find(block: Asked, own: list[dict], texts: list[str], reps: list[int], also: list[bool]) -> dict:
+        a, b, likeness = [], [], []
+        for rows, places, near in block.agreeing(_bytes_of(texts)) if texts else ():
+            for k, j, x in zip(rows.tolist(), places.tolist(), near.tolist(), strict=True):
+                one, other = reps[k], own[j]["rep"]
+                # Two queries meet twice.
+                if x >= alike_from and one != other and not (also[k] and one < other):
+                    a.append(min(one, other))
+                    b.append(max(one, other))
+                    likeness.append(x)
+        return {"a": a, "b": b, "likeness": likeness}
+
+    known = heads.filter("rep IS NOT NULL")
+    queries = known.filter("asked").select("fingerprint", "rep")
+    return _searched(known, queries, ["fingerprint", "rep", "asked"], "a long, b long, likeness double", find, bands, block), members
 
 
 def _range_of(value: Column, cuts: list) -> Column:

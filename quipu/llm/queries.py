@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import fingerprint, group_join, mixing, packing, pii, quality, rules, secret_scan, toxicity, warc
-from quipu.llm.common import map_batches, table
+from quipu.llm.common import map_batches, small_side, stored, table
 
 
 def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +81,10 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         }
 
     made = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return map_batches(docs, ["text", "following"], ["doc_id"], made, compare)
+    rows = stored(map_batches(docs, ["text", "following"], ["doc_id"], made, compare), "fingerprints")
+    found = fingerprint.partners(rows, rows.filter(F.col("doc_id") % fingerprint.ASK_EVERY == 0))
+    found = small_side(stored(found, "fingerprint-partners"))
+    return rows.join(found, "fingerprint", "left").select(*rows.columns, F.coalesce("partners", F.lit(0)).alias("partners"))
 
 
 def op9_group_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quipu.llm import fingerprint, group_join, packing, quality, toxicity, warc
 from quipu.llm.components import components
-from quipu.llm.queries import tokenizer_path
+from quipu.llm.queries import op8_fingerprints, tokenizer_path
 
 ODD = [None, "", " \t\n", "one", "A a a A", "Hello, world!", "É😀 naïve Straße İstanbul ΣΑΣ", "x" * 50_000, "word " * 9_000, "<|endoftext|> y", "don't we'LL"]
 
@@ -310,3 +310,58 @@ def test_long_chains_settle(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {95: 90, 100: 90}
+
+
+def near_texts():
+    """Texts that are alike, each band of theirs shared with texts of smaller ids that are not alike."""
+    r = random.Random(21)
+    letters = lambda n: "".join(r.choice("abcdefgh ij") for _ in range(n))
+    out, base = {}, letters(1500)
+    for i in range(60):
+        cut = r.randrange(500, 800)
+        out[i] = base[:cut] + letters(1500 - cut)
+    for i in range(40):
+        at = r.randrange(1000, 1400)
+        out[1000 + i] = base[:at] + "Q" + base[at + 1 :]
+    out |= {2000 + i: letters(1500) for i in range(100)}
+    return out | {3000: base, 3001: out[1000], 3002: None}
+
+
+def brute_pairs(texts, least):
+    ids, prints = sorted(texts), fingerprint.embed([texts[i] or "" for i in sorted(texts)])
+    rep = {}
+    for i, p in zip(ids, prints, strict=True):
+        rep.setdefault(p.tobytes(), i)
+    heads = sorted(rep.values())
+    of = dict(zip(ids, prints, strict=True))
+    return {(a, b) for a in heads for b in heads if a < b and fingerprint.alike(of[a], of[b]) >= least}, {i: rep[of[i].tobytes()] for i in ids}
+
+
+@pytest.mark.parametrize("block", [fingerprint.QUERIES, 7])
+def test_band_members_meet_all_queries(spark, block):
+    texts = near_texts()
+    docs = spark.createDataFrame(list(texts.items()) + [(None, "nobody's")], "doc_id long, text string")
+    want, rep = brute_pairs(texts, fingerprint.ALIKE)
+    assert len(want) > 80
+    rows = fingerprint.near_pairs(docs, block=block)[0].collect()
+    got = [(r["a"], r["b"]) for r in rows]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.99 * len(want)
+    asked = {rep[i] for i in texts if i % 50 == 0}
+    few = [(r["a"], r["b"]) for r in fingerprint.near_pairs(docs, asked=F.col("doc_id") % 50 == 0, block=block)[0].collect()]
+    assert sorted(few) == sorted(p for p in got if asked & set(p))
+    prints = fingerprint.stored(fingerprint.fingerprints(docs), "test-prints")
+    found = fingerprint.partners(prints, prints.filter("doc_id % 50 = 0"), block=block)
+    counts = {r["doc_id"]: r["partners"] for r in prints.join(found, "fingerprint").filter("doc_id IS NOT NULL").collect()}
+    both = [(x, y) for a, b in got for x, y in ((a, b), (b, a))]
+    n = collections.Counter(x for x, y in both if y in asked)
+    assert counts == {i: n[rep[i]] for i in texts if n[rep[i]]}
+
+
+def test_fingerprint_query_counts_partners(spark, tmp_path):
+    texts = near_texts()
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want, rep = brute_pairs(texts, fingerprint.ALIKE)
+    asked = {rep[i] for i in texts if i % 50 == 0}
+    n = collections.Counter(x for a, b in want for x, y in ((a, b), (b, a)) if y in asked)
+    rows = op8_fingerprints(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts) and {r["doc_id"]: r["partners"] for r in rows} == {i: n[rep[i]] for i in texts}
