@@ -49,7 +49,7 @@ RULES = [
     Rule("private_key", 2, _KEY, "PRIVATE KEY"),
     Rule("bearer", 1, r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", "eyJ"),
     Rule("forge", 1, r"(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+)", "(?:gh[pousr]_|xox[abprs]-)"),
-    Rule("address", 1, r"[a-z][a-z0-9+.-]{1,20}://[^/\s:@]{1,64}+:[^/\s:@]{1,128}+@", "://"),
+    Rule("address", 2, r"[a-z][a-z0-9+.-]{1,20}://[^/\s:@]*+:[^/\s:@]++@", "://"),
 ]
 MASK = "[SECRET]"
 _FINDING = "struct<start:int,rank:int,kind:string,end:int>"

@@ -240,3 +240,11 @@ def test_masking_removes_whole_keys(spark):
     assert {got[i] for i in range(n, len(texts))} == {"[SECRET]\n[SECRET]\nafter it"}
     assert got[len(texts)] == "it starts with [SECRET] and has lines of base64"
     assert next(r.key for r in secret_scan.RULES if r.name == "private_key") == "private_key@2"
+
+
+def test_addresses_of_any_user_and_password(spark):
+    urls = ["redis://:password1@", f"https://me:{'t' * 5000}@", f"ftp://{'u' * 300}:pw@", "https://u:p@"]
+    rows = [(i, f"see {u}host/x now") for i, u in enumerate(urls)] + [(9, "http://host:80/a@b and ://: x@y, " + "y" * 20_000 + "://" + "z" * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["findings"]] for r in secret_scan.scan(docs).collect()}
+    assert got == {i: [("address", 4, 4 + len(u))] for i, u in enumerate(urls)} | {9: []}
