@@ -5,7 +5,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import fingerprint, group_join, mixing, packing, pii, quality, rules, secret_scan, toxicity, warc
+from quipu.llm import ball_search, fingerprint, group_join, lexical, mixing, packing, pii, prefix_trie, quality, rules, secret_scan, toxicity, warc
 from quipu.llm.common import map_batches, small_side, stored, table
 
 
@@ -98,11 +98,25 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(rows, toxicity.held_out(F.col("doc_id")), "toxicity", toxicity.REJECT)
 
 
+def op11_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    shards = stored(ball_search.index(vectors), "ball-index")
+    return ball_search.top_k(shards, vectors.filter(F.col("vec_id") % ball_search.ASK_EVERY == 0))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_personal_data, op2_packing, op3_warc, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_secret_scan, op8_fingerprints, op9_group_join,
-        op10_toxicity,
+        op10_toxicity, op11_top_k, op12_prefix_trie, op13_lexical_search,
     )
 }
 
@@ -151,4 +165,80 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head THEN 're
 FROM f
 """
 
-ORACLE_SQL = {"op3_warc": _OP3, "op6_mixing": _OP6}
+_OP11 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 5
+"""
+
+_OP12 = """
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), taken AS (
+    SELECT *, (4294967295 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT), range(9 * len(CAST(conv_id AS VARCHAR)))), lambda crc, k:
+        CASE WHEN k % 9 = 0 THEN xor(crc, CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k // 9 + 1 AS BIGINT), 1)) AS BIGINT))
+             ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END)) % 9 AS h
+    FROM own
+), whole AS (
+    SELECT c.conv_id, list_concat(coalesce(list_slice(f.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) AS turns
+    FROM taken c LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 5
+), prefixes AS (
+    SELECT conv_id, len(turns) = depth AS ends, depth, list_slice(turns, 1, depth) AS prefix
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM whole)
+), nodes AS (
+    SELECT prefix, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+           (count(*) - 1) * coalesce(strlen(any_value(prefix)[-1].text), 0) AS saved
+    FROM prefixes GROUP BY prefix
+), kids AS (
+    SELECT list_slice(prefix, 1, depth - 1) AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), family AS (
+    SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (prefix)
+), sums AS (
+    SELECT list_slice(prefix, 1, up) AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM family) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM family n JOIN sums s USING (prefix) LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""
+
+_OP13 = """
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), counts AS (
+    SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), sizes AS (
+    SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id
+), totals AS (
+    SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM counts CROSS JOIN totals GROUP BY term
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), impacts AS (
+    SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)) AS x
+    FROM counts JOIN sizes USING (doc_id) CROSS JOIN totals
+), found AS (
+    SELECT item_id, doc_id, CAST(sum(w * x) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL HAVING sum(w * x) > 0
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM found QUALIFY rank <= 10
+"""
+
+ORACLE_SQL = {"op3_warc": _OP3, "op6_mixing": _OP6, "op11_top_k": _OP11, "op12_prefix_trie": _OP12, "op13_lexical_search": _OP13}
