@@ -1,17 +1,20 @@
 """Scheduled batch jobs over stored ledgers."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quipu.config import LedgerConfig
+from quipu.functions.months import close_months
 from quipu.operators.close import close_month
 from quipu.operators.documents import documents
-from quipu.operators.ledger import consolidate
+from quipu.operators.ledger import consolidate, delete_months
 from quipu.operators.projections import new_projections
 from quipu.operators.report import report
 from quipu.operators.search import build_index, embed_by_hashing, write_index
 from quipu.sources.files import write_documents, write_report_csv
 from quipu.sources.snapshots import VersionConflict, latest, read_ledger, write_ledger
-from quipu.streaming.jobs import COMMIT_ATTEMPTS
+from quipu.streaming.jobs import COMMIT_ATTEMPTS, PRUNED_MONTHS
 
 
 def rebuild_ledger(movements: DataFrame, config: LedgerConfig, path: str) -> int:
@@ -20,13 +23,27 @@ def rebuild_ledger(movements: DataFrame, config: LedgerConfig, path: str) -> int
 
 
 def monthly_close(spark: SparkSession, config: LedgerConfig, path: str, as_of=None, **options) -> int | None:
-    """Close the month before the run date as one atomic new version; again from the start if another writer commits meanwhile."""
+    """Close the month before the run date as one atomic new version. Only that month and the one it opens are read and written."""
+    months = list(spark.range(1).select(*[c.alias(n) for c, n in zip(close_months(as_of), "ab", strict=True)]).first())
+    return _rewritten(spark, path, lambda: months, lambda rows: close_month(rows, config, as_of, **options))
+
+
+def drop_months(spark: SparkSession, path: str, gone: DataFrame) -> int | None:
+    """Delete the listed (dominio, corte) pairs as one atomic new version. Only their months are read and written."""
+    months = lambda: [r["corte"] for r in gone.select("corte").distinct().limit(PRUNED_MONTHS + 1).collect() if r["corte"] is not None]
+    return _rewritten(spark, path, months, lambda rows: delete_months(rows, gone))
+
+
+def _rewritten(spark: SparkSession, path: str, months: Callable[[], list[str]], change: Callable[[DataFrame], DataFrame]) -> int | None:
+    """New content for some months of the newest ledger; again from the start if another writer commits meanwhile."""
+    touched = months()
+    touched = touched if len(touched) <= PRUNED_MONTHS else None
     for attempt in range(COMMIT_ATTEMPTS):
         base = latest(spark, path)
         if not base:
             return None
         try:
-            return write_ledger(close_month(read_ledger(spark, path, base), config, as_of, **options), path, parent=base)
+            return write_ledger(change(read_ledger(spark, path, base, touched)), path, parent=base, months=touched)
         except VersionConflict:
             if attempt + 1 == COMMIT_ATTEMPTS:
                 raise

@@ -381,6 +381,19 @@ def oracle_sql() -> dict:
  {sign} || '$' || CAST({centi} // 100 AS VARCHAR) || '.' || lpad(CAST({centi} % 100 AS VARCHAR), 2, '0') || 'M' FROM rep"""
 
     q["stream_ledger"] = q["ledger_snapshot"]
+    new = "valor - 100 * (trx_id % 1000)"
+    modes = []
+    for mode, amount in (("readd", new), ("delta", f"{new} - valor")):
+        both = f"""m0 AS ({MOVEMENTS_SQL.replace('{orders}', 'orders')}), m AS (SELECT * REPLACE (2 * trx_id AS trx_id) FROM m0
+ UNION ALL SELECT * REPLACE (2 * trx_id + 1 AS trx_id, {amount} AS valor) FROM m0 WHERE trx_id % 3 = 0)"""
+        modes.append(f"(WITH {LED.replace(MOV, both)} SELECT '{mode}' AS modo, {KEY}, bloque, origen, valor FROM led)")
+    q["change_modify"] = " UNION ALL ".join(modes)
+    in_time = f"m AS (SELECT * FROM ({MOVEMENTS_SQL.replace('{orders}', 'orders')}) WHERE trx_id % 50 <> 7)"
+    q["stream_horizon"] = f"""WITH {LED.replace(MOV, in_time)}, late AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 50 IN (7, 9))
+ SELECT 'FUERA_DE_HORIZONTE' AS destino, count(*) AS n, CAST(0 AS BIGINT) AS total FROM late
+ UNION ALL SELECT tipo, count(*), CAST(sum(valor) AS BIGINT) FROM led GROUP BY tipo"""
+    q["ledger_delete"] = f"""WITH {LED} SELECT {KEY}, bloque, origen, valor FROM led
+ WHERE NOT (corte < '1994-01' AND dominio IN ('CASA', 'AHORRO') OR corte = '1995-06')"""
     q["stream_ingest"] = f"""WITH {ACCOUNT}, {cards}, {projections}, s AS ({split}) SELECT clase, salida, count(*) AS n FROM s GROUP BY clase, salida"""
     q["stream_outbox"] = f"""WITH {MOV} SELECT 'C' || dominio AS channel_id, 'movimiento.cuenta.confirmado' AS detail_type, count(*) AS n
  FROM m WHERE tipo <> 'GASTO' AND dominio <> 'AHORRO' GROUP BY dominio"""

@@ -14,11 +14,13 @@ from quipu.operators.balances import running_balance
 from quipu.operators.envelope import decode_requests, form_state, normalise, route
 from quipu.plans import inputs
 from quipu.plans.inputs import AS_OF, CENTS
+from quipu.plans.jobs import drop_months
 from quipu.schema import KEY, LEDGER
 from quipu.scratch import run_folder
 from quipu.sources import files
 from quipu.sources.changes import decode_changes, source_rows
 from quipu.sources.orders import change_records, movements
+from quipu.sources.snapshots import read_ledger, write_ledger
 
 
 # --- sources -----------------------------------------------------------------
@@ -274,6 +276,16 @@ def ledger_key_scan(spark: SparkSession, folder: str) -> DataFrame:
     return books.key_scan(inputs.ledger(spark, folder), "CASA", "1998-06", "CUENTA#").select(*KEY, "valor")
 
 
+def ledger_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored ledger after a job deleted two domains' early months and then a month of every domain."""
+    path = f"{run_folder(spark, 'ledger-delete')}/ledger"
+    write_ledger(inputs.ledger(spark, folder), path)
+    stored = read_ledger(spark, path).select("dominio", "corte")
+    drop_months(spark, path, stored.filter("corte < '1994-01' AND dominio IN ('CASA', 'AHORRO')").distinct())
+    drop_months(spark, path, stored.filter("corte = '1995-06'").distinct())
+    return read_ledger(spark, path).select(*KEY, "bloque", "origen", F.col("valor").cast("bigint").alias("valor"))
+
+
 # --- close -------------------------------------------------------------------
 
 def close_balances(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ CHANGE = T.StructType(
         T.StructField("eventID", T.StringType()),
         T.StructField("eventName", T.StringType()),
         T.StructField("eventSourceARN", T.StringType()),
-        T.StructField("dynamodb", T.StructType([T.StructField("NewImage", IMAGE), T.StructField("OldImage", IMAGE), T.StructField("SequenceNumber", T.StringType())])),
+        T.StructField("dynamodb", T.StructType([T.StructField("NewImage", IMAGE), T.StructField("OldImage", IMAGE), T.StructField("SequenceNumber", T.StringType()), T.StructField("ApproximateCreationDateTime", T.DoubleType())])),
     ]
 )
 
