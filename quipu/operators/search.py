@@ -6,24 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.window import Window
 
 from quipu.config import BROADCAST_ROWS
+from quipu.operators.vector_blocks import BLOCK_BYTES, SCORE_DIGITS, choose_pivots, nearest_blocks, packed
 
 DIMENSION = 1536
 TOP_K = 5
-# Questions are sent to the tasks in blocks of at most this many bytes.
-QUESTION_BLOCK_BYTES = 8 << 20
 WORDS = r"[\p{L}\p{M}\p{N}_]+"
 WORD_CACHE = 200_000
-# Scores are compared up to the noise of floating-point sums, so that equal texts tie and the key decides, and shown shorter.
-SCORE_DIGITS = 12
+# Scores are shown shorter than they are compared.
 SHOWN_DIGITS = 6
 
 
@@ -87,72 +82,25 @@ def nearest(index: DataFrame, query: list, k: int = TOP_K) -> DataFrame:
     return best.withColumn("score", F.round("score", SHOWN_DIGITS))
 
 
-def _block_candidates(ids: pa.Array, vectors: np.ndarray, k: int, schema: pa.Schema):
-    """Per Arrow batch, the k best rows for each question of the block."""
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+def nearest_for_all(index: DataFrame, questions: DataFrame, k: int = TOP_K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(question_id, key, score, rank): the k best keys for every question (question_id, embedding), each row of the index scored.
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column("embedding")))
-            if not batch.num_rows:
-                continue
-            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            matrix = flat.reshape(batch.num_rows, unit.shape[1]).astype(np.float64)
-            sizes = np.linalg.norm(matrix, axis=1)
-            kept = np.flatnonzero(sizes > 0)
-            # Rows in key order, so that a stable sort by score leaves ties in key order.
-            keys = batch.column("key")
-            by_key = kept[np.argsort(keys.to_numpy(zero_copy_only=False)[kept], kind="stable")]
-            # Adding 0.0 turns a rounded -0.0 into 0.0.
-            scores = np.round(unit @ (matrix[by_key] / sizes[by_key, None]).T, SCORE_DIGITS) + 0.0
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            if not best.size:
-                continue
-            columns = [
-                ids.take(pa.array(np.repeat(np.arange(len(ids)), best.shape[1]))),
-                keys.take(pa.array(by_key[best].ravel())),
-                pa.array(np.take_along_axis(scores, best, axis=1).ravel()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return candidates
-
-
-def nearest_for_all(index: DataFrame, questions: DataFrame, k: int = TOP_K, block_bytes: int = QUESTION_BLOCK_BYTES) -> DataFrame:
-    """(question_id, key, score, rank): the k best keys for every question.
-
-    ``questions`` has question_id and embedding. Each task scores its batches
-    against a block of questions and passes on k rows per question and batch, so
-    only candidates are shuffled. Questions beyond one block are read block by
-    block, each with its own pass over the index; none is left out.
+    Questions go to the tasks in blocks; only k candidates per question and task are shuffled. For an index that is asked often,
+    ``pivot_index`` and ``nearest_by_pivots`` score a part of it.
     """
-    spark = index.sparkSession
-    asked = questions.select("question_id", "embedding").filter(F.exists("embedding", lambda x: x != 0))
-    shape = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
-    per_block = max(1, block_bytes // (8 * (shape["d"] or 1)))
-    blocks = max(1, -(-2 * shape["n"] // per_block)) if shape["n"] > per_block else 1
-    found = T.StructType(
-        [asked.schema["question_id"], T.StructField("key", index.schema["key"].dataType), T.StructField("score", T.DoubleType())]
-    )
-    rows = index.select("key", "embedding")
-    parts = []
-    for block in range(blocks):
-        part = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == block)
-        listed = part.collect()
-        if not listed:
-            continue
-        vectors = np.array([r["embedding"] for r in listed], dtype=np.float64)
-        arrow = to_arrow_schema(found)
-        ids = pa.array([r["question_id"] for r in listed], arrow.field("question_id").type)
-        parts.append(rows.mapInArrow(_block_candidates(ids, vectors, k, arrow), found))
-    if not parts:
-        return spark.createDataFrame([], found).withColumn("rank", F.lit(1))
-    candidates = parts[0]
-    for part in parts[1:]:
-        candidates = candidates.unionByName(part)
-    order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "key")
-    best = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return best.withColumn("score", F.round("score", SHOWN_DIGITS) + 0.0)
+    found = nearest_blocks(packed(index, "key"), questions, k, block_bytes=block_bytes)
+    return found.withColumn("score", F.round("score", SHOWN_DIGITS) + 0.0)
+
+
+def pivot_index(index: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """The index in blocks around pivots, and the pivots."""
+    pivots = choose_pivots(index)
+    return packed(index, "key", pivots), pivots
+
+
+def nearest_by_pivots(blocks: DataFrame, pivots: np.ndarray, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The same rows as ``nearest_for_all``, without scoring what the triangle inequality rules out."""
+    return nearest_blocks(blocks, questions, k, pivots).withColumn("score", F.round("score", SHOWN_DIGITS) + 0.0)
 
 
 def with_metadata(hits: DataFrame, index: DataFrame, at_most: int) -> DataFrame:

@@ -339,6 +339,8 @@ def oracle_sql() -> dict:
     q["documents"] = f"WITH {DOC} SELECT * FROM doc"
 
     q["vector_topk"] = f"WITH {HITS} SELECT question_id, key, CAST(rank AS INTEGER) AS rank, round(score, 6) + 0.0 AS score FROM hits"
+    q["vector_pivots"] = f"""WITH {HITS.split('hits AS')[0].rstrip(', ' + chr(10)).replace(HITS[: HITS.index('sc AS')], "c AS (SELECT vec_id AS question_id, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings WHERE vec_id % 50 = 0)," + chr(10))}
+ SELECT question_id, key, CAST(rank AS INTEGER) AS rank, round(score, 6) + 0.0 AS score FROM rk WHERE rank <= 5"""
     q["context_text"] = f"""WITH {HITS} SELECT question_id, string_agg(chr(10) || 'Dominio: ' || CASE WHEN label < 3 THEN 'CASA' WHEN label < 6 THEN 'PERSONAL' ELSE 'AHORRO' END ||
  chr(10) || 'Periodo: 1998-07' || chr(10) || 'Sección: PROYECCION' || chr(10) || 'Concepto: ' || CASE WHEN label <> 0 THEN 'ETIQUETA ' || CAST(label AS VARCHAR) ELSE 'None' END ||
  chr(10) || 'Valor: ' || CAST(key AS VARCHAR) || chr(10), chr(10) ORDER BY rank) AS contexto FROM hits GROUP BY question_id"""

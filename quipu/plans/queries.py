@@ -403,6 +403,14 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     return search.nearest_for_all(index, inputs.label_questions(index)).select("question_id", "key", "rank", "score")
 
 
+def vector_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whose id is divisible by 50 as a question to the index in blocks around pivots."""
+    index = inputs.vector_index(spark, folder)
+    asked = index.filter(F.col("key") % 50 == 0).select(F.col("key").alias("question_id"), "embedding")
+    blocks, pivots = search.pivot_index(index)
+    return search.nearest_by_pivots(blocks, pivots, asked).select("question_id", "key", "rank", "score")
+
+
 def context_text(spark: SparkSession, folder: str) -> DataFrame:
     index = inputs.vector_index(spark, folder)
     return search.answer_context(index, inputs.label_questions(index))

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from quipu.operators import search
+from quipu.operators import search, vector_blocks
 
 SCHEMA = "key long, embedding array<float>, metadata struct<dominio: string, corte: string, seccion: string, concepto: string, valor: long>"
 
@@ -88,3 +88,40 @@ def test_index_from_documents(spark, tmp_path):
     question = search.embed_by_hashing(spark.createDataFrame([("gasto en salud",)], "texto string")).first()["embedding"]
     best = search.nearest(stored, question, 1).first()
     assert best["key"] == "b" and best["metadata"]["valor"] == 2
+
+
+def test_pivots_leave_no_neighbour_out(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(25, 12))
+    rows = [(f"k{i:04d}", (centres[i % 25] + r.normal(size=12) / 20).tolist()) for i in range(1500)]
+    rows += [(f"s{i:04d}", rows[7][1]) for i in range(400)]  # equal vectors: keys decide
+    rows += [("none", None), ("zero", [0.0] * 12), ("null", [None] + [1.0] * 11), ("nan", [float("nan")] * 12)]
+    asked = [(i, rows[i * 30][1]) for i in range(40)] + [(40, r.normal(size=12).tolist()), (41, [0.0] * 12), (42, None)]
+    index = spark.createDataFrame(rows, "key string, embedding array<double>").repartition(5)
+    questions = spark.createDataFrame(asked, "question_id long, embedding array<double>")
+    x = vector_blocks.unit(np.asarray([v for _, v in rows[:1900]]))
+    want = set()
+    for i, v in asked[:41]:
+        scores = np.round(x @ (np.asarray(v) / np.linalg.norm(v)), 12) + 0.0
+        best = sorted((-s, k) for s, (k, _) in zip(scores, rows, strict=False))[:5]
+        want |= {(i, k, round(-s, 6) + 0.0, n + 1) for n, (s, k) in enumerate(best)}
+    monkeypatch.setattr(vector_blocks, "BLOCK_BYTES", 4000)
+    pivots = vector_blocks.choose_pivots(index, 25)
+    blocks = vector_blocks.packed(index, "key", pivots, 4000)
+    assert blocks.count() > 30
+    for limit in (32 << 20, 0):
+        monkeypatch.setattr(vector_blocks, "BROADCAST_BYTES", limit)
+        got = search.nearest_by_pivots(blocks, pivots, questions).select("question_id", "key", "score", "rank")
+        assert {tuple(r) for r in got.collect()} == want
+        assert {tuple(r) for r in search.nearest_for_all(index, questions, 5, 1000).select("question_id", "key", "score", "rank").collect()} == want
+    # What is scored once the question's own cell was searched.
+    scored, best = 0, vector_blocks.Best(1, 5, None)
+    q = x[:1]
+    cell = int((pivots @ q[0]).argmax())
+    for row in sorted(blocks.collect(), key=lambda b: b["celda"] != cell):
+        vectors = np.frombuffer(row["vectores"]).reshape(len(row["ids"]), -1)
+        scored += vector_blocks.search_block(q, vectors, row["ids"], np.frombuffer(row["lejos"]), pivots[row["celda"]], best)
+    assert scored < 1900 / 3
+    assert sorted(k for _, k in best.found[0]) == sorted(k for i, k, _, _ in want if i == 0)
+    nothing = index.limit(0)
+    assert search.nearest_by_pivots(*search.pivot_index(nothing), questions).count() == search.nearest_for_all(index, questions.limit(0)).count() == 0
