@@ -341,6 +341,28 @@ def oracle_sql() -> dict:
     q["vector_topk"] = f"WITH {HITS} SELECT question_id, key, CAST(rank AS INTEGER) AS rank, round(score, 6) + 0.0 AS score FROM hits"
     q["vector_pivots"] = f"""WITH {HITS.split('hits AS')[0].rstrip(', ' + chr(10)).replace(HITS[: HITS.index('sc AS')], "c AS (SELECT vec_id AS question_id, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings WHERE vec_id % 50 = 0)," + chr(10))}
  SELECT question_id, key, CAST(rank AS INTEGER) AS rank, round(score, 6) + 0.0 AS score FROM rk WHERE rank <= 5"""
+    q["index_refresh"] = """WITH d AS (SELECT doc_id AS k, CASE WHEN doc_id % 5 = 0 THEN text || ' nuevo' ELSE text END AS t,
+ CASE WHEN doc_id % 11 = 0 THEN 'OTRO' ELSE lang END AS dominio, doc_id % 5 = 0 AND text IS NOT NULL AS otro, doc_id % 13 = 0 AS nuevo, doc_id % 11 = 0 AS ficha
+ FROM documents WHERE doc_id % 7 <> 0)
+ SELECT k AS key, dominio, sha256(coalesce(t, '')) AS huella, CAST(CASE WHEN otro OR nuevo THEN 1 ELSE 0 END AS INTEGER) AS vector_de,
+ CAST(CASE WHEN otro OR nuevo OR ficha THEN 1 ELSE 0 END AS INTEGER) AS lote,
+ CASE WHEN len(regexp_extract_all(lower(coalesce(t, '')), '[\\p{L}\\p{M}\\p{N}_]+')) > 0 THEN CAST(1 AS DOUBLE) ELSE 0 END AS norma FROM d"""
+    q["append_once"] = f"WITH {ACCOUNT} SELECT 'cuenta-e' || CAST(trx_id AS VARCHAR) AS trx_id, dominio, corte, cuenta, CAST(valor AS BIGINT) AS valor FROM a JOIN (SELECT trx_id, corte FROM m) USING (trx_id) WHERE razon IS NULL"
+    q["calendar_run"] = f"""WITH {CLOSE}, fp(dominio, concepto, importe) AS (VALUES {_PROJECTION_ROWS}), n(i) AS (VALUES (1), (2), (3)),
+ kept AS (SELECT {KEY}, bloque, origen, valor FROM led WHERE corte <> {CLOSING}
+ AND NOT EXISTS (SELECT 1 FROM opening o WHERE o.dominio = led.dominio AND o.corte = led.corte AND o.tipo = led.tipo AND o.concepto = led.concepto
+ AND o.origen_clave IS NOT DISTINCT FROM led.origen_clave)),
+ extra AS (SELECT fp.dominio, {_ADD.format(MONTH, 'i')} AS corte, 'GASTO' AS tipo, fp.concepto, CAST(NULL AS VARCHAR) AS origen_clave,
+ 'PROYECCION' AS bloque, CAST(NULL AS VARCHAR) AS origen, CAST(fp.importe AS BIGINT) * 100 AS valor FROM fp, n
+ WHERE EXISTS (SELECT 1 FROM cat WHERE cat.dominio = fp.dominio AND cat.bloque = 'PROYECCION' AND cat.nombre = fp.concepto)),
+ parts AS (SELECT * FROM kept UNION ALL SELECT {KEY}, bloque, NULL, valor FROM carry UNION ALL SELECT * FROM extra UNION ALL SELECT {KEY}, bloque, origen, valor FROM opening),
+ booked AS (SELECT {KEY}, max(bloque) AS bloque, max(origen) AS origen, CAST(sum(valor) AS BIGINT) AS valor FROM parts GROUP BY {KEY}),
+ shown AS (SELECT dominio, origen FROM booked WHERE bloque = 'CAJA_ACTUAL' GROUP BY dominio, origen),
+ ahead AS (SELECT DISTINCT dominio, corte, concepto FROM booked WHERE bloque = 'PROYECCION' AND corte >= {MONTH}),
+ total AS (SELECT (SELECT count(*) FROM shown) + (SELECT count(DISTINCT dominio) FROM shown) + (SELECT count(*) FROM ahead)
+ + (SELECT count(*) FROM (SELECT DISTINCT dominio, corte FROM ahead)) AS n)
+ SELECT 'saldo' AS parte, {KEY}, valor FROM booked UNION ALL
+ SELECT parte, NULL, NULL, NULL, NULL, NULL, n FROM total, (VALUES ('reporte'), ('documentos'), ('indice')) t(parte)"""
     q["context_text"] = f"""WITH {HITS} SELECT question_id, string_agg(chr(10) || 'Dominio: ' || CASE WHEN label < 3 THEN 'CASA' WHEN label < 6 THEN 'PERSONAL' ELSE 'AHORRO' END ||
  chr(10) || 'Periodo: 1998-07' || chr(10) || 'Sección: PROYECCION' || chr(10) || 'Concepto: ' || CASE WHEN label <> 0 THEN 'ETIQUETA ' || CAST(label AS VARCHAR) ELSE 'None' END ||
  chr(10) || 'Valor: ' || CAST(key AS VARCHAR) || chr(10), chr(10) ORDER BY rank) AS contexto FROM hits GROUP BY question_id"""

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from quipu.functions.months import month_start, months_from
 from quipu.functions.variants import scalar_text
-from quipu.operators import catalogue, close, dashboard, documents, ingest, outbox, projections, report, rules, search
+from quipu.operators import catalogue, close, dashboard, documents, index_store, ingest, outbox, projections, report, rules, search
 from quipu.operators import ledger as books
 from quipu.operators.balances import running_balance
 from quipu.operators.envelope import decode_requests, form_state, normalise, route
-from quipu.plans import inputs
+from quipu.plans import calendar, inputs
 from quipu.plans.inputs import AS_OF, CENTS
 from quipu.plans.jobs import drop_months
 from quipu.schema import KEY, LEDGER
@@ -166,6 +166,20 @@ def ingest_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def append_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Accepted account requests appended by two writers, one of them twice and with its events sent twice."""
+    raw = F.concat(F.lit('{"id":"e'), F.col("trx_id").cast("string"), F.lit('",'), F.substr("raw", F.lit(2)))
+    events = inputs.bus_events(movements(spark, folder), inputs.account_payload()).withColumn("raw", raw)
+    rows = ingest.validate(normalise(events), ingest.ACCOUNT, inputs.config())
+    rows = ingest.accepted(rows, ingest.ACCOUNT, ingest.event_identity(F.col("raw"), ingest.ACCOUNT), AS_OF)
+    path = f"{run_folder(spark, 'append-once')}/cuenta"
+    even = F.substring_index("trx_id", "e", -1).cast("bigint") % 2 == 0
+    for part, writer in ((rows.filter(even), "lote-0"), (rows.filter(~even).unionByName(rows.filter(~even)), "lote-1"), (rows, "lote-1")):
+        ingest.append_once(part, path, writer)
+    found = ingest.read_appended(spark, path, rows.schema)
+    return found.select("trx_id", "dominio", "corte", "cuenta", F.col("valor").cast("bigint").alias("valor"))
+
+
 # --- catalogue ---------------------------------------------------------------
 
 def catalogue_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -416,6 +430,28 @@ def context_text(spark: SparkSession, folder: str) -> DataFrame:
     return search.answer_context(index, inputs.label_questions(index))
 
 
+def index_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as an index, refreshed after some got another text, some another domain, and some are gone."""
+    path, rows = f"{run_folder(spark, 'index-refresh')}/index", inputs.table(spark, folder, "documents")
+    none, k = F.lit(None).cast("string"), F.col("doc_id")
+
+    def shaped(text, domain) -> DataFrame:
+        fields = {c: none for c in index_store.METADATA} | {"dominio": domain, "es_futuro": F.lit(False), "valor": F.lit(0)}
+        return rows.select(k.cast("string").alias("id"), text.alias("texto"), *[fields[c].alias(c) for c in index_store.METADATA])
+
+    def embed(changed: DataFrame) -> DataFrame:
+        return search.embed_by_hashing(changed, dimension=64)
+
+    before = shaped(F.col("text"), F.col("lang"))
+    after = shaped(F.when(k % 5 == 0, F.concat("text", F.lit(" nuevo"))).otherwise(F.col("text")), F.when(k % 11 == 0, "OTRO").otherwise(F.col("lang")))
+    index_store.refresh(before.filter("CAST(id AS BIGINT) % 13 <> 0"), path, embed)
+    index_store.refresh(after.filter("CAST(id AS BIGINT) % 7 <> 0"), path, embed)
+    index_store.refresh(after.filter("CAST(id AS BIGINT) % 7 <> 0"), path, embed)
+    found = index_store.read_index(spark, path)
+    norm = F.round(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x), 3)
+    return found.select(F.col("key").cast("bigint").alias("key"), F.col("metadata.dominio").alias("dominio"), "huella", "vector_de", "lote", norm.alias("norma"))
+
+
 def question_intake(spark: SparkSession, folder: str) -> DataFrame:
     asked = decode_requests(inputs.interaction_requests(spark, folder))
     return search.valid_questions(asked).select("conv_id", "turn", "channel_id", "user_id", "question")
@@ -427,6 +463,27 @@ def embed_hash(spark: SparkSession, folder: str) -> DataFrame:
     return places.withColumn("peso", F.round(F.col("peso").cast("double"), 6))
 
 
+# --- calendar ----------------------------------------------------------------
+
+def calendar_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The month's and the day's jobs over a stored ledger, run twice: the ledger with its projections, and rows of report, documents
+    and index."""
+    root = run_folder(spark, "calendar")
+    write_ledger(inputs.ledger(spark, folder), f"{root}/ledger")
+    job = calendar.Run(spark, inputs.close_config(), root, AS_OF, CENTS, lambda rows: search.embed_by_hashing(rows, dimension=32))
+    for _ in range(2):
+        calendar.run_calendar(job)
+    ledger = read_ledger(spark, job.ledger).select(F.lit("saldo").alias("parte"), *KEY, F.col("valor").cast("bigint").alias("valor"))
+    counted = {
+        "reporte": files.read_report_csv(spark, f"{root}/reports"), "documentos": files.read_documents(spark, f"{root}/rag"),
+        "indice": index_store.read_index(spark, f"{root}/index"),
+    }
+    for name, rows in counted.items():
+        none = [F.lit(None).cast("string").alias(c) for c in KEY]
+        ledger = ledger.unionByName(rows.agg(F.count(F.lit(1)).alias("valor")).select(F.lit(name).alias("parte"), *none, "valor"))
+    return ledger
+
+
 # --- dashboard ---------------------------------------------------------------
 
 def dash_filter(spark: SparkSession, folder: str) -> DataFrame:
