@@ -7,6 +7,7 @@ expressions or into small dimension tables.
 
 import json
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +59,7 @@ class LedgerConfig:
     def catalogue_dim(self, spark: SparkSession) -> DataFrame:
         return small_table(spark, self.catalogue_rows(), _CATALOGUE_SCHEMA)
 
-    def names_dim(self, spark: SparkSession, blocks: list, kind: str | None = None) -> DataFrame:
+    def listed_names(self, blocks: list, kind: str | None = None) -> list:
         """Distinct (dominio, nombre) listed in the first of ``blocks`` that each domain has, optionally of one type."""
         first = {d: next((b for b in blocks if self.has_block(d, b)), None) for d in self.domains}
         names = {
@@ -66,7 +67,10 @@ class LedgerConfig:
             for domain, block, type_, name, _ in self.catalogue_rows()
             if block == first[domain] and (kind is None or type_ == kind)
         }
-        return small_table(spark, list(names), pa.schema([("dominio", pa.string()), ("nombre", pa.string())]))
+        return list(names)
+
+    def names_dim(self, spark: SparkSession, blocks: list, kind: str | None = None) -> DataFrame:
+        return small_table(spark, self.listed_names(blocks, kind), pa.schema([("dominio", pa.string()), ("nombre", pa.string())]))
 
     def accounts_dim(self, spark: SparkSession, kinds: list | None = None) -> DataFrame:
         """Distinct (dominio, nombre, tipo) of the cash block, optionally of some types."""
@@ -87,20 +91,35 @@ class LedgerConfig:
         schema = pa.schema([("dominio", pa.string()), ("nombre", pa.string()), ("tipo_nombre", pa.string())])
         return small_table(spark, [(d, n, k) for (d, n), k in first.items()], schema)
 
-    def projection_dim(self, spark: SparkSession) -> DataFrame:
-        rows = [
-            (domain.strip().upper(), concept.strip().upper(), int(value))
+    def projection_rows(self) -> list:
+        """(dominio, concepto, valor) with the amounts as they are written; whole ones are integers."""
+        return [
+            (domain.strip().upper(), concept.strip().upper(), _exact(value))
             for domain, concepts in self.projections.items()
             for concept, value in concepts.items()
         ]
-        schema = pa.schema([("dominio", pa.string()), ("concepto", pa.string()), ("valor", pa.int64())])
-        return small_table(spark, rows, schema)
+
+    @property
+    def projection_type(self) -> str:
+        """Type of projected amounts: whole units, or exact fractions where one is configured."""
+        return "bigint" if all(isinstance(v, int) for *_, v in self.projection_rows()) else "decimal(30,6)"
+
+    def projection_dim(self, spark: SparkSession) -> DataFrame:
+        kind = pa.int64() if self.projection_type == "bigint" else pa.decimal128(30, 6)
+        return small_table(spark, self.projection_rows(), pa.schema([("dominio", pa.string()), ("concepto", pa.string()), ("valor", kind)]))
 
     def persistent_dim(self, spark: SparkSession) -> DataFrame:
         rows = [(domain, concept) for domain, concepts in self.persistent.items() for concept in dict.fromkeys(concepts)]
         return small_table(spark, rows, pa.schema([("dominio", pa.string()), ("concepto", pa.string())]))
 
 
+def _exact(value) -> int | Decimal:
+    number = Decimal(str(value))
+    if number != round(number, 6):
+        raise ValueError(f"configured amount {value} has more than 6 digits after the point")
+    return int(number) if number == int(number) else number
+
+
 def default_config() -> LedgerConfig:
     return LedgerConfig()
 

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from quipu.schema import KEYED_BY_ORIGIN
 
-AMOUNT = "decimal(18,2)"
+# Amounts are kept exactly, or refused: 24 digits before the point and 6 after it.
+AMOUNT, _FINER = "decimal(30,6)", "decimal(38,12)"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -22,9 +24,21 @@ def trimmed(text: Column) -> Column:
     return F.trim(text, F.lit(_BLANKS))
 
 
-def amount(text: Column) -> Column:
-    """Decimal amount, null where the text is not a finite number."""
-    return trimmed(text).try_cast(AMOUNT)
+def exact_amount(text: Column) -> Column:
+    """Exact amount; null where the text is no number, or one that AMOUNT can't hold whole."""
+    shown = trimmed(text)
+    value = shown.try_cast(AMOUNT)
+    cut = shown.rlike(r"^[^eE]*\.\d{6}\d*[1-9]\d*$")
+    return F.when((value == shown.try_cast(_FINER)) & ~cut, value)
+
+
+def is_number(text: Column) -> Column:
+    return F.coalesce(trimmed(text).rlike(NUMBER), F.lit(False))
+
+
+def plain_number(value: Column) -> Column:
+    """A number as text, without zeros at the end of its fraction."""
+    return F.regexp_replace(value.cast("string"), r"\.0+$|(\.\d*?[1-9])0+$", "$1")
 
 
 def keyed_origin(tipo: Column, origen: Column) -> Column:

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 from quipu.config import LedgerConfig
 from quipu.defaults import RECORD_TYPES
 from quipu.functions.months import as_date, months_from
+from quipu.functions.text import in_list
 
 FORM_MONTHS = 6
+#: Listed names that are compared as literals; more of them are joined.
+LITERAL_NAMES = 5000
+_BETWEEN = "\x1f"
 
 
 def names(spark: SparkSession, config: LedgerConfig, domain: str, block: str, kind: str | None = None) -> DataFrame:
@@ -33,7 +37,14 @@ def with_account_type(rows: DataFrame, config: LedgerConfig, account: str, block
 def mark_listed(
     rows: DataFrame, config: LedgerConfig, column: str, flag: str, blocks: list, kind: str | None = None
 ) -> DataFrame:
-    """Adds a boolean: is the row's name listed for its domain in the first of ``blocks`` the domain has."""
+    """Adds a boolean: is the row's name listed for its domain in the first of ``blocks`` the domain has.
+
+    A catalogue of the usual size is a set of literals, so that no lookup needs a join.
+    """
+    pairs = config.listed_names(blocks, kind)
+    if len(pairs) <= LITERAL_NAMES:
+        wanted = [f"{domain}{_BETWEEN}{name}" for domain, name in pairs]
+        return rows.withColumn(flag, in_list(F.concat(F.col("dominio"), F.lit(_BETWEEN), F.col(column)), wanted))
     listed = config.names_dim(rows.sparkSession, blocks, kind).select(
         F.col("dominio").alias("_listado_d"), F.col("nombre").alias("_listado_n"), F.lit(True).alias(flag)
     )

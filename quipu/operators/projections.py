@@ -33,18 +33,14 @@ def expand_over(bases: DataFrame, config: LedgerConfig) -> DataFrame:
     instead of being joined.
     """
     check_domains(config)
+    kind = config.projection_type
     rows = [
-        F.struct(
-            F.lit(domain.strip().upper()).alias("dominio"),
-            F.lit(concept.strip().upper()).alias("concepto"),
-            F.lit(int(value)).cast("bigint").alias("valor"),
-        )
-        for domain, concepts in config.projections.items()
-        if config.has_block(domain.strip().upper(), "PROYECCION")
-        for concept, value in concepts.items()
+        F.struct(F.lit(domain).alias("dominio"), F.lit(concept).alias("concepto"), F.lit(value).cast(kind).alias("valor"))
+        for domain, concept, value in config.projection_rows()
+        if config.has_block(domain, "PROYECCION")
     ]
     if not rows:
-        return bases.select("base", F.lit("").alias("dominio"), F.lit("").alias("concepto"), F.lit(0).cast("bigint").alias("valor"), F.lit("").alias("corte")).limit(0)
+        return bases.select("base", F.lit("").alias("dominio"), F.lit("").alias("concepto"), F.lit(0).cast(kind).alias("valor"), F.lit("").alias("corte")).limit(0)
     months = bases.select("base", F.explode(projection_months(F.col("base"))).alias("corte"))
     return months.select("base", "corte", F.inline(F.array(*rows)))
 

@@ -10,8 +10,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quipu.config import LedgerConfig
+from quipu.functions.text import AMOUNT
 from quipu.operators import index_store
 from quipu.operators.documents import documents
 from quipu.operators.ingest import PROJECTION, append_once, read_appended
@@ -25,7 +27,7 @@ from quipu.sources.folders import exists, mark_once
 from quipu.sources.snapshots import last_batch, read_ledger
 from quipu.streaming.jobs import apply_batch
 
-_PROJECTED = "trx_id string, concepto string, valor long, created_at timestamp, origen_registro string, tabla string, dominio string, corte string"
+_PROJECTED = "trx_id string, concepto string, valor decimal(30,6), created_at timestamp, origen_registro string, tabla string, dominio string, corte string"
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,7 @@ def project(run: Run) -> None:
     """The months ahead, appended under the month's name; a repeated append changes nothing."""
     stamp = dt.datetime.combine(run.as_of.replace(day=1), dt.time())
     rows = new_projections(run.projected(), run.config, as_of=run.as_of, stamp=stamp)
+    rows = rows.withColumn("valor", F.col("valor").cast(AMOUNT))
     append_once(rows.select(*[c.split()[0] for c in _PROJECTED.split(", ")]), f"{run.root}/proyecciones", f"mes-{run.month}")
 
 

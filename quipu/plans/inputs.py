@@ -100,6 +100,10 @@ def falsy_payload() -> Column:
 
 def bus_events(rows: DataFrame, payload: Column) -> DataFrame:
     """(trx_id, raw): payloads in bus envelopes."""
+    return rows.select("trx_id", _bus_text(payload).alias("raw"))
+
+
+def _bus_text(payload: Column) -> Column:
     detail = F.struct(
         payload.alias("payload"),
         F.struct(
@@ -107,7 +111,13 @@ def bus_events(rows: DataFrame, payload: Column) -> DataFrame:
             F.concat(F.lit("C"), F.col("dominio")).alias("channel_id"),
         ).alias("metadata"),
     )
-    return rows.select("trx_id", F.to_json(F.struct(detail.alias("detail"))).alias("raw"))
+    return F.to_json(F.struct(detail.alias("detail")))
+
+
+def requests_of_each_kind(rows: DataFrame, payloads: dict) -> DataFrame:
+    """(trx_id, clase, raw): every row as a bus event of each kind, from one scan."""
+    events = [F.struct(F.lit(kind).alias("clase"), _bus_text(payload).alias("raw")) for kind, payload in payloads.items()]
+    return rows.select("trx_id", F.inline(F.array(*events)))
 
 
 def mixed_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -263,8 +263,11 @@ def oracle_sql() -> dict:
     )
     cards = CARD.replace(f"{MOV}, {_catalogue()}, q AS", "q2 AS").replace("q.", "q2.").replace("FROM q)", "FROM q2)")
     projections = PROJECTION.replace(f"{MOV}, {_catalogue()}, q AS", "q3 AS").replace("q.", "q3.").replace("FROM q)", "FROM q3)")
-    q["ingest_split"] = f"""WITH {ACCOUNT}, {cards}, {projections}, s AS ({split})
- SELECT clase, dominio, salida, codigo, count(*) AS n, CAST(coalesce(sum(valor), 0) AS BIGINT) AS total FROM s GROUP BY clase, dominio, salida, codigo"""
+    number = "CASE trx_id % 40 WHEN 1 THEN 1.005 WHEN 2 THEN 12345678901234567890.25 WHEN 3 THEN NULL ELSE valor END"
+    odd = ACCOUNT.replace("a AS (SELECT *, CASE\n", f"a AS (SELECT * REPLACE (CAST({number} AS DECIMAL(38,6)) AS valor), CASE WHEN trx_id % 40 = 3 THEN 'Valor fuera de rango'\n")
+    q["ingest_split"] = f"""WITH {odd}, {cards}, {projections}, s AS ({split})
+ SELECT clase, dominio, salida, codigo, count(*) AS n, CAST(CAST(coalesce(sum(valor), 0) AS DECIMAL(38,6)) AS VARCHAR) AS total
+ FROM s GROUP BY clase, dominio, salida, codigo"""
 
     q["catalogue_names"] = f"""WITH {MOV}, {_catalogue()}, g AS (SELECT dominio, count(*) AS movimientos FROM m GROUP BY dominio)
  SELECT cat.dominio, cat.bloque, cat.nombre, CAST(cat.pos AS INTEGER) AS pos, coalesce(g.movimientos, 0) AS movimientos FROM cat LEFT JOIN g ON cat.dominio = g.dominio"""

@@ -267,3 +267,64 @@ def test_config_files(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=2))
     loaded = load_config(spark, str(tmp_path / "c.json"), str(tmp_path / "r.json"), str(tmp_path / "p.json"))
     assert (loaded.catalogue, loaded.rules, loaded.projections, loaded.persistent) == (CONFIG.catalogue, CONFIG.rules, CONFIG.projections, {})
+
+
+def test_all_kinds_in_one_pass(spark):
+    requests = [
+        (ingest.ACCOUNT, ACCOUNT), (ingest.CARD, CARD), (ingest.PROJECTION, PROJECTION), (ingest.ACCOUNT, {**ACCOUNT, "Cuenta": 5}),
+        (ingest.ACCOUNT, {**ACCOUNT, "Franquicia": 7, "Concepto": 8}), (ingest.CARD, {**CARD, "Cuenta": 5, "Franquicia": "BDO"}),
+        (ingest.PROJECTION, {**PROJECTION, "DominioFinanciero": "INVERSIONES"}), (ingest.PROJECTION, {"Concepto": "X"}), ("otra", ACCOUNT), (None, ACCOUNT),
+        (ingest.CARD, {**CARD, "Valor": "1e40"}), (ingest.ACCOUNT, {**ACCOUNT, "DominioFinanciero": "AHORRO", "Descripcion": "X"}),
+    ]
+    rows = spark.createDataFrame([(k, c, json.dumps(p)) for k, (c, p) in enumerate(requests)], "k int, clase string, raw string")
+    found = ingest.validate_each(envelope.normalise(rows), CONFIG)
+    each = {r["k"]: r for r in found.collect()}
+    for kind in (ingest.ACCOUNT, ingest.CARD, ingest.PROJECTION):
+        alone = ingest.validate(envelope.normalise(rows.filter(F.col("clase") == kind)), kind, CONFIG)
+        columns = [c for c in alone.columns if c not in ("raw", "payload")]
+        assert {c for c in found.columns if c not in columns} >= {"raw"}
+        for row in alone.select(*columns).collect():
+            assert {c: each[row["k"]][c] for c in columns} == row.asDict()
+    assert [(each[k]["reject_code"], each[k]["reject_reason"]) for k in (8, 9, 10)] == [(500, ingest.INTERNAL), (500, ingest.INTERNAL), (400, ingest.OUT_OF_RANGE)]
+    assert each[1]["cuenta"] is None and each[1]["franquicia"] == "TARJETA MASTERCARD BDO" and each[0]["tabla"] is None
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_large_catalogues_are_joined(spark, monkeypatch):
+    from quipu.operators import catalogue
+
+    expected = check(spark, ingest.ACCOUNT, ACCOUNT, {**ACCOUNT, "Cuenta": "NADA"}, {**ACCOUNT, "DominioFinanciero": "otro"})
+    monkeypatch.setattr(catalogue, "LITERAL_NAMES", 0)
+    assert check(spark, ingest.ACCOUNT, ACCOUNT, {**ACCOUNT, "Cuenta": "NADA"}, {**ACCOUNT, "DominioFinanciero": "otro"}) == expected
+
+
+@pytest.mark.parametrize(
+    "text, value, shown",
+    [
+        ("1.005", "1.005000", "1.005"), (" 12345678901234567890.25 ", "12345678901234567890.250000", "12345678901234567890.25"), ("1e3", "1000.000000", "1000"),
+        ("100", "100.000000", "100"), ("-0.50", "-0.500000", "-0.5"), ("1.0000000", "1.000000", "1"), ("1.0000005", None, None),
+        ("1.0000000000001", None, None), ("1e40", None, None), ("123456789012345678901234567890", None, None), ("x", None, None), ("NaN", None, None), (None, None, None),
+    ],
+)
+def test_amounts_are_exact_or_refused(spark, text, value, shown):
+    from quipu.functions.text import exact_amount, is_number, plain_number
+
+    row = spark.createDataFrame([(text,)], "t string").select(exact_amount(F.col("t")).alias("v"), is_number(F.col("t")).alias("n"))
+    got = row.select(F.col("v").cast("string"), plain_number(F.col("v")), "n").first()
+    assert (got[0], got[1]) == (value, shown)
+    assert got[2] == (text not in ("x", "NaN", None))
+
+
+def test_configured_fractions_are_kept(spark):
+    import dataclasses
+
+    from quipu.operators import projections
+
+    config = dataclasses.replace(CONFIG, projections={"CASA": {"SALUD": 7.25, "SERVICIOS": 3}})
+    rows = projections.expand(spark, config, "2026-05").filter("corte = '2026-06'")
+    assert sorted((r["concepto"], str(r["valor"])) for r in rows.collect()) == [("SALUD", "7.250000"), ("SERVICIOS", "3.000000")]
+    assert sorted(str(r["valor"]) for r in config.projection_dim(spark).collect()) == ["3.000000", "7.250000"]
+    assert dict(projections.expand(spark, CONFIG, "2026-05").dtypes)["valor"] == "bigint"
+    with pytest.raises(ValueError, match="6 digits"):
+        projections.expand(spark, dataclasses.replace(CONFIG, projections={"CASA": {"SALUD": 0.1234567}}), "2026-05")
