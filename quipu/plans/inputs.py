@@ -5,11 +5,12 @@ Each function turns whole tables into the raw shape an operator reads.
 
 import dataclasses
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.config import LedgerConfig, default_config
+from quipu.config import LedgerConfig, default_config, load_config
 from quipu.operators.ledger import consolidate
 from quipu.sources.orders import movements
 
@@ -175,8 +176,8 @@ def record_type() -> Column:
     )
 
 
-def form_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """(trx_id, body): every movement as a submitted form."""
+def form_requests(spark: SparkSession, folder: str, domain: Column | None = None) -> DataFrame:
+    """(trx_id, body): every movement as a submitted form, of its own domain or another."""
 
     def chosen(value: Column, action: str) -> Column:
         return F.struct(F.struct(F.struct(value.alias("value")).alias("selected_option")).alias(action))
@@ -187,7 +188,7 @@ def form_requests(spark: SparkSession, folder: str) -> DataFrame:
     amount = F.when(F.col("concepto") == "AUTOMOVIL", F.concat(F.col("valor").cast("string"), F.lit(".5"))).otherwise(F.col("valor").cast("string"))
     values = F.struct(
         chosen(record_type(), "tipo_registro_select").alias("tipo_registro"),
-        chosen(F.col("dominio"), "dominio_select").alias("dominio"),
+        chosen(F.col("dominio") if domain is None else domain, "dominio_select").alias("dominio"),
         chosen(F.col("corte"), "corte_select").alias("corte"),
         chosen(F.col("origen"), "cuenta_select").alias("cuenta"),
         chosen(F.col("cuenta_destino"), "cuenta_destino_select").alias("cuenta_destino"),
@@ -201,6 +202,34 @@ def form_requests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def configuration_files(spark: SparkSession, path: str) -> LedgerConfig:
+    """The configuration written as JSON files and read again, with two more rules: one that requires an origin, and one with an
+    operation that nobody knows."""
+    plain = config()
+    wanted = {"tipos_origen": ["TARJETA", "GASTO"], "condicion_valor": "POSITIVO"}
+    action = {"tipo_destino": "CUENTA", "bloque_destino": "CAJA_ACTUAL", "operacion": "ADD"}
+    more = [
+        {"id": "CON_ORIGEN", "activo": True, **wanted, "bloque_origen": "PROYECCION", "requiere_origen": True, "acciones": [action]},
+        {"id": "SIN_ORIGEN", "activo": True, **wanted, "bloque_origen": "PROYECCION", "incluir_conceptos": ["SALUD"], "acciones": [action]},
+        {"id": "TARJETA_CON_ORIGEN", "activo": True, **wanted, "bloque_origen": "CAJA_ACTUAL", "requiere_origen": True, "incluir_conceptos": ["SERVICIOS"], "acciones": [action]},
+        {"id": "OTRA", "activo": True, **wanted, "bloque_origen": "CAJA_ACTUAL", "incluir_conceptos": ["SALUD"], "acciones": [{**action, "operacion": "MULTIPLICAR"}]},
+    ]
+    files = {"catalogo": plain.catalogue, "reglas": {"reglas": [*plain.rules, *more]}, "proyecciones": plain.projections, "persistentes": plain.persistent}
+    rows = spark.createDataFrame([(name, json.dumps(content, ensure_ascii=False)) for name, content in files.items()], "nombre string, value string")
+    rows.repartition("nombre").write.partitionBy("nombre").text(path)
+    return load_config(spark, *[f"{path}/nombre={name}" for name in files])
+
+
+def file_notifications(spark: SparkSession, folder: str) -> DataFrame:
+    """(page_id, raw): storage notifications, direct pairs and broken events about files named after the pages' urls."""
+    k, key = F.col("page_id") % 4, F.concat(F.lit("rag/año "), F.col("page_id").cast("string"), F.lit("/"), F.coalesce("url", F.lit("x")))
+    stored = F.struct(F.struct(F.lit("cubo").alias("name")).alias("bucket"), F.struct(F.url_encode(key).alias("key")).alias("object"))
+    notified = F.to_json(F.struct(F.array(F.struct(stored.alias("s3"))).alias("Records")))
+    direct = F.to_json(F.struct(F.lit("otro").alias("bucket"), key.alias("key")))
+    raw = F.when(k == 0, notified).when(k == 1, direct).when(k == 2, F.to_json(F.struct(F.lit("otro").alias("bucket")))).otherwise(F.lit("{broken"))
+    return table(spark, folder, "pages").select("page_id", raw.alias("raw"))
+
+
 def confirmed_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Movements as accepted rows: projections came over the API, savings name no channel."""
     return movements(spark, folder).select(

@@ -256,6 +256,17 @@ def oracle_sql() -> dict:
   WHEN cuenta_destino = cuenta THEN 'La cuenta destino no puede ser igual a la cuenta origen' END END AS error_cuenta_destino,
  CASE WHEN tipo_registro IN ('MOVIMIENTO_GENERAL', 'MOVIMIENTO_TARJETA', 'PROYECCION') AND dominio <> 'INVERSIONES'
   AND NOT {_listed('f.dominio', 'f.concepto', "'PROYECCION'")} THEN 'Concepto no válido para este dominio' END AS error_concepto FROM f"""
+    other = "CASE trx_id % 10 WHEN 0 THEN 'OTRO' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE dominio END"
+    shown = q["validate_form"].replace(FORM, f"{FORM.replace('f AS (', 'f0 AS (')}, f AS (SELECT * REPLACE ({other} AS dominio) FROM f0)")
+    go = "coalesce(dominio, '') <> '' AND dominio <> 'OTRO'"
+    fields = ", ".join(f"CASE WHEN {go} THEN error_{c} END AS error_{c}" for c in ("cuenta", "cuenta_destino", "concepto"))
+    q["form_domains"] = f"""SELECT c.trx_id, CASE WHEN coalesce(f.dominio, '') <> '' THEN error_tipo_registro END AS error_tipo_registro,
+ CASE WHEN coalesce(f.dominio, '') = '' THEN 'Debes seleccionar un dominio'
+ WHEN f.dominio = 'OTRO' AND error_tipo_registro IS NULL THEN 'Dominio ''OTRO'' no existe en el catálogo' END AS error_dominio,
+ {fields} FROM ({shown}) c JOIN (SELECT o_orderkey AS trx_id, {other.replace('trx_id', 'o_orderkey').replace('dominio', chr(39) + 'x' + chr(39))} AS dominio FROM orders) f USING (trx_id)"""
+    q["new_files"] = """WITH p AS (SELECT page_id, page_id % 4 AS k, 'rag/año ' || CAST(page_id AS VARCHAR) || '/' || coalesce(url, 'x') AS key FROM pages)
+ SELECT page_id, CASE k WHEN 0 THEN 'cubo' WHEN 1 THEN 'otro' END AS bucket, CASE WHEN k < 2 THEN key END AS file_key,
+ CASE WHEN k >= 2 THEN 'Evento inválido' END AS location_error FROM p"""
     split = " UNION ALL ".join(
         f"""SELECT '{kind}' AS clase, dominio, CASE WHEN razon IS NULL THEN 'aceptado' ELSE 'cuarentena' END AS salida,
  coalesce({_code()}, 200) AS codigo, {value} AS valor FROM {name}"""
@@ -271,6 +282,9 @@ def oracle_sql() -> dict:
 
     q["catalogue_names"] = f"""WITH {MOV}, {_catalogue()}, g AS (SELECT dominio, count(*) AS movimientos FROM m GROUP BY dominio)
  SELECT cat.dominio, cat.bloque, cat.nombre, CAST(cat.pos AS INTEGER) AS pos, coalesce(g.movimientos, 0) AS movimientos FROM cat LEFT JOIN g ON cat.dominio = g.dominio"""
+    q["catalogue_kind"] = f"""WITH {MOV}, {_catalogue()}, g AS (SELECT dominio, origen, count(*) AS n FROM m GROUP BY dominio, origen)
+ SELECT cat.dominio, cat.tipo, cat.nombre, coalesce(g.n, 0) AS movimientos FROM cat LEFT JOIN g ON g.dominio = cat.dominio AND g.origen = cat.nombre
+ WHERE cat.bloque = 'CAJA_ACTUAL'"""
     q["catalogue_type"] = f"""WITH {MOV}, {_catalogue()}, d AS (SELECT dominio, nombre, arg_min(tipo, pos) AS tipo FROM cat WHERE bloque = 'CAJA_ACTUAL' GROUP BY dominio, nombre)
  SELECT m.trx_id, m.dominio, m.cuenta_destino, d.tipo AS tipo_destino FROM m LEFT JOIN d ON m.dominio = d.dominio AND m.cuenta_destino = d.nombre"""
     q["selectable_values"] = f"""WITH {MOV}, {_catalogue()}, t(tipo_registro, clase, bloque) AS (VALUES
@@ -289,6 +303,16 @@ def oracle_sql() -> dict:
         for i, rule in enumerate(config().rules)
     )
     q["rule_matches"] = f"WITH {MOV} {hits}"
+    plain = hits.replace(f" AS regla_pos", " AS pos")
+    added = {
+        "SIN_ORIGEN": "tipo = 'GASTO' AND valor > 0 AND concepto = 'SALUD'",
+        "TARJETA_CON_ORIGEN": "tipo = 'TARJETA' AND valor > 0 AND concepto = 'SERVICIOS'",
+        "OTRA": "tipo = 'TARJETA' AND valor > 0 AND concepto = 'SALUD'",
+        "RETENIDO": "tipo = 'TARJETA' AND valor > 0 AND concepto = 'SALUD'",
+    }
+    q["rules_from_files"] = f"WITH {MOV} SELECT trx_id, regla_id FROM ({plain}) UNION ALL " + " UNION ALL ".join(
+        f"SELECT trx_id, '{name}' FROM m WHERE {condition}" for name, condition in added.items()
+    )
     posted = "trx_id, regla_pos, accion_pos, regla_id, dominio, corte, tipo, concepto, origen_clave, bloque, origen, delta, limitado"
     q["rule_deltas"] = f"WITH {POST} SELECT {posted} FROM p WHERE por_regla"
     q["transfer_postings"] = f"WITH {POST} SELECT {posted} FROM p WHERE regla_pos = 3"
@@ -392,6 +416,8 @@ def oracle_sql() -> dict:
  CAST(coalesce(sum(CASE WHEN valor_ajustado < 0 AND {counted} THEN valor_ajustado END), 0) AS BIGINT) AS total_egresos,
  CAST(coalesce(sum(CASE WHEN dominio = 'INVERSIONES' AND seccion = 'TOTAL_CAJA_ACTUAL' THEN valor_ajustado END), 0) AS BIGINT) AS portafolio,
  count(*) AS registros FROM rep"""
+    one = q["dash_metrics"].split("SELECT (SELECT c FROM mx)", 1)[1].replace("(SELECT c FROM mx)", "chosen.c")
+    q["dash_month"] = f"""WITH {REP}, chosen(c) AS (VALUES ('1998-07'), ('1998-08'), ('1999-01')) SELECT chosen.c{one}, chosen GROUP BY chosen.c"""
     q["dash_evolution"] = f"WITH {REP} SELECT corte, {_CELLS} FROM rep GROUP BY corte"
     zeroed = ", ".join(f"coalesce(x.{d.lower()}, 0.0) AS {d.lower()}" for d in _CHARTED)
     q["dash_comparison"] = f"""WITH {REP}, x AS (SELECT corte, {_CELLS} FROM rep GROUP BY corte), mo AS (SELECT DISTINCT corte FROM rep WHERE dominio = 'PERSONAL')

@@ -11,7 +11,7 @@ from quipu.functions.variants import scalar_text
 from quipu.operators import catalogue, close, dashboard, documents, index_store, ingest, outbox, projections, report, rules, search
 from quipu.operators import ledger as books
 from quipu.operators.balances import running_balance
-from quipu.operators.envelope import decode_requests, form_state, normalise, route
+from quipu.operators.envelope import decode_requests, file_location, form_state, normalise, route
 from quipu.plans import calendar, inputs
 from quipu.plans.inputs import AS_OF, CENTS
 from quipu.plans.jobs import drop_months
@@ -151,6 +151,22 @@ def validate_form(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select("trx_id", *[F.try_element_at("errores", F.lit(f)).alias(f"error_{f}") for f in fields])
 
 
+def form_domains(spark: SparkSession, folder: str) -> DataFrame:
+    """Forms of which some name a domain that isn't listed, and some none."""
+    k = F.col("trx_id") % 10
+    domain = F.when(k == 0, "OTRO").when(k == 1, "").when(k == 2, F.lit(None)).otherwise(F.col("dominio"))
+    states = form_state(decode_requests(inputs.form_requests(spark, folder, domain))).select("trx_id", "state")
+    checked = ingest.form_errors(states, inputs.config())
+    fields = ["tipo_registro", "dominio", "cuenta", "cuenta_destino", "concepto"]
+    return checked.select("trx_id", *[F.try_element_at("errores", F.lit(f)).alias(f"error_{f}") for f in fields])
+
+
+def new_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the files are that storage notifications and direct events tell of."""
+    found = file_location(inputs.file_notifications(spark, folder))
+    return found.select("page_id", "bucket", "file_key", "location_error")
+
+
 def ingest_split(spark: SparkSession, folder: str) -> DataFrame:
     """Every movement as a request of each kind, in one pass: accepted and refused ones by code, with exact amounts. Some account
     requests have fractions, 20 digits, or more than an amount can hold."""
@@ -196,6 +212,17 @@ def catalogue_names(spark: SparkSession, folder: str) -> DataFrame:
     return listed.join(counts, "dominio", "left").fillna(0, ["movimientos"])
 
 
+def catalogue_kind(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts by domain, block and type, with the movements that name them."""
+    config, listed = inputs.config(), None
+    for domain, blocks in config.catalogue.items():
+        for kind in blocks.get("CAJA_ACTUAL", {}):
+            part = catalogue.names(spark, config, domain, "CAJA_ACTUAL", kind).select(F.lit(domain).alias("dominio"), F.lit(kind).alias("tipo"), "nombre")
+            listed = part if listed is None else listed.unionByName(part)
+    counts = movements(spark, folder).groupBy("dominio", F.col("origen").alias("nombre")).agg(F.count(F.lit(1)).alias("movimientos"))
+    return listed.join(counts, ["dominio", "nombre"], "left").fillna(0, ["movimientos"])
+
+
 def catalogue_type(spark: SparkSession, folder: str) -> DataFrame:
     typed = catalogue.with_account_type(movements(spark, folder), inputs.config(), "cuenta_destino")
     return typed.select("trx_id", "dominio", "cuenta_destino", F.col("tipo_nombre").alias("tipo_destino"))
@@ -234,6 +261,14 @@ def _postings(spark: SparkSession, folder: str) -> DataFrame:
     return rules.postings(movements(spark, folder), inputs.config())
 
 
+def rules_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules read from JSON files, among them one that requires an origin and one with an unknown operation: the rules of every
+    movement, and whether it is held back."""
+    config, rows = inputs.configuration_files(spark, run_folder(spark, "config")), movements(spark, folder)
+    held = rules.unsupported_movements(rows, config).select("trx_id", F.lit("RETENIDO").alias("regla_id"))
+    return rules.rule_matches(rows, config).select("trx_id", "regla_id").unionByName(held)
+
+
 def rule_deltas(spark: SparkSession, folder: str) -> DataFrame:
     return _postings(spark, folder).filter("por_regla").select(*_POSTED)
 
@@ -507,6 +542,15 @@ def _as_double(matrix: DataFrame) -> DataFrame:
     return matrix.select("corte", *[F.col(c).cast("double").alias(c.lower()) for c in matrix.columns if c != "corte"])
 
 
+def dash_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The numbers of three months, each chosen as the active one."""
+    rows, found = _report(spark, folder), None
+    for corte in ("1998-07", "1998-08", "1999-01"):
+        part = dashboard.metrics(rows, corte)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def dash_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return _as_double(dashboard.evolution(_report(spark, folder), scale=CENTS))
 
