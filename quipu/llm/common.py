@@ -26,7 +26,17 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows written to the cluster's shared folder and read again: cuts lineage, survives lost executors."""
     path = run_folder(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found.stored_in = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes stored tables that nothing reads any more: what was made of them is stored itself."""
+    for rows in tables:
+        jvm, conf = rows.sparkSession.sparkContext._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(rows.stored_in)
+        path.getFileSystem(conf).delete(path, True)
 
 
 #: Rows of a few small columns that may be broadcast.

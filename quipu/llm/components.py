@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import stored
+from quipu.llm.common import discard, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -27,11 +27,14 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
         small = large.join(least, "u").select(F.inline(pairs)).filter("u <> v").distinct()
-        now = stored(small, "components")
+        before, now = now, stored(small, "components")
+        discard(before)
         last, mark = mark, _mark(now)
         if mark == last:
             break
     else:
         if mark[0]:
             raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    found = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    found.stored_in = now.stored_in
+    return found

@@ -1,16 +1,18 @@
 """Near copies by shingle sets: a similarity join with a token-group matrix.
 
 Documents are sets of 5-word shingles. Equal sets are one class. Classes that share a rare shingle with an anchor and prove similar
-to it form groups; the matrix holds, for every shingle that matters, the groups whose union has it. A query opens only the groups
-whose overlap bound allows a similar member, and only their members that share such a shingle; every link is verified on the whole
-sets. "Shingles that matter" are the first n - ceil(0.8 n) + 1 of a set in one order for all documents: two sets with similarity 0.8
-have one of them in common. The order puts shingles that many documents share last, so that common passages hardly ever matter.
+to it form groups, the others loose groups by family; the matrix holds, for every shingle that matters, the groups whose union has it. A
+query opens only the groups whose overlap bound allows a similar member; members are compared on the whole sets, a part of a group at a
+time inside a task. "Shingles that matter" are the first n - ceil(0.8 n) + 1 of a set in one order for all documents: two sets with
+similarity 0.8 have one of them in common. The order puts shingles that many documents share last, so that common passages hardly ever
+matter.
 
 The bound: if two sets share c shingles up to one that stands at places i and j of their orders, they share at most c plus what
 either has after it, min(|x| - 1 - i, |y| - 1 - j). A similarity of 0.8 needs an overlap of 0.8 / 1.8 (|x| + |y|).
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import map_batches, small_side, stored, whole_text, with_package
+from quipu.llm.common import discard, map_batches, small_side, stored, whole_text, with_package
 from quipu.llm.components import components
 
 WORDS = 5
@@ -28,8 +30,14 @@ PERCENT = 80
 SHARE_SEEN = 1 / 8
 SAMPLE = 400_000
 COMMON = 2
+#: Common shingles that are kept, the most frequent ones, at most.
+COMMON_MOST = 2_000_000
 #: Pairs that are verified together, about.
 SHARE = 500
+#: Members of its family that a class is first compared with, at most.
+TRIES = 6
+#: Classes that ask and classes that are asked in one part of a group, about.
+ASKING, ASKED = 256, 2048
 _CACHE = 200_000
 _FACTORS = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 _HASHES: dict[bytes, int] = {}
@@ -101,6 +109,7 @@ def common_shingles(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_
 
     sets = map_batches(few.select("text").distinct(), ["text"], [], "shingles array<long>", find).distinct()
     counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
+    counts = counts.orderBy(F.desc("n"), "s").limit(COMMON_MOST)
     return np.sort(counts.select("s").toPandas()["s"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -108,14 +117,18 @@ def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFra
     """pairs (a, b) whose sets are similar. texts: doc_id, text of every id in pairs; families: rep, family.
 
     Pairs are dealt by their two families, so that a text goes to few places however many pairs it is in; a large pair of families
-    is cut into parts of about SHARE pairs, each with the texts that it names.
+    is cut into a grid of parts by both ends, of about SHARE pairs each, with the texts that they name.
     """
     of = lambda c: families.select(F.col("rep").alias(c), F.col("family").alias(f"f{c}"))
     keyed = pairs.join(of("a"), "a").join(of("b"), "b")
-    keyed = keyed.select("a", "b", F.least("fa", "fb").alias("lo"), F.greatest("fa", "fb").alias("hi"))
-    parts = keyed.groupBy("lo", "hi").agg(F.ceil(F.count("*") / SHARE).alias("parts"))
-    keyed = keyed.join(parts, ["lo", "hi"]).select("a", "b", "lo", "hi", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
-    keyed = stored(keyed, "near-dealt")
+    keyed = stored(keyed.select("a", "b", F.least("fa", "fb").alias("lo"), F.greatest("fa", "fb").alias("hi")), "near-keyed")
+    grids = keyed.groupBy("lo", "hi").agg(F.ceil(F.sqrt(F.count("*") / SHARE)).alias("grid")).filter("grid > 1")
+    grids = stored(grids, "near-grids")
+    place = lambda c: F.pmod(F.xxhash64(c), F.col("grid"))
+    part = F.when(F.col("grid").isNull(), 0).otherwise(place("a") * F.col("grid") + place("b"))
+    dealt = keyed.join(small_side(grids), ["lo", "hi"], "left").select("a", "b", "lo", "hi", part.alias("part"))
+    keyed, spent = stored(dealt, "near-dealt"), (keyed, grids)
+    discard(*spent)
     named = keyed.select("lo", "hi", "part", F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(texts, "doc_id")
     none = F.lit(None).cast("string")
     rows = named.select("lo", "hi", "part", F.lit(0).alias("role"), F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "text")
@@ -138,15 +151,34 @@ def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFra
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     rows = with_package(rows).repartition("lo", "hi", "part").sortWithinPartitions("lo", "hi", "part", "role")
-    return rows.mapInPandas(test, "a long, b long")
+    links = stored(rows.mapInPandas(test, "a long, b long"), "near-links")
+    discard(keyed)
+    return links
+
+
+def _ranks() -> list[Column]:
+    """Orders of classes; the first of a shingle's classes in each of them is an anchor."""
+    return [F.col("rep"), *[F.xxhash64("rep", F.lit(k)) for k in range(1, TRIES)]]
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """rows (shingle, rep) of shingles that two or more have, with the smallest one as anchor."""
-    found = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("anchor")).filter("n > 1")
+    """rows (shingle, rep) of shingles that two or more have, with their anchors. Where many classes share most of their shingles, these
+    name the same few of them."""
+    first = [F.min_by("rep", rank) for rank in _ranks()]
+    found = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.array(*first).alias("anchors")).filter("n > 1")
     return rows.join(found.drop("n"), "shingle")
 
 
+def _first_pairs(matter: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Every class with the anchor of each order that it shares most shingles with, a tenth of those that matter at least."""
+    named = matter.select("rep", F.posexplode("anchors").alias("rank", "anchor")).filter("rep <> anchor")
+    met = named.groupBy("rep", "rank", "anchor").agg(F.count("*").alias("n"))
+    best = met.groupBy("rep", "rank").agg(F.max(F.struct("n", -F.col("anchor"))).alias("best"))
+    best = best.join(sizes, "rep").filter(F.col("best.n") * 10 * 100 >= F.col("n_shingles") * (100 - PERCENT))
+    other = -F.col("best.col2")
+    return best.select(F.greatest("rep", other).alias("a"), F.least("rep", other).alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN) -> DataFrame:
     """One row per row of docs (doc_id long, text): doc_id, n_shingles, component_id, the smallest doc_id that links lead to.
 
@@ -155,10 +187,11 @@ def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN
     result. No link is left out, and no group of copies is expanded into pairs.
     """
     docs = docs.select("doc_id", "text")
-    rows = stored(_sets(docs, common_shingles(docs, sample, share)), "near-sets")
+    sets = stored(_sets(docs, common_shingles(docs, sample, share)), "near-sets")
+    rows = stored(sets.select("doc_id", "n_shingles", "class_key"), "near-rows")
     classes = rows.filter("n_shingles > 0").groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     repeats = stored(classes.filter("copies > 1").select("class_key", "rep"), "near-classes")
-    whole = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(small_side(repeats), "class_key", "left")
+    whole = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(small_side(repeats), "class_key", "left")
     whole = whole.filter("rep IS NULL OR rep = doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", "rare", "often")
 
     rare = whole.select("rep", F.posexplode("rare").alias("pos", "shingle")).repartition("shingle")
@@ -168,33 +201,38 @@ def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN
     needed = stored(matter.select(F.col("rep").alias("doc_id")).distinct(), "near-needed")
     sizes = whole.select("rep", "n_shingles").join(needed.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     sizes = stored(sizes.distinct(), "near-sizes")
-    families = stored(matter.groupBy("rep").agg(F.min("anchor").alias("family")), "near-families")
+    families = stored(matter.groupBy("rep").agg(F.min(F.get("anchors", F.lit(0))).alias("family")), "near-families")
     texts = docs.join(small_side(needed), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
     texts = stored(texts, "near-texts")
+    discard(sets)
+
+    # Groups: classes that prove similar to an anchor; the others by family. Any grouping will do: what it leaves out is found below.
+    pairs = stored(_first_pairs(matter, sizes), "near-pairs")
+    links = [verified(pairs, texts, families)]
+    labels = components(links[0])
+    groups = stored(_groups(sizes, labels, families), "near-groups")
+    asks = _asks(matter, groups)
+    discard(pairs, matter, labels, families, sizes, needed)
+    links.append(_compared(asks, groups, texts))
+    discard(asks, groups, texts)
+    labels = components(_union(links))
+    discard(*links)
+    return _labelled(rows, repeats, labels)
 
-    # Groups: every class with the anchor that it shares most shingles with, a tenth of those that matter at least, if they prove
-    # similar. Any grouping will do; what it leaves out is found below.
-    best = matter.filter("rep <> anchor").groupBy("rep", "anchor").agg(F.count("*").alias("n"))
-    best = best.groupBy("rep").agg(F.max(F.struct("n", -F.col("anchor"))).alias("best"))
-    best = best.join(sizes, "rep").filter(F.col("best.n") * 10 * 100 >= F.col("n_shingles") * (100 - PERCENT))
-    best = best.select(F.col("rep").alias("a"), (-F.col("best.col2")).alias("b"))
-    tried = stored(best, "near-pairs")
-    links = stored(verified(tried, texts, families), "near-links")
-    for heads_only in (True, False):
-        pairs = _opened(matter, sizes, links, heads_only).join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(stored(verified(pairs, texts, families), "near-links"))
-    return _labelled(rows, repeats, components(links))
-
-
-def _grouped(matter: DataFrame, sizes: DataFrame, links: DataFrame) -> DataFrame:
-    """Shingles that two or more groups have: shingle, rep, n (its size), pos (the shingle's place in its order), team (its group)."""
-    teams = sizes.join(components(links), F.col("rep") == F.col("node"), "left")
-    teams = teams.select("rep", F.col("n_shingles").alias("n"), F.coalesce("label", "rep").alias("team"))
-    rows = matter.select("shingle", "rep", "pos").join(teams, "rep")
-    mixed = rows.groupBy("shingle").agg(F.min("team").alias("lo"), F.max("team").alias("hi")).filter("lo <> hi").select("shingle")
-    return stored(rows.join(mixed, "shingle", "left_semi"), "near-grouped")
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _groups(sizes: DataFrame, labels: DataFrame, families: DataFrame) -> DataFrame:
+    """rep, n (its size), team, loose and weight (by which groups are ordered: classes, then number). Linked classes are a group; classes
+    without a link are one with the others of their family, a loose one."""
+    found = sizes.join(labels, F.col("rep") == F.col("node"), "left").join(families, "rep")
+    team = F.struct(F.col("label").isNull().alias("loose"), F.coalesce("label", "family").alias("number"))
+    teams = stored(found.select("rep", F.col("n_shingles").alias("n"), team.alias("team")), "near-teams")
+    weights = stored(teams.groupBy("team").agg(F.count("*").alias("classes")).filter("classes > 1"), "near-weights")
+    weight = F.struct(F.coalesce("classes", F.lit(1)).alias("classes"), "team")
+    return teams.join(small_side(weights), "team", "left").select("rep", "n", "team", weight.alias("weight"))
 
 
 def _overlap(n: Column, m: Column) -> Column:
@@ -209,44 +247,97 @@ def _may_link(n: Column, pos: Column, lo: Column, hi: Column, rest: Column) -> C
     return (100 * hi >= PERCENT * n) & (PERCENT * lo <= 100 * n) & (n - pos >= asked) & (rest + 1 >= asked)
 
 
-def _opened(matter: DataFrame, sizes: DataFrame, links: DataFrame, heads_only: bool) -> DataFrame:
-    """Pairs (a > b) of different groups to verify. heads_only: a query tries one member of each group that it may open, the one at
-    the head of most shared shingles, which joins most groups that belong together; else every member that its own bound allows."""
-    rows = _grouped(matter, sizes, links)
-    rest = F.col("n") - 1 - F.col("pos")
+def _asks(matter: DataFrame, groups: DataFrame) -> DataFrame:
+    """Stored (a, team): classes and the groups that they must open. Of two groups the classes of the smaller one ask, and the classes
+    of a loose group ask each other."""
+    rows = matter.select("shingle", "rep", "pos").join(groups, "rep")
+    mixed = rows.groupBy("shingle").agg(F.min("team").alias("lo"), F.max("team").alias("hi"), F.count("*").alias("n"))
+    mixed = mixed.filter("lo <> hi OR (lo.loose AND n > 1)").select("shingle")
+    rows = stored(rows.join(mixed, "shingle", "left_semi"), "near-grouped")
     matrix = rows.groupBy("shingle", "team").agg(
-        F.min("rep").alias("head"), F.max("rep").alias("tail"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(rest).alias("rest")
-    )
-    queries = rows.select("shingle", F.col("rep").alias("a"), "n", "pos", F.col("team").alias("own"))
-    near = _may_link(F.col("n"), F.col("pos"), F.col("lo"), F.col("hi"), F.col("rest"))
-    met = queries.join(matrix, "shingle").filter((F.col("own") != F.col("team")) & near)
-    end = F.max(F.struct("shingle", F.least(F.col("n") - 1 - F.col("pos"), F.col("rest")).alias("left"), "lo")).alias("end")
-    by_head = met.groupBy("a", "n", "team", "head").agg(F.count("*").alias("c"), F.max("tail").alias("tail"), end)
-    bound = by_head.groupBy("a", "n", "team").agg(
-        F.sum("c").alias("c"), F.min("head").alias("head"), F.max("tail").alias("tail"), F.max("end").alias("end"),
-        F.max(F.struct("c", (-F.col("head")).alias("minus"))).alias("best"),
+        F.min("rep").alias("head"), F.max("rep").alias("tail"), F.min("n").alias("lo"), F.max("n").alias("hi"),
+        F.max(F.col("n") - 1 - F.col("pos")).alias("rest"), F.first("weight").alias("weight"),
     )
+    queries = rows.select("shingle", F.col("rep").alias("a"), "n", "pos", F.col("team").alias("own"), F.col("weight").alias("own_weight"))
+    near = _may_link(F.col("n"), F.col("pos"), F.col("lo"), F.col("hi"), F.col("rest"))
     alone = F.col("head") == F.col("tail")
+    turn = (F.col("own_weight") < F.col("weight")) | ((F.col("own") == F.col("team")) & F.col("team.loose") & ~(alone & (F.col("a") == F.col("head"))))
+    met = queries.join(matrix, "shingle").filter(turn & near)
+    end = F.max(F.struct("shingle", F.least(F.col("n") - 1 - F.col("pos"), F.col("rest")).alias("left"), "lo")).alias("end")
+    bound = met.groupBy("a", "n", "team").agg(F.count("*").alias("c"), F.min("head").alias("head"), F.max("tail").alias("tail"), end)
     enough = F.col("c") + F.col("end.left") >= _overlap(F.col("n"), F.col("end.lo"))
-    bound = stored(bound.filter(~alone | enough).select("a", "team", (-F.col("best.minus")).alias("b"), alone.alias("alone")), "near-open")
-    if heads_only:
-        pairs = bound.select("a", "b")
-    else:
-        several = bound.filter("NOT alone").select("a", "team")
-        asking = rows.select("shingle", F.col("rep").alias("a"), F.col("n"), "pos").join(several, "a")
-        members = rows.select("shingle", "team", F.col("rep").alias("b"), F.col("n").alias("m"), rest.alias("rest"))
-        found = asking.join(members, ["shingle", "team"])
-        found = found.filter(_may_link(F.col("n"), F.col("pos"), F.col("m"), F.col("m"), F.col("rest")))
-        end = F.max(F.struct("shingle", F.least(F.col("n") - 1 - F.col("pos"), F.col("rest")).alias("left"))).alias("end")
-        found = found.groupBy("a", "n", "b", "m").agg(F.count("*").alias("c"), end)
-        pairs = found.filter(F.col("c") + F.col("end.left") >= _overlap(F.col("n"), F.col("m"))).select("a", "b")
-        pairs = pairs.unionByName(bound.filter("alone").select("a", "b"))
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    found = stored(bound.filter(~alone | enough).select("a", "team"), "near-asks")
+    discard(rows)
+    return found
+
+
+def _compared(asks: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """Stored links (a > b) of asking classes and members of the groups they open. The askers and the members of a group are cut into
+    parts, and a task compares a part of either with the other inside: no row is made for a pair that doesn't link."""
+    members = groups.join(small_side(stored(asks.select("team").distinct(), "near-opened")), "team", "left_semi").select("team", F.col("rep").alias("doc_id"))
+    sides = {"asking": asks.select("team", F.col("a").alias("doc_id")), "asked": members}
+    grid = None
+    for side, each in (("asking", ASKING), ("asked", ASKED)):
+        counts = sides[side].groupBy("team").agg(F.ceil(F.count("*") / each).alias(side))
+        grid = counts if grid is None else grid.join(counts, "team")
+    grid = small_side(stored(grid, "near-grid"))
+
+    def dealt(side: str, other: str, role: int) -> DataFrame:
+        rows = sides[side].join(grid, "team").join(texts, "doc_id")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
+        own = F.pmod(F.xxhash64("doc_id"), F.col(side)).alias(side)
+        return rows.select("team", own, every, F.lit(role).alias("role"), "doc_id", "text")
+
+    rows = dealt("asking", "asked", 0).unionByName(dealt("asked", "asking", 1))
+
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, of = None, None
+        for batch in batches:
+            out = []
+            for *key, role, i, text in zip(*[batch[c] for c in ("loose", "number", "asking", "asked", "role", "doc_id", "text")], strict=True):
+                if key != of:
+                    block, of = Block(), key
+                if role == 0:
+                    block.add(i, shingles(text))
+                else:
+                    out += [(max(i, j), min(i, j)) for j in block.linked(shingles(text)) if i != j]
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    rows = with_package(rows).select("team.loose", "team.number", "asking", "asked", "role", "doc_id", "text")
+    keys = ["loose", "number", "asking", "asked"]
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "role")
+    return stored(rows.mapInPandas(test, "a long, b long").distinct(), "near-links")
+
+
+class Block:
+    """Sets that others are compared with, all at once."""
+
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.sizes = self.all = self.owner = None
+
+    def add(self, i: int, s: np.ndarray) -> None:
+        self.ids.append(i)
+        self.sets.append(s)
+
+    def linked(self, s: np.ndarray) -> list[int]:
+        """Ids of the sets similar to s."""
+        if self.all is None:
+            self.sizes = np.asarray([len(x) for x in self.sets], np.int64)
+            joined, owner = np.concatenate([*self.sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(self.sets)), self.sizes)
+            order = np.argsort(joined, kind="stable")
+            self.all, self.owner, self.sets = joined[order], owner[order], []
+        start, end = np.searchsorted(self.all, s, "left"), np.searchsorted(self.all, s, "right")
+        lengths = end - start
+        places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(start, lengths)
+        both = np.bincount(self.owner[places], minlength=len(self.ids))
+        return [self.ids[k] for k in np.flatnonzero((both > 0) & (100 * both >= PERCENT * (self.sizes + len(s) - both)))]
 
 
 def _labelled(rows: DataFrame, repeats: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_key")).alias("class_key"))
     # Labels of repeated classes first, so that copies of one text don't meet at one key of the labels.
     repeats = repeats.join(labels.withColumnsRenamed({"node": "rep"}), "rep", "left").select("class_key", F.coalesce("label", "rep").alias("shared"))
-    found = rows.join(stored(repeats, "near-labels"), "class_key", "left").join(labels, F.col("doc_id") == F.col("node"), "left")
+    found = rows.join(small_side(stored(repeats, "near-labels")), "class_key", "left").join(labels, F.col("doc_id") == F.col("node"), "left")
     return found.select("doc_id", "n_shingles", F.coalesce("shared", "label", "doc_id").alias("component_id"))

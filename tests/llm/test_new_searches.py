@@ -234,3 +234,28 @@ def test_statistics_stay_whole_where_counts_are_large():
     best = balls.Best(1, 2)
     shard.search(np.asarray([0, 1]), np.asarray([0]), np.asarray([10**12 + 1]), best)
     assert best.scores[0].tolist() == [10**18 + 10**6, (10**12 + 1) * (10**6 - 1)]
+
+
+@pytest.mark.parametrize("parts", [(256, 2048, 500), (3, 4, 2)])
+def test_a_dense_family_of_near_copies(spark, monkeypatch, parts):
+    """Many copies with many edits: some link, most only through others, some just fail."""
+    from quipu.llm import group_join
+    from tests.llm.test_free import linked
+
+    for name, value in zip(("ASKING", "ASKED", "SHARE"), parts, strict=True):
+        monkeypatch.setattr(group_join, name, value)
+    r = random.Random(31)
+    base, texts = [f"b{r.randrange(10**6)}" for _ in range(200)], {}
+    for i in range(160):
+        w = base[:]
+        for _ in range(r.choice([0, 1, 2, 3, 4, 5, 6])):
+            w[r.randrange(200)] = f"e{r.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    shared = [f"p{k}" for k in range(40)]  # a passage in texts that are not alike
+    texts |= {1000 + i: " ".join([f"o{r.randrange(10**6)}" for _ in range(r.choice([3, 8, 30]))] + shared) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    want, sizes = linked(texts)
+    assert 1 < len(set(want.values())) and max(collections.Counter(want.values()).values()) > 100
+    for share in (1.0, 0.0):
+        got = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in group_join.near_copies(docs, share=share).collect()}
+        assert got == {i: (want[i], sizes[i]) for i in texts}
