@@ -1,12 +1,10 @@
 """Embedding and exact cosine search."""
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +16,8 @@ DIMENSION = 1536
 TOP_K = 5
 WORDS = r"[\p{L}\p{M}\p{N}_]+"
 WORD_CACHE = 200_000
+#: Rows that are embedded together.
+EMBED_ROWS = 1024
 # Scores are shown shorter than they are compared.
 SHOWN_DIGITS = 6
 
@@ -26,27 +26,31 @@ def embed_by_hashing(rows: DataFrame, text: str = "texto", output: str = "embedd
     """Unit-length term-frequency vectors by feature hashing over the whole text.
 
     Words are runs of letters, marks, digits and underscores of any script, in lower case. A word's place is the first 32 bits of
-    its MD5 modulo ``dimension``. A null text and one without words give the zero vector.
+    its MD5 modulo ``dimension``. A null text and one without words give the zero vector. Spark finds the words; a task hashes each
+    different word of a batch once and counts places in whole arrays.
     """
-    kept = rows.select(*[c for c in rows.columns if c != output], F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_texto"))
-    schema = T.StructType([*[f for f in kept.schema.fields if f.name != "_texto"], T.StructField(output, T.ArrayType(T.FloatType()))])
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORDS), F.lit(0))
+    kept = rows.select(*[c for c in rows.columns if c != output], words.alias("_palabras"))
+    schema = T.StructType([*[f for f in kept.schema.fields if f.name != "_palabras"], T.StructField(output, T.ArrayType(T.FloatType()))])
     names = schema.fieldNames()[:-1]
 
     def place(word: str) -> int:
         return int.from_bytes(hashlib.md5(word.encode("utf-8", "surrogatepass")).digest()[:4], "big") % dimension
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = regex.compile(WORDS)
         places: dict[str, int] = {}
-        for batch in batches:
+        for batch in (whole.slice(k, EMBED_ROWS) for whole in batches for k in range(0, whole.num_rows, EMBED_ROWS)):
             if len(places) > WORD_CACHE:
                 places.clear()
-            vectors = np.zeros((batch.num_rows, dimension))
-            for i, value in enumerate(batch.column("_texto").to_pylist()):
-                for word, n in Counter(words.findall(value)).items():
-                    if word not in places:
-                        places[word] = place(word)
-                    vectors[i, places[word]] += n
+            found = batch.column("_palabras")
+            different = found.flatten().dictionary_encode()
+            for word in different.dictionary.to_pylist():
+                if word not in places:
+                    places[word] = place(word)
+            own = np.fromiter((places[w] for w in different.dictionary.to_pylist()), np.int64, len(different.dictionary))
+            row = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
+            spots = row * dimension + own[different.indices.to_numpy()] if len(row) else row
+            vectors = np.bincount(spots, minlength=batch.num_rows * dimension).reshape(-1, dimension).astype(np.float64)
             lengths = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
             unit = (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
             made = pa.ListArray.from_arrays(pa.array(np.arange(0, unit.size + 1, dimension), pa.int32()), pa.array(unit.ravel()))

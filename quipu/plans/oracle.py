@@ -448,6 +448,19 @@ def oracle_sql() -> dict:
     q["ledger_delete"] = f"""WITH {LED} SELECT {KEY}, bloque, origen, valor FROM led
  WHERE NOT (corte < '1994-01' AND dominio IN ('CASA', 'AHORRO') OR corte = '1995-06')"""
     q["stream_ingest"] = f"""WITH {ACCOUNT}, {cards}, {projections}, s AS ({split}) SELECT clase, salida, count(*) AS n FROM s GROUP BY clase, salida"""
+    number = "lpad(CAST(trx_id AS VARCHAR), 12, '0')"
+    accepted = {
+        "a": f"SELECT 'CUENTA#cuenta-' || {number} AS trx_id, dominio, 'CUENTA' AS tipo, 'CAJA_ACTUAL' AS bloque, descripcion AS concepto, cuenta AS origen, destino AS cuenta_destino, valor FROM a JOIN (SELECT trx_id AS k, corte FROM m0) ON k = trx_id WHERE razon IS NULL",
+        "c": f"SELECT 'TARJETA#tarjeta-' || {number}, dominio, 'TARJETA', 'CAJA_ACTUAL', concepto, franquicia, NULL, valor FROM c WHERE razon IS NULL",
+        "j": f"SELECT 'GASTO#proyeccion-' || {number}, dominio, 'GASTO', 'PROYECCION', concepto, NULL, NULL, valor FROM j WHERE razon IS NULL",
+    }
+    taken = " UNION ALL ".join(part.split(" JOIN ")[0] + " WHERE razon IS NULL" if " JOIN " in part else part for part in accepted.values())
+    base = ACCOUNT.replace(MOV, MOV.replace("m AS (", "m0 AS (", 1)).replace(" FROM m)", " FROM m0)")
+    others = f"{cards}, {projections}".replace(" FROM m)", " FROM m0)")
+    posted_rows = f"""{base}, {others}, taken AS ({taken}),
+ m AS (SELECT split_part(t.trx_id, '#', 2) AS trx_id, TIMESTAMP '1998-07-01' AS created_at, m0.corte, t.dominio, t.tipo, t.bloque, t.concepto, t.origen, t.cuenta_destino, t.valor
+ FROM taken t JOIN m0 ON m0.trx_id = CAST(split_part(t.trx_id, '-', 2) AS BIGINT))"""
+    q["stream_postings"] = f"WITH {LED.replace(MOV, posted_rows)} SELECT {KEY}, bloque, origen, valor FROM led"
     q["stream_outbox"] = f"""WITH {MOV} SELECT 'C' || dominio AS channel_id, 'movimiento.cuenta.confirmado' AS detail_type, count(*) AS n
  FROM m WHERE tipo <> 'GASTO' AND dominio <> 'AHORRO' GROUP BY dominio"""
     return q
