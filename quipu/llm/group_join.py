@@ -109,25 +109,31 @@ def common_shingles(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_
 
     sets = map_batches(few.select("text").distinct(), ["text"], [], "shingles array<long>", find).distinct()
     counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
-    counts = counts.orderBy(F.desc("n"), "s").limit(COMMON_MOST)
+    counts = stored(counts, "near-common")
+    least, left = COMMON, COMMON_MOST
+    for n, shingles_of_n in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        left -= shingles_of_n
+        if left < 0:
+            least = n + 1
+            break
+    counts = counts.filter(F.col("n") >= least)
     return np.sort(counts.select("s").toPandas()["s"].to_numpy(np.int64).view(np.uint64))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFrame:
     """pairs (a, b) whose sets are similar. texts: doc_id, text of every id in pairs; families: rep, family.
 
-    Pairs are dealt by their two families, so that a text goes to few places however many pairs it is in; a large pair of families
-    is cut into a grid of parts by both ends, of about SHARE pairs each, with the texts that they name.
+    A class is a in few pairs; it may be b in many. Pairs are dealt by their two families, so that a text goes to few places; a large
+    pair of families is cut into parts of about SHARE pairs by a, each with the texts that it names.
     """
     of = lambda c: families.select(F.col("rep").alias(c), F.col("family").alias(f"f{c}"))
     keyed = pairs.join(of("a"), "a").join(of("b"), "b")
     keyed = stored(keyed.select("a", "b", F.least("fa", "fb").alias("lo"), F.greatest("fa", "fb").alias("hi")), "near-keyed")
-    grids = keyed.groupBy("lo", "hi").agg(F.ceil(F.sqrt(F.count("*") / SHARE)).alias("grid")).filter("grid > 1")
-    grids = stored(grids, "near-grids")
-    place = lambda c: F.pmod(F.xxhash64(c), F.col("grid"))
-    part = F.when(F.col("grid").isNull(), 0).otherwise(place("a") * F.col("grid") + place("b"))
-    dealt = keyed.join(small_side(grids), ["lo", "hi"], "left").select("a", "b", "lo", "hi", part.alias("part"))
-    keyed, spent = stored(dealt, "near-dealt"), (keyed, grids)
+    parts = keyed.groupBy("lo", "hi").agg(F.ceil(F.count("*") / SHARE).alias("parts")).filter("parts > 1")
+    parts = stored(parts, "near-parts")
+    part = F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0))
+    dealt = keyed.join(small_side(parts), ["lo", "hi"], "left").select("a", "b", "lo", "hi", part.alias("part"))
+    keyed, spent = stored(dealt, "near-dealt"), (keyed, parts)
     discard(*spent)
     named = keyed.select("lo", "hi", "part", F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(texts, "doc_id")
     none = F.lit(None).cast("string")
@@ -170,13 +176,12 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _first_pairs(matter: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Every class with the anchor of each order that it shares most shingles with, a tenth of those that matter at least."""
+    """(a, b): every class and the anchor of each order that it shares most shingles with, a tenth of those that matter at least."""
     named = matter.select("rep", F.posexplode("anchors").alias("rank", "anchor")).filter("rep <> anchor")
     met = named.groupBy("rep", "rank", "anchor").agg(F.count("*").alias("n"))
     best = met.groupBy("rep", "rank").agg(F.max(F.struct("n", -F.col("anchor"))).alias("best"))
     best = best.join(sizes, "rep").filter(F.col("best.n") * 10 * 100 >= F.col("n_shingles") * (100 - PERCENT))
-    other = -F.col("best.col2")
-    return best.select(F.greatest("rep", other).alias("a"), F.least("rep", other).alias("b")).distinct()
+    return best.select(F.col("rep").alias("a"), (-F.col("best.col2")).alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN) -> DataFrame:
