@@ -1,7 +1,7 @@
 """Web archives as a chunked record table.
 
-Payloads travel as (record, chunk number) rows of at most ``CHUNK`` bytes with the digest carried along from chunk to chunk, so
-neither writer nor reader holds a whole record. Archives are gzip members per record, written and read with pyarrow's file systems
+Payloads travel as (record, chunk number) rows of at most ``CHUNK`` bytes with the digest carried along from chunk to chunk: beyond the
+page's own row, neither writer nor reader holds a whole record. Archives are gzip members per record, written and read with pyarrow's file systems
 in the cluster's shared folder. The list of archives a run wrote is a table of its own; files of lost or repeated tasks are not on it.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
-from quipu.llm.common import bound, small_side, stored, whole_text, with_package, with_package
+from quipu.llm.common import bound, small_side, stored, whole_text, with_package
 from quipu.scratch import run_folder
 
 CHUNK = 1 << 20
@@ -51,18 +51,15 @@ def record_kinds(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def chunk_rows(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """record columns, chunk_no from 0, last, and data; a revisit has one empty chunk. Rows of a record stay together, in order."""
-    data = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("__payload"))
-    parts = bound(
-        data,
-        lambda d: F.transform(
-            F.sequence(F.lit(0), F.floor(F.greatest(F.octet_length(d) - 1, F.lit(0)) / chunk).cast("int")),
-            lambda i: F.struct(
-                i.alias("chunk_no"), ((i + 1) * chunk >= F.octet_length(d)).alias("last"), F.substring(d, i * chunk + 1, F.lit(chunk)).alias("data")
-            ),
-        ),
-    )
-    return records.select("page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to", F.inline(parts))
+    """record columns, chunk_no from 0, last, and data; a revisit has one empty chunk. Rows of a record stay together, in order; each is
+    cut from the payload by itself."""
+    size = F.when(F.col("record_type") == "revisit", 0).otherwise(F.octet_length("__payload"))
+    last = F.floor(F.greatest(size - 1, F.lit(0)) / chunk).cast("int")
+    names = ["page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to"]
+    rows = records.select(*names, "__payload", size.alias("__size"), F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
+    end = (F.col("chunk_no").cast("long") + 1) * chunk
+    data = F.when(F.col("__size") == 0, F.lit(b"")).otherwise(F.substring("__payload", F.col("chunk_no") * chunk + 1, F.lit(chunk)))
+    return rows.select(*names, "chunk_no", (end >= F.col("__size")).alias("last"), data.alias("data"))
 
 
 def _file_system(folder: str):
@@ -162,15 +159,18 @@ def _headers(block: bytes) -> dict[str, str]:
 
 
 def _inflated(stream, block: int) -> Iterator[tuple[bytes, bool]]:
-    """(bytes, whether a gzip member ends there) of a file of members."""
-    z, rest = zlib.decompressobj(31), b""
+    """(bytes, whether a gzip member ends there) of a file of members. A file that ends inside one is refused."""
+    z, rest, inside = zlib.decompressobj(31), b"", False
     while True:
         raw = rest or stream.read(block)
         if not raw:
+            if inside:
+                raise ValueError("truncated archive")
             return
+        inside = True
         out = z.decompress(raw, block)
         if z.eof:
-            rest, z = z.unused_data, zlib.decompressobj(31)
+            rest, z, inside = z.unused_data, zlib.decompressobj(31), False
             yield out, True
         else:
             rest = z.unconsumed_tail
@@ -205,13 +205,14 @@ def read_chunks(files: DataFrame, folder: str, chunk: int = CHUNK, with_data: bo
     """The chunked record table (RECORD_TABLE) of the archives in files: every chunk with the bytes and the digest so far.
 
     payload_bytes and payload_digest are set on last chunks: counted for responses, as announced for revisits, whose payload is
-    elsewhere. with_data=False leaves out the data. Checks every announced digest and length.
+    elsewhere. with_data=False leaves out the data. Checks every announced digest and length, and that each file has as many records
+    as the table says: a file that was cut, wherever, fails the task.
     """
     names = [f.strip().split()[0] for f in RECORD_TABLE.split(",")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = _file_system(folder)
-        for path in (p for b in batches for p in b.column("path").to_pylist()):
+        for path, told_records in (p for b in batches for p in zip(*[b.column(c).to_pylist() for c in ("path", "records")], strict=True)):
             rows, held, record, total, digest = [], 0, -1, 0, None
             with system.open_input_stream(path, compression=None) as stream:
                 for meta, number, last, data in _records(stream, chunk):
@@ -235,11 +236,13 @@ def read_chunks(files: DataFrame, folder: str, chunk: int = CHUNK, with_data: bo
                     if held >= 8 * chunk or len(rows) >= 5000:
                         yield _batch(names, rows)
                         rows, held = [], 0
+            if record + 1 != told_records:
+                raise ValueError(f"{path} has {record + 1} records of {told_records}")
             if rows:
                 yield _batch(names, rows)
 
     tasks = max(1, files.sparkSession.sparkContext.defaultParallelism)
-    return with_package(files).select("path").repartition(tasks, "path").mapInArrow(read, RECORD_TABLE)
+    return with_package(files).select("path", "records").repartition(tasks, "path").mapInArrow(read, RECORD_TABLE)
 
 
 _TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
