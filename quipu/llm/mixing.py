@@ -8,6 +8,7 @@ limit per weight. Documents are then repeated: all of them the whole number of e
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quipu.llm.columns import kept_apart
 from quipu.llm.common import stored, whole_text, word_count
 
 MAX_EPOCHS = 3
@@ -76,12 +77,13 @@ def _decisions(rows: DataFrame, weigh, max_epochs: int) -> tuple[DataFrame, Data
     return cut, stored(inside.select("source", "doc_id", "size", more.alias("__more")).withColumnsRenamed(keys), "mix-cuts")
 
 
-def _decided(rows: DataFrame, cut: DataFrame, edge: DataFrame) -> DataFrame:
+def _decided(rows: DataFrame, cut: DataFrame, edge: DataFrame, max_epochs: int) -> DataFrame:
     """rows with source_size, target and times."""
     same = F.col("source").eqNullSafe(F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("size") == F.col("__size"))
     out = rows.join(cut, F.col("source").eqNullSafe(F.col("__source")), "left").join(edge, same, "left")
     before = F.coalesce(F.col("__step") < F.col("__cut.__step"), F.lit(False)).cast("long")
-    out = out.withColumn("times", F.col("__whole") + F.coalesce("__more", before))
+    # Documents without a word fit behind any target.
+    out = out.withColumn("times", F.least(F.col("__whole") + F.coalesce("__more", before), F.lit(max_epochs).cast("long")))
     return out.drop("__ticket", "__step", "__cut", "__whole", "__more", "__source", *["__s", "__id", "__size"])
 
 
@@ -92,10 +94,15 @@ def repetitions(docs: DataFrame, weigh=alternating_weights, max_epochs: int = MA
     Documents of a source are ordered by a seeded ticket; the part of a target beyond whole epochs is filled in that order, up to
     the nearest document. The order is found by its first 4096 steps: sums per step, and an exact sort in the step that the cut
     falls into only, so that no task holds a source. A null text has size 0; repeated rows of one id, source and size are taken
-    together; an empty table gives an empty result. Reruns agree.
+    together; an empty table gives an empty result. Reruns agree, and no document is taken more than max_epochs times. Other columns
+    stay; one named like a result comes back as <name>_before.
     """
-    rows = stored(_sized(docs, seed).drop("text"), "mix-sizes")
-    return _decided(rows, *_decisions(rows, weigh, max_epochs))
+
+    def decided(rows: DataFrame) -> DataFrame:
+        rows = stored(_sized(rows, seed).drop("text"), "mix-sizes")
+        return _decided(rows, *_decisions(rows, weigh, max_epochs), max_epochs)
+
+    return kept_apart(docs, ["doc_id", "source", "text"], decided)
 
 
 def mix(docs: DataFrame, weigh=alternating_weights, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -103,6 +110,6 @@ def mix(docs: DataFrame, weigh=alternating_weights, max_epochs: int = MAX_EPOCHS
     helpers (size, times, source_size, target) come back unchanged."""
     renamed = docs.select(*[F.col(c).alias(c if c in ("doc_id", "source", "text") else f"__doc_{c}") for c in docs.columns])
     rows = stored(_sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
-    out = _decided(_sized(renamed, seed), *_decisions(rows, weigh, max_epochs)).filter("times > 0")
+    out = _decided(_sized(renamed, seed), *_decisions(rows, weigh, max_epochs), max_epochs).filter("times > 0")
     out = out.select(*renamed.columns, F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("__copy"))
     return out.select(*[F.col(c).alias(c.removeprefix("__doc_")) for c in renamed.columns])

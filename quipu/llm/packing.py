@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quipu.llm.columns import kept_apart
 from quipu.llm.common import map_batches, stored
 
 SIZE = 2048
@@ -79,9 +80,9 @@ def _encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = 0) -> DataFrame:
-    """docs without their text, one row per piece: piece, start, length, ids_crc32. A null text is empty: the end id alone."""
+    """docs without their text, one row per piece: piece, start, length, ids_crc32. A null text is empty: the end id alone. Other columns
+    stay; one named like a result comes back as <name>_before."""
     made = ["piece", "start", "length", "ids_crc32"]
-    kept = [c for c in docs.columns if c not in ("text", *made)]
     stop = np.asarray([end], "<u4").tobytes()
 
     def cut(texts: list[str | None]) -> dict:
@@ -95,7 +96,11 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = 0) -> D
                 out.append((k // (4 * size), k // 4, len(part) // 4, zlib.crc32(part)))
         return {"rows": rows} | dict(zip(made, zip(*out, strict=True) if out else [[]] * 4, strict=True))
 
-    return map_batches(docs, ["text"], kept, "piece int, start long, length long, ids_crc32 long", cut)
+    def cut_rows(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c != "text"]
+        return map_batches(rows, ["text"], kept, "piece int, start long, length long, ids_crc32 long", cut)
+
+    return kept_apart(docs, ["text"], cut_rows)
 
 
 def few_document_patterns(counts: np.ndarray, partners: int = PARTNERS) -> np.ndarray:
@@ -183,8 +188,13 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     """pieces (doc_id, piece, length, ...) with sequence_id and offset: places there are gapless from 0, nothing beyond size.
 
     Ranks among equal lengths come from sums per (length, slice of a hash) and a sort within each, so a frequent length is split
-    over many tasks. Repeated rows are pieces of their own; an empty table gives an empty result.
+    over many tasks. Repeated rows are pieces of their own; an empty table gives an empty result. Other columns stay; one named like a
+    result comes back as <name>_before.
     """
+    return kept_apart(pieces, ["doc_id", "piece", "length", "ids_crc32"], lambda rows: _packed(rows, size))
+
+
+def _packed(pieces: DataFrame, size: int) -> DataFrame:
     rows = pieces.withColumn("__slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SLICES)).cast("int"))
     rows = stored(rows, "packing-pieces")
     cells = stored(rows.groupBy("length", "__slice").agg(F.count("*").alias("n")), "packing-histogram")

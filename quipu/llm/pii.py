@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
+from quipu.llm.columns import kept_apart
 from quipu.llm.common import bound, ranked, span_text, spans, stored, whole_text
 from quipu.llm.weak import fit_logistic, fit_voters
 
@@ -91,12 +92,12 @@ def _voted(found: Column, text: Column, family: str, base: bool) -> Column:
         before = F.lower(F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT))))
         if family == "number":
             shapes = r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|(?:[0-9]{4}[ -]?){3}[0-9]{4})$"
-            shape = _vote(hit.rlike(shapes) | F.lit(base), hit.rlike(r"^[0-9]{4}[.-][0-9]{2}[.-][0-9]{2}"))
+            shape = _vote(hit.rlike(shapes) | hit.startswith("+") | hit.rlike(r"^[0-9]+(?:\.[0-9]+){3}$"), hit.rlike(r"^[0-9]{4}[.-][0-9]{2}[.-][0-9]{2}"))
             check = F.when(n.between(12, 19), F.when(luhn(digits), 1).otherwise(-1)).otherwise(0)
             known = _vote(n.between(13, 16) & digits.rlike(ISSUERS), digits.rlike(r"^(.)\1+$"))
         elif family == "contact":
             ending = F.lower(F.regexp_extract(hit, r"([A-Za-z0-9-]+)$", 1))
-            shape = _vote(F.lit(base) | hit.rlike(r"(?i)[(\[]at[)\]]"), no)
+            shape = _vote(hit.contains("@") | hit.rlike(r"(?i)[(\[]at[)\]]"), no)
             check, known = F.lit(0), _vote(ending.isin(ENDINGS), ~ending.rlike("^[a-z]{2,6}$"))
         else:
             shape, check = _vote(hit.rlike(r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$"), no), F.lit(0)
@@ -153,8 +154,12 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without their text, with base (array of start, rank, kind, end), added (the same, by the classifier).
 
     Places are code points, end exclusive. A null or empty text has no spans; repeated rows get equal spans; an empty table gives an
-    empty result. Added spans never overlap base ones.
+    empty result. Added spans never overlap base ones. Other columns stay; one named like a result comes back as <name>_before.
     """
+    return kept_apart(docs, [text], lambda rows: _found(rows, text))
+
+
+def _found(docs: DataFrame, text: str) -> DataFrame:
     rows = with_columns_once(docs, {"__text": whole_text(text)})
     rows = with_columns_once(rows, base_spans(F.col("__text")))
     t = F.col("__text")
@@ -177,7 +182,8 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = with_columns_once(rows, {"candidates": candidates}).withColumns(counts)
     rows = stored(rows.drop("__text", "__number", "__spoken", "__name", *KINDS, text), "pii-candidates")
     weights = train(rows)
-    accepted = F.filter("candidates", lambda s: ~s["base"] & (probability(s, weights) >= ACCEPT))
+    # A number that fails its checksum is no card, however much it looks like one.
+    accepted = F.filter("candidates", lambda s: ~s["base"] & (s["v_check"] >= 0) & (probability(s, weights) >= ACCEPT))
     kind = lambda s: F.get(F.array(*[F.lit(f) for f in FAMILIES]), s["family"])
     added = F.transform(
         accepted,

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.llm.columns import kept_apart
 from quipu.llm.common import map_batches
 from quipu.llm.toxicity import labelled_sample
 
@@ -153,6 +154,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
 
 
 def score_quality(docs: DataFrame, model: Trees) -> DataFrame:
-    """docs without their text, with quality (0 to 1). Null and empty texts score as texts whose statistics are all 0."""
-    kept = [c for c in docs.columns if c not in ("text", "quality")]
-    return map_batches(docs, ["text"], kept, "quality double", lambda texts: {"quality": model.score(_table(texts))})
+    """docs without their text, with quality (0 to 1). Null and empty texts score as texts whose statistics are all 0; repeated rows get
+    equal scores; an empty table gives an empty result. Other columns stay; one named quality comes back as quality_before."""
+
+    def scored(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c != "text"]
+        return map_batches(rows, ["text"], kept, "quality double", lambda texts: {"quality": model.score(_table(texts))})
+
+    return kept_apart(docs, ["text"], scored)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
+from quipu.llm.columns import kept_apart
 from quipu.llm.common import SPACE, bound, stored, whole_text, word_list
 from quipu.llm.weak import Voters, fit_voters
 
@@ -116,8 +117,13 @@ def vote_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without their text, with COUNTS, base_failed, quality (posterior) and kept.
 
     base_failed: fewer than MIN_WORDS words, or more than REPEAT_PERCENT % of the words in repeated 3-word windows. A null or empty
-    text has no words and fails. Repeated rows get equal results; an empty table gives an empty result.
+    text has no words and fails. Repeated rows get equal results; an empty table gives an empty result. Other columns stay; one named
+    like a result comes back as <name>_before.
     """
+    return kept_apart(docs, [text], lambda rows: _voted(rows, text))
+
+
+def _voted(docs: DataFrame, text: str) -> DataFrame:
     counted = stored(with_counts(docs, text).drop(text), "quality-counts")
     model = fit(counted)
     rows = counted.withColumns({"base_failed": base_failed(), "quality": posterior(model)})

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
+from quipu.llm.columns import kept_apart
 from quipu.llm.common import bound, ranked, small_side, span_text, spans, stored, whole_text
 from quipu.scratch import run_folder
 
@@ -68,8 +69,13 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: list[Rule] = RUL
 
     ledger: a folder that earlier runs of any rules share; None: a new one, so everything is unseen. A null or empty text is the
     empty blob. Equal texts are one blob, repeated rows and null paths included; an empty table gives an empty result. A run that
-    fails part-way appends nothing; two runs may append the same pair, which is read once.
+    fails part-way appends nothing; two runs may append the same pair, which is read once. Other columns stay; one named like a result
+    comes back as <name>_before.
     """
+    return kept_apart(versions, [path, text], lambda rows: _scanned(rows, ledger, rules, path, text))
+
+
+def _scanned(versions: DataFrame, ledger: str | None, rules: list[Rule], path: str, text: str) -> DataFrame:
     spark = versions.sparkSession
     folder = ledger or run_folder(spark, "secret-ledger")
     spark.createDataFrame([], f"blob binary, rule string, findings array<{_FINDING}>").write.mode("append").parquet(folder)
