@@ -277,41 +277,55 @@ def _asks(matter: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _compared(asks: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
-    """Stored links (a > b) of asking classes and members of the groups they open. The askers and the members of a group are cut into
-    parts, and a task compares a part of either with the other inside: no row is made for a pair that doesn't link."""
-    members = groups.join(small_side(stored(asks.select("team").distinct(), "near-opened")), "team", "left_semi").select("team", F.col("rep").alias("doc_id"))
-    sides = {"asking": asks.select("team", F.col("a").alias("doc_id")), "asked": members}
-    grid = None
-    for side, each in (("asking", ASKING), ("asked", ASKED)):
-        counts = sides[side].groupBy("team").agg(F.ceil(F.count("*") / each).alias(side))
-        grid = counts if grid is None else grid.join(counts, "team")
-    grid = small_side(stored(grid, "near-grid"))
-
-    def dealt(side: str, other: str, role: int) -> DataFrame:
-        rows = sides[side].join(grid, "team").join(texts, "doc_id")
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
-        own = F.pmod(F.xxhash64("doc_id"), F.col(side)).alias(side)
-        return rows.select("team", own, every, F.lit(role).alias("role"), "doc_id", "text")
-
-    rows = dealt("asking", "asked", 0).unionByName(dealt("asked", "asking", 1))
+    """Stored links of asking classes and members of the groups they open. The askers and the members of a group are cut into parts, and
+    a task compares a part of either with the other inside: no row is made for a pair that doesn't link. In a group of one part a
+    member that asks comes once."""
+    asking = asks.select("team", F.col("a").alias("doc_id"), F.lit(True).alias("asks"))
+    opened = small_side(stored(asks.select("team").distinct(), "near-opened"))
+    members = groups.join(opened, "team", "left_semi").select("team", F.col("rep").alias("doc_id"), F.lit(False).alias("asks"))
+    both = asking.unionByName(members).groupBy("team", "doc_id").agg(F.max("asks").alias("asks"), F.min("asks").alias("__only"))
+    both = stored(both.select("team", "doc_id", "asks", (~F.col("__only")).alias("member")), "near-both")
+    count = lambda c, each: F.greatest(F.ceil(F.count_if(c) / each), F.lit(1)).cast("int").alias(c)
+    parts = both.groupBy("team").agg(count("asks", ASKING), count("member", ASKED)).filter("asks > 1 OR member > 1")
+    parts = stored(parts.select("team", F.col("asks").alias("askers"), F.col("member").alias("members")), "near-parts")
+    rows = both.join(small_side(parts), "team", "left").join(texts, "doc_id")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
+    no = F.array().cast("array<struct<i:int,j:int,role:int>>")
+    here = lambda role: F.array(cell(F.lit(0), F.lit(0), role))
+    alone = F.when(F.col("asks") & F.col("member"), here(_BOTH)).when(F.col("asks"), here(_ASKS)).otherwise(here(_ASKED))
+    spread = F.concat(
+        F.when(F.col("asks"), F.transform(every("members"), lambda j: cell(own("askers"), j, _ASKS))).otherwise(no),
+        F.when(F.col("member"), F.transform(every("askers"), lambda i: cell(i, own("members"), _ASKED))).otherwise(no),
+    )
+    rows = rows.select("team", "doc_id", "text", F.inline(F.when(F.col("askers").isNull(), alone).otherwise(spread)))
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, of = None, None
+        block, of = Block(), None
         for batch in batches:
             out = []
-            for *key, role, i, text in zip(*[batch[c] for c in ("loose", "number", "asking", "asked", "role", "doc_id", "text")], strict=True):
+            for *key, role, doc, text in zip(*[batch[c] for c in ("loose", "number", "i", "j", "role", "doc_id", "text")], strict=True):
                 if key != of:
+                    out += block.among()
                     block, of = Block(), key
-                if role == 0:
-                    block.add(i, shingles(text))
+                if role == _ASKED:
+                    out += [(doc, other) for other in block.linked(shingles(text)) if other != doc]
                 else:
-                    out += [(max(i, j), min(i, j)) for j in block.linked(shingles(text)) if i != j]
+                    block.add(doc, shingles(text), role == _BOTH)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(block.among(), columns=["a", "b"], dtype="int64")
 
-    rows = with_package(rows).select("team.loose", "team.number", "asking", "asked", "role", "doc_id", "text")
-    keys = ["loose", "number", "asking", "asked"]
+    rows = with_package(rows).select("team.loose", "team.number", "i", "j", "role", "doc_id", "text")
+    keys = ["loose", "number", "i", "j"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "role")
-    return stored(rows.mapInPandas(test, "a long, b long").distinct(), "near-links")
+    links = stored(rows.mapInPandas(test, "a long, b long").distinct(), "near-links")
+    discard(both, parts)
+    return links
+
+
+#: Roles of a row: a class that asks, one that asks and is asked, and one that is asked. Askers come first.
+_BOTH, _ASKS, _ASKED = 0, 1, 2
 
 
 class Block:
@@ -320,25 +334,42 @@ class Block:
     def __init__(self) -> None:
         self.ids: list[int] = []
         self.sets: list[np.ndarray] = []
-        self.sizes = self.all = self.owner = None
+        self.asked: list[tuple[int, np.ndarray]] = []
+        self.sizes = None
 
-    def add(self, i: int, s: np.ndarray) -> None:
+    def add(self, i: int, s: np.ndarray, asked: bool = False) -> None:
         self.ids.append(i)
         self.sets.append(s)
+        if asked:
+            self.asked.append((i, s))
+
+    def _close(self) -> None:
+        self.sizes = np.asarray([len(x) for x in self.sets], np.int64)
+        joined, owner = np.concatenate([*self.sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(self.sets)), self.sizes)
+        order = np.argsort(joined, kind="stable")
+        self.owner, self.sets = owner[order], []
+        self.shingles, self.starts = np.unique(joined[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(joined))
 
     def linked(self, s: np.ndarray) -> list[int]:
         """Ids of the sets similar to s."""
-        if self.all is None:
-            self.sizes = np.asarray([len(x) for x in self.sets], np.int64)
-            joined, owner = np.concatenate([*self.sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(self.sets)), self.sizes)
-            order = np.argsort(joined, kind="stable")
-            self.all, self.owner, self.sets = joined[order], owner[order], []
-        start, end = np.searchsorted(self.all, s, "left"), np.searchsorted(self.all, s, "right")
-        lengths = end - start
-        places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(start, lengths)
-        both = np.bincount(self.owner[places], minlength=len(self.ids))
+        if self.sizes is None:
+            self._close()
+        fits = (100 * self.sizes >= PERCENT * len(s)) & (PERCENT * self.sizes <= 100 * len(s))
+        if not fits.any() or not len(s):
+            return []
+        place = np.searchsorted(self.shingles, s)
+        place = place[place < len(self.shingles)]
+        place = place[self.shingles[place] == s[: len(place)]]
+        lengths = self.ends[place] - self.starts[place]
+        where = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(self.starts[place], lengths)
+        both = np.bincount(self.owner[where], minlength=len(self.ids))
         return [self.ids[k] for k in np.flatnonzero((both > 0) & (100 * both >= PERCENT * (self.sizes + len(s) - both)))]
 
+    def among(self) -> list[tuple[int, int]]:
+        """Links of the sets that are asked as well."""
+        return [(i, j) for i, s in self.asked for j in self.linked(s) if i != j]
+
 
 def _labelled(rows: DataFrame, repeats: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_key")).alias("class_key"))
