@@ -181,7 +181,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Model from the labelled rows that aren't held out. For the calibration, the texts of each half of their ids are scored by the
+    """Model from the labelled rows that aren't held out; the same rows give the same model. For the calibration, the texts of each half of their ids are scored by the
     lexicon of the other half. Without toxic or without clean rows nothing is learnt and every score is low."""
     sample = labelled_sample(docs, labels, "toxic", ~held_out(F.col("doc_id")), rows)
     sample = sample.withColumn("half", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int"))
@@ -194,7 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 seen.update((w, kind) for w in {b"", *(f for t in set(tokens(text)) for f in forms(t))})
             yield pd.DataFrame([(w, k, n) for (w, k), n in seen.items()], columns=["token", "kind", "n"])
 
-    different = sample.dropDuplicates(["text"]).select("text", F.col("label").cast("int").alias("label"), "half")
+    # Equal texts count once, with the half of the smallest id; if their labels differ, not at all.
+    label = F.col("label").cast("int")
+    different = sample.groupBy("text").agg(F.min(label).alias("label"), F.max(label).alias("__hi"), F.min_by("half", "doc_id").alias("half"))
+    different = different.filter("label = __hi").drop("__hi")
     counts = with_package(different).mapInPandas(count, "token binary, kind int, n long")
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)) for k in range(4)]
     totals = counts.groupBy("token").agg(F.array(*kinds).alias("n"))

@@ -106,3 +106,19 @@ def test_no_document_exceeds_its_epochs(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     times = [r["times"] for r in mixing.repetitions(docs, max_epochs=3).collect()]
     assert max(times) <= 3 and mixing.mix(docs).groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_equal_texts_with_other_labels_teach_nothing(spark):
+    from quipu.llm import toxicity
+
+    texts = [f"you scoundrel wretch {i} " + "plain talk " * (i % 7) for i in range(60)] + [f"a calm day {i} " + "plain talk " * (i % 7) for i in range(120)]
+    rows = [(i, t, int(i < 60)) for i, t in enumerate(texts)]
+    # Each toxic text again, labelled clean, and a clean one again with its own label, in any order of rows.
+    rows += [(1000 + i, t, 0) for i, t in enumerate(texts[:3])] + [(2000, texts[70], 0)]
+    learnt = []
+    for order in (rows, rows[::-1], [r for r in rows if not (r[0] < 3 or 1000 <= r[0] < 1003)]):
+        docs = spark.createDataFrame([r[:2] for r in order], "doc_id long, text string").repartition(3)
+        labels = spark.createDataFrame([(r[0], r[2]) for r in order], "doc_id long, toxic int")
+        model = toxicity.train(docs, labels)
+        learnt.append({w: round(x, 9) for w, x in model.lexicon.items()})
+    assert learnt[0] == learnt[1] and len(learnt[0]) > 0
