@@ -47,8 +47,9 @@ def _print(value: Column) -> Column:
     return F.sha2(F.coalesce(value, F.lit("")), 256)
 
 
-def changes(documents: DataFrame, path: str, number: int, embed=embed_by_hashing) -> DataFrame:
-    """The rows that refresh ``number`` adds. documents: id (unique), texto and the metadata columns."""
+def changes(documents: DataFrame, path: str, number: int, embed=embed_by_hashing, whole: bool = True) -> DataFrame:
+    """The rows that refresh ``number`` adds. documents: id (unique), texto and the metadata columns. ``whole``: they are all that there
+    is, so that stored keys without a document are gone."""
     spark = documents.sparkSession
     metadata = F.struct(*METADATA)
     wanted = documents.select(F.col("id").alias("key"), "texto", metadata.alias("metadata"), _print(F.col("texto")).alias("huella"), _print(F.to_json(metadata)).alias("ficha"))
@@ -63,17 +64,20 @@ def changes(documents: DataFrame, path: str, number: int, embed=embed_by_hashing
     moved = met.filter((F.col("huella") == F.col("_huella")) & (F.col("ficha") != F.col("_ficha"))).drop("_huella", "_ficha")
     vectors = rows.select("key", F.col("lote").alias("_lote"), "embedding", "vector_de")
     moved = moved.join(vectors, ["key", "_lote"]).withColumn("borrado", F.lit(False))
+    found = fresh.select(*fields[:5], *made_now).unionByName(moved.select(*fields))
+    if not whole:
+        return found
     gone = stored.join(wanted.select("key"), "key", "left_anti").select("key", F.col("_huella").alias("huella"), F.col("_ficha").alias("ficha"))
     empty = {c: F.lit(None).cast(fresh.schema[c].dataType) for c in ("embedding", "metadata")}
     gone = gone.withColumns({**empty, "vector_de": F.lit(None).cast("int"), "borrado": F.lit(True)})
-    return fresh.select(*fields[:5], *made_now).unionByName(moved.select(*fields)).unionByName(gone.select(*fields))
+    return found.unionByName(gone.select(*fields))
 
 
-def refresh(documents: DataFrame, path: str, embed=embed_by_hashing, number: int | None = None) -> bool:
+def refresh(documents: DataFrame, path: str, embed=embed_by_hashing, number: int | None = None, whole: bool = True) -> bool:
     """Adds the refresh after the newest one, or ``number``; False if it is there already. A repeated refresh of the same documents adds
-    a folder without rows."""
+    a folder without rows. Without ``whole`` nothing is taken out."""
     number = last_refresh(documents.sparkSession, path) + 1 if number is None else number
-    rows = changes(documents, path, number, embed)
+    rows = changes(documents, path, number, embed, whole)
     place = F.monotonically_increasing_id()  # counts through a partition
     rows = rows.withColumn("_n", place).withColumn("carga", F.struct(F.shiftright("_n", 33).alias("parte"), F.floor((F.col("_n") % (1 << 33)) / LOAD_ROWS).alias("n")))
     return put_once(rows.drop("_n"), path, f"lote={number}")

@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quipu.config import LedgerConfig
 from quipu.functions.months import close_months
+from quipu.operators import index_store
 from quipu.operators.close import close_month
 from quipu.operators.documents import documents
+from quipu.operators.envelope import file_location
 from quipu.operators.ledger import consolidate, delete_months
 from quipu.operators.projections import new_projections
 from quipu.operators.report import report
-from quipu.operators.search import build_index, embed_by_hashing, write_index
+from quipu.operators.search import embed_by_hashing
+from quipu.schema import DOCUMENT
 from quipu.sources.files import write_documents, write_report_csv
 from quipu.sources.snapshots import VersionConflict, latest, read_ledger, write_ledger
 from quipu.streaming.jobs import COMMIT_ATTEMPTS, PRUNED_MONTHS
 
+#: Files that one run loads into the index.
+FILES_A_RUN = 10_000
+
 
 def rebuild_ledger(movements: DataFrame, config: LedgerConfig, path: str) -> int:
     """Replay all movements into a new ledger version."""
@@ -72,5 +78,19 @@ def daily_report(spark: SparkSession, path: str, output: str, as_of=None, scale:
         rows.unpersist()
 
 
-def refresh_index(documents_rows: DataFrame, path: str, embed=embed_by_hashing) -> None:
-    write_index(build_index(documents_rows, embed), path)
+def refresh_index(documents_rows: DataFrame, path: str, embed=embed_by_hashing) -> bool:
+    """The stored index as of all documents: only what changed is embedded and written."""
+    return index_store.refresh(documents_rows, path, embed)
+
+
+def index_new_files(notifications: DataFrame, base: str, path: str, embed=embed_by_hashing) -> list[str]:
+    """Documents of the files that notifications (raw) tell of, below base/bucket, into the stored index. Returns the files' keys;
+    notifications without a file are left out. At most FILES_A_RUN files at a time, more are an error."""
+    found = file_location(notifications).filter("location_error IS NULL").select("bucket", "file_key").distinct()
+    files = sorted(f"{r['bucket']}/{r['file_key']}" for r in found.limit(FILES_A_RUN + 1).collect())
+    if len(files) > FILES_A_RUN:
+        raise ValueError(f"more than {FILES_A_RUN} files in one run")
+    if files:
+        rows = notifications.sparkSession.read.schema(DOCUMENT).json([f"{base}/{f}" for f in files])
+        index_store.refresh(rows.dropDuplicates(["id"]), path, embed, whole=False)
+    return files

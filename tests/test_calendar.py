@@ -129,3 +129,27 @@ def test_a_stopped_run_goes_on(spark, ledger, tmp_path):
     # The next day only the day's part is due.
     assert calendar.run_calendar(job(root, dt.date(2026, 5, 2))) == every[3:]
     assert outcome(spark, root)[0] == expected[0]
+
+
+def test_new_files_are_indexed(spark, tmp_path):
+    import json
+    from urllib.parse import quote
+
+    from quipu.plans.jobs import index_new_files, refresh_index
+
+    path, base = str(tmp_path / "index"), tmp_path / "files"
+    embed = lambda rows: embed_by_hashing(rows, dimension=8)
+    refresh_index(docs(spark, ("a", "one", "CASA"), ("b", "two", "CASA")), path, embed)
+    for name, rows in (("rag/año 1.json", [("b", "other"), ("c", "three")]), ("rag/2.json", [("d", "four")])):
+        file = base / "cubo" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("\n".join(json.dumps({"id": i, "texto": t, "dominio": "CASA", "es_futuro": False}) for i, t in rows))
+    told = [
+        {"Records": [{"s3": {"bucket": {"name": "cubo"}, "object": {"key": quote("rag/año 1.json")}}}]}, {"bucket": "cubo", "key": "rag/2.json"},
+        {"bucket": "cubo", "key": "rag/2.json"}, {"bucket": "cubo"}, {},
+    ]
+    raw = spark.createDataFrame([(json.dumps(t),) for t in told], "raw string")
+    assert index_new_files(raw, str(base), path, embed) == ["cubo/rag/2.json", "cubo/rag/año 1.json"]
+    rows = {r["key"]: r["vector_de"] for r in index_store.read_index(spark, path).collect()}
+    assert rows == {"a": 0, "b": 1, "c": 1, "d": 1}
+    assert index_new_files(raw.limit(0), str(base), path, embed) == []
