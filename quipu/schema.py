@@ -18,6 +18,9 @@ LEDGER = KEY + ["bloque", "origen", "valor"]
 # Types whose balances are kept per origin.
 KEYED_BY_ORIGIN = ["CUENTA", "TARJETA"]
 
+# Why a decoded movement is held back.
+TOO_OLD, UNSUPPORTED = "FUERA_DE_HORIZONTE", "OPERACION_NO_SOPORTADA"
+
 SECTION = ["dominio", "corte", "seccion", "concepto", "valor_ajustado"]
 
 ATTRIBUTE = T.StructType([T.StructField("S", T.StringType()), T.StructField("N", T.StringType())])

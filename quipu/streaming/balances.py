@@ -23,11 +23,10 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from quipu.config import LedgerConfig
 from quipu.operators import chunks
 from quipu.operators.rules import additive_kinds, postings, unsupported_movements
-from quipu.schema import KEY, LEDGER, MOVEMENT, ORDER
+from quipu.schema import KEY, LEDGER, MOVEMENT, ORDER, TOO_OLD, UNSUPPORTED
 from quipu.sources.changes import decode_all
 from quipu.workers import with_package
 
-TOO_OLD, UNSUPPORTED = "FUERA_DE_HORIZONTE", "OPERACION_NO_SOPORTADA"
 #: Steps in a chunk, at most; a fuller one is halved.
 CHUNK_STEPS = 4096
 #: The state store that stateful processors need.

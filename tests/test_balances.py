@@ -195,3 +195,21 @@ def test_months_are_deleted_and_closed_alone(spark, ledger, tmp_path, monkeypatc
     assert {f"{p.parent.name}/{p.name}" for p in path.glob("version=*/corte=*")} == named
     write_ledger(ledger(*MONTHS[:1]), str(path))
     assert balances(read_ledger(spark, str(path))) == {("CASA", "2026-03", "GASTO#A"): 1}
+
+
+def test_batches_forget_ids_behind_the_horizon(spark, movement, tmp_path):
+    def batch(n, *rows):
+        made = movement(*[{"tipo": "GASTO", "concepto": "A", "corte": c, "valor": v} for _, c, v in rows])
+        ids = spark.createDataFrame([(k, r[0]) for k, r in enumerate(rows)], "trx_id long, event_id string")
+        apply_batch(made.join(ids, "trx_id"), n, CONFIG, str(tmp_path), horizon_months=2)
+
+    batch(0, ("a", "2026-01", 1), ("b", "2026-04", 2))
+    batch(1, ("c", "2026-05", 3), ("b", "2026-04", 2), ("late", "2026-01", 50))
+    batch(2, ("a", "2026-01", 1), ("c", "2026-05", 3), ("d", "2026-03", 4), ("odd", "x", 5))
+    got = {m: v for (_, m, _), v in balances(read_ledger(spark, f"{tmp_path}/ledger")).items()}
+    assert got == {"2026-01": 1, "2026-04": 2, "2026-05": 3, "2026-03": 4, "x": 5}
+    held = spark.read.parquet(f"{tmp_path}/quarantine").collect()
+    assert sorted((r["lote"], r["event_id"], r["motivo"]) for r in held) == [(1, "late", "FUERA_DE_HORIZONTE"), (2, "a", "FUERA_DE_HORIZONTE")]
+    counts = spark.read.parquet(f"{tmp_path}/conteos").orderBy("lote").drop("lote").collect()
+    assert [tuple(r) for r in counts] == [(2, 0, 0, 2), (3, 1, 1, 1), (4, 1, 1, 2)]
+    assert {p.name for p in tmp_path.glob("event_ids/*/corte=*")} == {"corte=2026-03", "corte=2026-04", "corte=2026-05", "corte=x"}
