@@ -32,11 +32,14 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Removes stored tables that nothing reads any more: what was made of them is stored itself."""
+    """Removes stored tables that nothing reads any more: what was made of them is stored itself. The driver's garbage is collected as
+    well, since Spark removes the shuffle files of what was made before only then."""
     for rows in tables:
         jvm, conf = rows.sparkSession.sparkContext._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(rows.stored_in)
         path.getFileSystem(conf).delete(path, True)
+    if tables:
+        jvm.System.gc()
 
 
 #: Rows of a few small columns that may be broadcast.

@@ -206,10 +206,10 @@ def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN
     needed = stored(matter.select(F.col("rep").alias("doc_id")).distinct(), "near-needed")
     sizes = whole.select("rep", "n_shingles").join(needed.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     sizes = stored(sizes.distinct(), "near-sizes")
+    discard(sets)
     families = stored(matter.groupBy("rep").agg(F.min(F.get("anchors", F.lit(0))).alias("family")), "near-families")
     texts = docs.join(small_side(needed), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
     texts = stored(texts, "near-texts")
-    discard(sets)
 
     # Groups: classes that prove similar to an anchor; the others by family. Any grouping will do: what it leaves out is found below.
     pairs = stored(_first_pairs(matter, sizes), "near-pairs")
