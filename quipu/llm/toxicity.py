@@ -28,7 +28,9 @@ MIN_SCORE = 2.0
 DRIFT = 0.25
 MAX_SCORE = 8.0
 REJECT = 0.7
-CACHE = 300_000
+CACHE = 100_000
+#: Counts that a task of the training holds before it hands them on.
+COUNTED = 50_000
 
 # ASCII letters in lower case; other ASCII signs separate tokens, and so do digits.
 _TABLE = bytes(
@@ -186,13 +188,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     sample = labelled_sample(docs, labels, "toxic", ~held_out(F.col("doc_id")), rows)
     sample = sample.withColumn("half", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int"))
 
+    def counted(seen: Counter) -> pd.DataFrame:
+        return pd.DataFrame([(w, k, n) for (w, k), n in seen.items()], columns=["token", "kind", "n"])
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
         for batch in batches:
-            seen: Counter = Counter()
             for text, label, half in zip(batch["text"], batch["label"], batch["half"], strict=True):
                 kind = int(2 * half + label)
                 seen.update((w, kind) for w in {b"", *(f for t in set(tokens(text)) for f in forms(t))})
-            yield pd.DataFrame([(w, k, n) for (w, k), n in seen.items()], columns=["token", "kind", "n"])
+                if len(seen) >= COUNTED:
+                    yield counted(seen)
+                    seen.clear()
+        yield counted(seen)
 
     # Equal texts count once, with the half of the smallest id; if their labels differ, not at all.
     label = F.col("label").cast("int")
