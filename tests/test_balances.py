@@ -20,7 +20,7 @@ from quipu.sources import snapshots
 from quipu.sources.changes import stream_changes
 from quipu.sources.orders import change_records
 from quipu.sources.snapshots import latest, read_ledger, write_ledger
-from quipu.streaming.balances import balance_stream, partial_sums, read_balances, read_state, refused_stream
+from quipu.streaming.balances import Steps, balance_stream, packed_steps, partial_sums, read_balances, read_state, refused_stream
 from quipu.streaming.jobs import apply_batch
 from test_ledger import as_book, frame, random_rows
 from test_streaming import ACCOUNTS, BASE, change, image, write
@@ -213,3 +213,19 @@ def test_batches_forget_ids_behind_the_horizon(spark, movement, tmp_path):
     counts = spark.read.parquet(f"{tmp_path}/conteos").orderBy("lote").drop("lote").collect()
     assert [tuple(r) for r in counts] == [(2, 0, 0, 2), (3, 1, 1, 1), (4, 1, 1, 2)]
     assert {p.name for p in tmp_path.glob("event_ids/*/corte=*")} == {"corte=2026-03", "corte=2026-04", "corte=2026-05", "corte=x"}
+
+
+def test_steps_of_a_key_travel_packed(spark):
+    """Steps of a task meet the state as one row for each key, in replay order, nulls first."""
+    fields = "dominio string, corte string, tipo string, concepto string, origen_clave string, created_at timestamp, trx_id string, seq string, regla_pos int, accion_pos int"
+    schema = f"{fields}, bloque string, origen string, delta long, por_regla boolean, limitado boolean"
+    days = [None, *[dt.datetime(2026, 4, 1, tzinfo=dt.UTC) + dt.timedelta(days=k) for k in range(40)]]
+    rows = [("CASA", "2026-04", "GASTO", name, None, day, None if k % 3 else "t", "s", -1 if k % 2 else 1, 0, "PROYECCION", "o", k, True, False) for name in "AB" for k, day in enumerate(days)]
+    mixed = random.Random(3).sample(rows, len(rows))
+    packs = packed_steps(spark.createDataFrame(mixed, schema).coalesce(1), ["CUENTA"]).collect()
+    assert sorted(r["concepto"] for r in packs) == ["A", "B"]
+    for pack in packs:
+        found = Steps.of(iter([pack])).columns
+        assert found[1] == list(range(41)) and found[0] == sorted(found[0])
+        assert found[0][0] == "\x01\x02t\x01\x02s\x01\x0204611686018427387905\x01\x0204611686018427387904"
+        assert found[0][1].startswith("\x022026-04-01 00:00:00.000000\x01\x01")
