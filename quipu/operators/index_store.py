@@ -8,8 +8,9 @@ most LOAD_ROWS for stores that take so many at a time.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quipu.config import BROADCAST_ROWS
 from quipu.operators.search import embed_by_hashing
-from quipu.sources.folders import names, put_once
+from quipu.sources.folders import exists, names, put_once
 
 #: Fixed value: rows of one load.
 LOAD_ROWS = 50
@@ -47,26 +48,48 @@ def _print(value: Column) -> Column:
     return F.sha2(F.coalesce(value, F.lit("")), 256)
 
 
-def changes(documents: DataFrame, path: str, number: int, embed=embed_by_hashing, whole: bool = True) -> DataFrame:
-    """The rows that refresh ``number`` adds. documents: id (unique), texto and the metadata columns. ``whole``: they are all that there
-    is, so that stored keys without a document are gone."""
-    spark = documents.sparkSession
+def _wanted(documents: DataFrame) -> DataFrame:
     metadata = F.struct(*METADATA)
-    wanted = documents.select(F.col("id").alias("key"), "texto", metadata.alias("metadata"), _print(F.col("texto")).alias("huella"), _print(F.to_json(metadata)).alias("ficha"))
+    return documents.select(F.col("id").alias("key"), "texto", metadata.alias("metadata"), _print(F.col("texto")).alias("huella"), _print(F.to_json(metadata)).alias("ficha"))
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return _newest(_rows(spark, path)).select("key", F.col("huella").alias("_huella"), F.col("ficha").alias("_ficha"), F.col("lote").alias("_lote"))
+
+
+def differing(documents: DataFrame, path: str) -> DataFrame:
+    """(key, huella, ficha, _lote, _nuevo) of the documents that differ from what is stored; _nuevo: in their text. Texts stay where they
+    are, only their prints meet the stored ones."""
+    met = _wanted(documents).select("key", "huella", "ficha").join(_stored(documents.sparkSession, path), "key", "left")
+    new = ~F.col("huella").eqNullSafe(F.col("_huella"))
+    found = met.withColumn("_nuevo", new).filter(F.col("_nuevo") | (F.col("ficha") != F.col("_ficha")))
+    return found.select("key", "huella", "ficha", "_lote", "_nuevo").distinct()
+
+
+def changes(
+    documents: DataFrame, path: str, number: int, embed=embed_by_hashing, whole: bool = True, differ: DataFrame | None = None, few: bool = False
+) -> DataFrame:
+    """The rows that refresh ``number`` adds. documents: id (unique), texto and the metadata columns. ``whole``: they are all that there
+    is, so that stored keys without a document are gone. ``differ``: what ``differing`` found, if it is known; ``few``: it may be
+    broadcast, so that texts aren't shuffled."""
+    spark, wanted = documents.sparkSession, _wanted(documents)
     fields = ["key", "embedding", "metadata", "huella", "ficha", "vector_de", "borrado"]
     made_now = [F.lit(number).alias("vector_de"), F.lit(False).alias("borrado")]
     if number == 0:
         return embed(wanted).select(*fields[:5], *made_now)
-    rows = _rows(spark, path)
-    stored = _newest(rows).select("key", F.col("huella").alias("_huella"), F.col("ficha").alias("_ficha"), F.col("lote").alias("_lote"))
-    met = wanted.join(stored, "key", "left")
-    fresh = embed(met.filter(~F.col("huella").eqNullSafe(F.col("_huella"))).drop("_huella", "_ficha", "_lote"))
-    moved = met.filter((F.col("huella") == F.col("_huella")) & (F.col("ficha") != F.col("_ficha"))).drop("_huella", "_ficha")
-    vectors = rows.select("key", F.col("lote").alias("_lote"), "embedding", "vector_de")
+    differ = differing(documents, path) if differ is None else differ
+    side = F.broadcast if few else lambda rows: rows
+    new, other = side(differ.filter("_nuevo").select("key", "huella", "ficha")), side(differ.filter("NOT _nuevo").select("key", "huella", "ficha", "_lote"))
+    # A document without a key is new in every refresh.
+    same = [wanted[c].eqNullSafe(new[c]) for c in ("key", "huella", "ficha")]
+    fresh = embed(wanted.join(new, same, "left_semi"))
+    moved = wanted.drop("texto").join(other, ["key", "huella", "ficha"])
+    vectors = _rows(spark, path).select("key", F.col("lote").alias("_lote"), "embedding", "vector_de")
     moved = moved.join(vectors, ["key", "_lote"]).withColumn("borrado", F.lit(False))
     found = fresh.select(*fields[:5], *made_now).unionByName(moved.select(*fields))
     if not whole:
         return found
+    stored = _stored(spark, path)
     gone = stored.join(wanted.select("key"), "key", "left_anti").select("key", F.col("_huella").alias("huella"), F.col("_ficha").alias("ficha"))
     empty = {c: F.lit(None).cast(fresh.schema[c].dataType) for c in ("embedding", "metadata")}
     gone = gone.withColumns({**empty, "vector_de": F.lit(None).cast("int"), "borrado": F.lit(True)})
@@ -77,10 +100,21 @@ def refresh(documents: DataFrame, path: str, embed=embed_by_hashing, number: int
     """Adds the refresh after the newest one, or ``number``; False if it is there already. A repeated refresh of the same documents adds
     a folder without rows. Without ``whole`` nothing is taken out."""
     number = last_refresh(documents.sparkSession, path) + 1 if number is None else number
-    rows = changes(documents, path, number, embed, whole)
+    if exists(documents.sparkSession, f"{path}/lote={number}"):
+        return False
+    differ = differing(documents, path).persist() if number else None
+    try:
+        rows = changes(documents, path, number, embed, whole, differ, number > 0 and differ.count() <= BROADCAST_ROWS)
+        return put_once(_loaded(rows), path, f"lote={number}")
+    finally:
+        if differ is not None:
+            differ.unpersist()
+
+
+def _loaded(rows: DataFrame) -> DataFrame:
     place = F.monotonically_increasing_id()  # counts through a partition
     rows = rows.withColumn("_n", place).withColumn("carga", F.struct(F.shiftright("_n", 33).alias("parte"), F.floor((F.col("_n") % (1 << 33)) / LOAD_ROWS).alias("n")))
-    return put_once(rows.drop("_n"), path, f"lote={number}")
+    return rows.drop("_n")
 
 
 def loads(spark: SparkSession, path: str, number: int) -> DataFrame:

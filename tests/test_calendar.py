@@ -153,3 +153,25 @@ def test_new_files_are_indexed(spark, tmp_path):
     rows = {r["key"]: r["vector_de"] for r in index_store.read_index(spark, path).collect()}
     assert rows == {"a": 0, "b": 1, "c": 1, "d": 1}
     assert index_new_files(raw.limit(0), str(base), path, embed) == []
+
+
+def test_a_refresh_shuffles_no_unchanged_text(spark, tmp_path):
+    """Only prints meet the stored index; what differs is counted, and a few rows are broadcast to the texts."""
+    fields = "id string, texto string, dominio string, corte string, categoria_bloque string, tipo_registro string, es_futuro boolean, seccion string, concepto string, valor long"
+    rows = lambda *pairs: spark.createDataFrame([(k, text, domain, *[None] * 7) for k, text, domain in pairs], fields)
+    path, embed = str(tmp_path / "index"), lambda found: embed_by_hashing(found, dimension=8)
+    first = [("a", "uno", "CASA"), ("b", "dos", "CASA"), ("c", "tres", "CASA"), (None, "nada", "CASA")]
+    index_store.refresh(rows(*first), path, embed)
+    later = rows(("a", "uno", "CASA"), ("b", "otro", "CASA"), ("c", "tres", "AHORRO"), (None, "nada", "CASA"))
+    differ = index_store.differing(later, path)
+    assert "texto" not in differ.columns and {(r["key"], r["_nuevo"]) for r in differ.collect()} == {("b", True), ("c", False), (None, True)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        added = index_store.changes(later, path, 1, embed, whole=False, differ=differ, few=True)
+        plan = added._jdf.queryExecution().explainString(added.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        joins = [line for line in plan.splitlines() if "LeftSemi" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+        assert {(r["key"], r["vector_de"]) for r in added.collect()} == {("b", 1), ("c", 0), (None, 1)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
