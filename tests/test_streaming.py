@@ -8,6 +8,7 @@ from conftest import balances
 from quipu import default_config
 from quipu.operators import ingest
 from quipu.operators.ledger import consolidate
+from quipu.plans import stream_queries
 from quipu.schema import KEY
 from quipu.sources.changes import decode_changes, read_changes, stream_changes, undecodable
 from quipu.sources.orders import change_records
@@ -185,3 +186,29 @@ def test_insert_and_modify_of_one_movement_keep_their_order(spark, tmp_path, mod
         book = consolidate(rows.drop("event_id"), CONFIG).select(*KEY, "valor")
         found.add(tuple(sorted(map(str, book.collect()))))
     assert len(found) == 1
+
+
+def write_orders(spark, path, n=120):
+    """A small table of orders over four years in one file."""
+    k = F.col("id")
+    priority = F.element_at(F.array(*map(F.lit, ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"))), (k % 5 + 1).cast("int"))
+    day = F.timestamp_seconds(F.lit(788_918_400) + k * 86_400 * 11)
+    rows = spark.range(n).select(k.alias("o_orderkey"), (k * 7 % 13).alias("o_custkey"), (k * 3.5 + 1).alias("o_totalprice"), day.alias("o_orderdate"), priority.alias("o_orderpriority"))
+    rows.coalesce(1).write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("query, name, batches", [("change_modify", "change-modify", 4), ("stream_horizon", "stream-horizon", 3)])
+def test_no_task_writes_a_whole_batch(spark, tmp_path, monkeypatch, query, name, batches):
+    monkeypatch.setattr(stream_queries, "run_folder", lambda *_: f"{tmp_path}/{name}")
+    folder = write_orders(spark, tmp_path / "in")
+    found = getattr(stream_queries, query)(spark, folder).collect()
+    assert found and len(list((tmp_path / name / "changes").glob("*.json"))) > 2 * batches
+
+
+def test_messages_and_changes_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "run_folder", lambda _, name: f"{tmp_path}/{name}")
+    folder = write_orders(spark, tmp_path / "in")
+    for query, written, files in ((stream_queries.stream_ingest, "stream-ingest/messages", 3), (stream_queries.stream_ledger, "stream-ledger/changes", 4)):
+        assert query(spark, folder).count() > 0
+        assert len(list((tmp_path / written).glob("*.json"))) > 2 * files
