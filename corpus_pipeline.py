@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import group_join, mixing, packing, secret_scan, toxicity
-from quipu.llm.common import small_side, stored, table, whole_text
+from quipu.llm.common import small_side, stored, table, text_batches, whole_text
 from quipu.llm.queries import tokenizer_path
 
 
@@ -65,5 +65,6 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     """The last stage's rows. Every stage's result is written as Parquet to the shared folder and read again."""
     docs = table(spark, folder, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, folder), f"pipeline-{name}")
+        with text_batches(spark):
+            docs = stored(stage(spark, docs, folder), f"pipeline-{name}")
     return docs

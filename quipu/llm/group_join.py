@@ -17,10 +17,10 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipu.llm.common import discard, map_batches, small_side, stored, whole_text, with_package
+from quipu.llm.common import discard, map_batches, small_side, stored, text_batches, whole_text, with_package
 from quipu.llm.components import components
 
 WORDS = 5
@@ -175,6 +175,14 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(found.drop("n"), "shingle")
 
 
+def _shared_rare(rows: DataFrame) -> DataFrame:
+    """The same of rare shingles, which most often one class alone has: the rows are dealt and sorted once, and what a task holds doesn't
+    grow with the number of its shingles. Anchors are looked for among the rows that stay."""
+    alike = Window.partitionBy("shingle")
+    found = rows.withColumn("n", F.count("*").over(alike)).filter("n > 1").drop("n")
+    return found.withColumn("anchors", F.array(*[F.min_by("rep", rank).over(alike) for rank in _ranks()]))
+
+
 def _first_pairs(matter: DataFrame, sizes: DataFrame) -> DataFrame:
     """(a, b): every class and the anchor of each order that it shares most shingles with, a tenth of those that matter at least."""
     named = matter.select("rep", F.posexplode("anchors").alias("rank", "anchor")).filter("rep <> anchor")
@@ -191,7 +199,11 @@ def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN
     among them, are linked. A row without an id takes its class's component; alone it has none. An empty table gives an empty
     result. No link is left out, and no group of copies is expanded into pairs.
     """
-    docs = docs.select("doc_id", "text")
+    with text_batches(docs.sparkSession):
+        return _near_copies(docs.select("doc_id", "text"), sample, share)
+
+
+def _near_copies(docs: DataFrame, sample: int, share: float) -> DataFrame:
     sets = stored(_sets(docs, common_shingles(docs, sample, share)), "near-sets")
     rows = stored(sets.select("doc_id", "n_shingles", "class_key"), "near-rows")
     classes = rows.filter("n_shingles > 0").groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
@@ -199,10 +211,11 @@ def near_copies(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_SEEN
     whole = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(small_side(repeats), "class_key", "left")
     whole = whole.filter("rep IS NULL OR rep = doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", "rare", "often")
 
-    rare = whole.select("rep", F.posexplode("rare").alias("pos", "shingle")).repartition("shingle")
+    names = ["shingle", "rep", "pos", "anchors"]
+    rare = whole.select("rep", F.posexplode("rare").alias("pos", "shingle"))
     often = whole.select("rep", F.size("rare").alias("first"), F.posexplode("often").alias("pos", "shingle"))
     often = often.select("rep", (F.col("first") + F.col("pos")).alias("pos"), "shingle").distinct()
-    matter = stored(_shared(rare).unionByName(_shared(often)), "near-shared")
+    matter = stored(_shared_rare(rare).select(*names).unionByName(_shared(often).select(*names)), "near-shared")
     needed = stored(matter.select(F.col("rep").alias("doc_id")).distinct(), "near-needed")
     sizes = whole.select("rep", "n_shingles").join(needed.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     sizes = stored(sizes.distinct(), "near-sizes")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import map_batches, whole_text, with_package
+from quipu.llm.common import map_batches, text_batches, whole_text, with_package
 
 #: Labelled rows that the lexicon and the calibration see at most, together.
 TRAIN_ROWS = 15_000
@@ -210,7 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)) for k in range(4)]
     totals = counts.groupBy("token").agg(F.array(*kinds).alias("n"))
     # The empty token counts texts. Tokens too rare for any lexicon stay where they are.
-    found = totals.filter((F.col("n")[1] + F.col("n")[3] >= MIN_TEXTS) | (F.octet_length("token") == 0)).collect()
+    with text_batches(docs.sparkSession):
+        found = totals.filter((F.col("n")[1] + F.col("n")[3] >= MIN_TEXTS) | (F.octet_length("token") == 0)).collect()
     by = {bytes(r["token"]): list(r["n"]) for r in found}
     texts = by.pop(b"", [0, 0, 0, 0])
     if not texts[1] + texts[3] or not texts[0] + texts[2]:
@@ -229,7 +230,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 out.append((label, len(words), [i for i, _ in found], [x for _, x in found]))
             yield pd.DataFrame(out, columns=["label", "n", "places", "scores"])
 
-    rest = with_package(different).mapInPandas(hits, "label int, n long, places array<int>, scores array<double>").collect()
+    with text_batches(docs.sparkSession):
+        rest = with_package(different).mapInPandas(hits, "label int, n long, places array<int>, scores array<double>").collect()
     background: Counter = Counter(s for r in rest if r["label"] == 0 for s in r["scores"])
     scale, constant = _chance_law(background, sum(r["n"] for r in rest if r["label"] == 0), DRIFT)
     model = Model(lexicon, scale, constant)
