@@ -1,7 +1,7 @@
 """Near copies by shingle sets: a similarity join with a token-group matrix.
 
 Documents are sets of 5-word shingles. Equal sets are one class. Classes that share a rare shingle with an anchor and prove similar
-to it form groups, the others loose groups by family; the matrix holds, for every shingle that matters, the groups whose union has it. A
+to it form groups, the others are alone or, where many share their shingles, form loose groups by family; the matrix holds, for every shingle that matters, the groups whose union has it. A
 query opens only the groups whose overlap bound allows a similar member; members are compared on the whole sets, a part of a group at a
 time inside a task. "Shingles that matter" are the first n - ceil(0.8 n) + 1 of a set in one order for all documents: two sets with
 similarity 0.8 have one of them in common. The order puts shingles that many documents share last, so that common passages hardly ever
@@ -16,11 +16,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipu.llm.common import discard, map_batches, small_side, stored, text_batches, whole_text, with_package
+from quipu.llm.common import SMALL_ROWS, discard, map_batches, small_side, stored, text_batches, whole_text, with_package
 from quipu.llm.components import components
 
 WORDS = 5
@@ -36,6 +37,8 @@ COMMON_MOST = 2_000_000
 SHARE = 500
 #: Members of its family that a class is first compared with, at most.
 TRIES = 6
+#: A loose class whose shingles so many classes have, at most, is a group of its own.
+FEW = 64
 #: Classes that ask and classes that are asked in one part of a group, about.
 ASKING, ASKED = 256, 2048
 _CACHE = 200_000
@@ -120,8 +123,32 @@ def common_shingles(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE_
     return np.sort(counts.select("s").toPandas()["s"].to_numpy(np.int64).view(np.uint64))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes of the text and the text packed, so that a shuffle moves less of it."""
+
+    def pack(texts: list[str | None]) -> dict:
+        codec = pa.Codec("zstd", 1)
+        raw = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+        return {"n_bytes": [len(t) for t in raw], "packed": [codec.compress(t, asbytes=True) for t in raw]}
+
+    return map_batches(docs, ["text"], ["doc_id"], "n_bytes int, packed binary", pack)
+
+
+def _unpacked(n_bytes: int, packed: bytes) -> str:
+    return pa.Codec("zstd").decompress(packed, n_bytes, asbytes=True).decode("utf-8", "surrogatepass")
+
+
+def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """doc_id, n_bytes and packed, once for every needed id. Where the needed ids are too many to be broadcast, texts are packed first."""
+    if needed.count() <= SMALL_ROWS:
+        found = _packed(docs.join(F.broadcast(needed), "doc_id", "left_semi"))
+    else:
+        found = _packed(docs).join(needed, "doc_id", "left_semi")
+    return found.groupBy("doc_id").agg(F.first(F.struct("n_bytes", "packed")).alias("text")).select("doc_id", "text.n_bytes", "text.packed")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFrame:
-    """pairs (a, b) whose sets are similar. texts: doc_id, text of every id in pairs; families: rep, family.
+    """pairs (a, b) whose sets are similar. texts: doc_id, n_bytes, packed of every id in pairs; families: rep, family.
 
     A class is a in few pairs; it may be b in many. Pairs are dealt by their two families, so that a text goes to few places; a large
     pair of families is cut into parts of about SHARE pairs by a, each with the texts that it names.
@@ -135,20 +162,23 @@ def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFra
     dealt = keyed.join(small_side(parts), ["lo", "hi"], "left").select("a", "b", "lo", "hi", part.alias("part"))
     keyed, spent = stored(dealt, "near-dealt"), (keyed, parts)
     discard(*spent)
-    named = keyed.select("lo", "hi", "part", F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(texts, "doc_id")
-    none = F.lit(None).cast("string")
-    rows = named.select("lo", "hi", "part", F.lit(0).alias("role"), F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "text")
-    rows = rows.unionByName(keyed.select("lo", "hi", "part", F.lit(1).alias("role"), "a", "b", none.alias("text")))
+    names = stored(keyed.select("lo", "hi", "part", F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-named")
+    named = small_side(names).join(texts, "doc_id")
+    none = [F.lit(None).cast("int").alias("n_bytes"), F.lit(None).cast("binary").alias("packed")]
+    rows = named.select("lo", "hi", "part", F.lit(0).alias("role"), F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "n_bytes", "packed")
+    rows = rows.unionByName(keyed.select("lo", "hi", "part", F.lit(1).alias("role"), "a", "b", *none))
+
+    columns = rows.columns
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets, of = {}, None
         for batch in batches:
             out = []
-            for *key, role, a, b, text in zip(*[batch[c] for c in ("lo", "hi", "part", "role", "a", "b", "text")], strict=True):
+            for *key, role, a, b, size, packed in zip(*[batch[c] for c in columns], strict=True):
                 if key != of:
                     sets, of = {}, key
                 if role == 0:
-                    sets[a] = shingles(text)
+                    sets[a] = shingles(_unpacked(int(size), packed))
                     continue
                 x, y = sets[a], sets[b]
                 both = len(np.intersect1d(x, y, assume_unique=True))
@@ -158,7 +188,7 @@ def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFra
 
     rows = with_package(rows).repartition("lo", "hi", "part").sortWithinPartitions("lo", "hi", "part", "role")
     links = stored(rows.mapInPandas(test, "a long, b long"), "near-links")
-    discard(keyed)
+    discard(keyed, names)
     return links
 
 
@@ -168,18 +198,18 @@ def _ranks() -> list[Column]:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """rows (shingle, rep) of shingles that two or more have, with their anchors. Where many classes share most of their shingles, these
-    name the same few of them."""
+    """rows (shingle, rep) of shingles that two or more (holders) have, with their anchors. Where many classes share most of their
+    shingles, these name the same few of them."""
     first = [F.min_by("rep", rank) for rank in _ranks()]
-    found = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.array(*first).alias("anchors")).filter("n > 1")
-    return rows.join(found.drop("n"), "shingle")
+    found = rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.array(*first).alias("anchors")).filter("holders > 1")
+    return rows.join(found, "shingle")
 
 
 def _shared_rare(rows: DataFrame) -> DataFrame:
     """The same of rare shingles, which most often one class alone has: the rows are dealt and sorted once, and what a task holds doesn't
     grow with the number of its shingles. Anchors are looked for among the rows that stay."""
     alike = Window.partitionBy("shingle")
-    found = rows.withColumn("n", F.count("*").over(alike)).filter("n > 1").drop("n")
+    found = rows.withColumn("holders", F.count("*").over(alike)).filter("holders > 1")
     return found.withColumn("anchors", F.array(*[F.min_by("rep", rank).over(alike) for rank in _ranks()]))
 
 
@@ -211,7 +241,7 @@ def _near_copies(docs: DataFrame, sample: int, share: float) -> DataFrame:
     whole = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(small_side(repeats), "class_key", "left")
     whole = whole.filter("rep IS NULL OR rep = doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", "rare", "often")
 
-    names = ["shingle", "rep", "pos", "anchors"]
+    names = ["shingle", "rep", "pos", "holders", "anchors"]
     rare = whole.select("rep", F.posexplode("rare").alias("pos", "shingle"))
     often = whole.select("rep", F.size("rare").alias("first"), F.posexplode("often").alias("pos", "shingle"))
     often = often.select("rep", (F.col("first") + F.col("pos")).alias("pos"), "shingle").distinct()
@@ -220,11 +250,12 @@ def _near_copies(docs: DataFrame, sample: int, share: float) -> DataFrame:
     sizes = whole.select("rep", "n_shingles").join(needed.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     sizes = stored(sizes.distinct(), "near-sizes")
     discard(sets)
-    families = stored(matter.groupBy("rep").agg(F.min(F.get("anchors", F.lit(0))).alias("family")), "near-families")
-    texts = docs.join(small_side(needed), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
-    texts = stored(texts, "near-texts")
+    families = matter.groupBy("rep").agg(F.min(F.get("anchors", F.lit(0))).alias("family"), F.max("holders").alias("holders"))
+    families = stored(families, "near-families")
+    texts = stored(_texts(docs, needed), "near-texts")
 
-    # Groups: classes that prove similar to an anchor; the others by family. Any grouping will do: what it leaves out is found below.
+    # Groups: classes that prove similar to an anchor; the others alone or by family. Any grouping will do: what it leaves out is found
+    # below.
     pairs = stored(_first_pairs(matter, sizes), "near-pairs")
     links = [verified(pairs, texts, families)]
     labels = components(links[0])
@@ -243,10 +274,12 @@ def _union(tables: list[DataFrame]) -> DataFrame:
 
 
 def _groups(sizes: DataFrame, labels: DataFrame, families: DataFrame) -> DataFrame:
-    """rep, n (its size), team, loose and weight (by which groups are ordered: classes, then number). Linked classes are a group; classes
-    without a link are one with the others of their family, a loose one."""
+    """rep, n (its size), team, loose and weight (by which groups are ordered: classes, then number). Linked classes are a group. A class
+    without a link is a loose one alone, so that it is asked by no more classes than its own size and overlap allow; where more than FEW
+    have one of its shingles, it is in a loose group with others of its family, and rows don't grow with the square of the holders."""
     found = sizes.join(labels, F.col("rep") == F.col("node"), "left").join(families, "rep")
-    team = F.struct(F.col("label").isNull().alias("loose"), F.coalesce("label", "family").alias("number"))
+    loose = F.when(F.col("holders") <= FEW, F.col("rep")).otherwise(F.col("family"))
+    team = F.struct(F.col("label").isNull().alias("loose"), F.coalesce("label", loose).alias("number"))
     teams = stored(found.select("rep", F.col("n_shingles").alias("n"), team.alias("team")), "near-teams")
     weights = stored(teams.groupBy("team").agg(F.count("*").alias("classes")).filter("classes > 1"), "near-weights")
     weight = F.struct(F.coalesce("classes", F.lit(1)).alias("classes"), "team")
@@ -301,7 +334,7 @@ def _compared(asks: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame
     count = lambda c, each: F.greatest(F.ceil(F.count_if(c) / each), F.lit(1)).cast("int").alias(c)
     parts = both.groupBy("team").agg(count("asks", ASKING), count("member", ASKED)).filter("asks > 1 OR member > 1")
     parts = stored(parts.select("team", F.col("asks").alias("askers"), F.col("member").alias("members")), "near-parts")
-    rows = both.join(small_side(parts), "team", "left").join(texts, "doc_id")
+    rows = small_side(stored(both.join(small_side(parts), "team", "left"), "near-cut")).join(texts, "doc_id")
     own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cell = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
@@ -312,25 +345,27 @@ def _compared(asks: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame
         F.when(F.col("asks"), F.transform(every("members"), lambda j: cell(own("askers"), j, _ASKS))).otherwise(no),
         F.when(F.col("member"), F.transform(every("askers"), lambda i: cell(i, own("members"), _ASKED))).otherwise(no),
     )
-    rows = rows.select("team", "doc_id", "text", F.inline(F.when(F.col("askers").isNull(), alone).otherwise(spread)))
+    rows = rows.select("team", "doc_id", "n_bytes", "packed", F.inline(F.when(F.col("askers").isNull(), alone).otherwise(spread)))
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, of = Block(), None
         for batch in batches:
             out = []
-            for *key, role, doc, text in zip(*[batch[c] for c in ("loose", "number", "i", "j", "role", "doc_id", "text")], strict=True):
+            for *key, role, doc, size, packed in zip(*[batch[c] for c in names], strict=True):
                 if key != of:
                     out += block.among()
                     block, of = Block(), key
+                found = shingles(_unpacked(size, packed))
                 if role == _ASKED:
-                    out += [(doc, other) for other in block.linked(shingles(text)) if other != doc]
+                    out += [(doc, other) for other in block.linked(found) if other != doc]
                 else:
-                    block.add(doc, shingles(text), role == _BOTH)
+                    block.add(doc, found, role == _BOTH)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
         yield pd.DataFrame(block.among(), columns=["a", "b"], dtype="int64")
 
-    rows = with_package(rows).select("team.loose", "team.number", "i", "j", "role", "doc_id", "text")
     keys = ["loose", "number", "i", "j"]
+    names = [*keys, "role", "doc_id", "n_bytes", "packed"]
+    rows = with_package(rows).select("team.*", *[c for c in names if c not in ("loose", "number")])
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "role")
     links = stored(rows.mapInPandas(test, "a long, b long").distinct(), "near-links")
     discard(both, parts)
