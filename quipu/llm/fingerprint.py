@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import bound, cut_batch, map_batches, stored, whole_text, with_package
+from quipu.llm.common import bound, cut_batch, map_batches, no_rows, stored, whole_text, with_package
 from quipu.scratch import run_folder
 
 SLOTS = 128
@@ -212,7 +212,7 @@ def _searched(rows: DataFrame, queries: DataFrame, used: list[str], made: str, f
     """
     spark = rows.sparkSession
     folder = run_folder(spark, "fingerprint-found")
-    spark.createDataFrame([], made).write.mode("append").parquet(folder)
+    no_rows(spark, made).write.mode("append").parquet(folder)
     blocks = -(-queries.count() // block)
     for b in range(blocks):
         held = queries.filter(F.pmod(F.xxhash64("fingerprint"), F.lit(blocks)) == b).collect()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipu.llm.common import SMALL_ROWS, discard, map_batches, small_side, stored, text_batches, whole_text, with_package
+from quipu.llm.common import KEPT, SMALL_ROWS, discard, lean, map_batches, small_side, stored, text_batches, whole_text, with_package
 from quipu.llm.components import components
 
 WORDS = 5
@@ -43,7 +43,7 @@ FEW = 64
 ASKING, ASKED = 256, 2048
 _CACHE = 200_000
 _FACTORS = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
-_HASHES: dict[bytes, int] = {}
+_HASHES: dict[bytes, int] = KEPT.setdefault("hashes", {})
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -187,7 +187,7 @@ def verified(pairs: DataFrame, texts: DataFrame, families: DataFrame) -> DataFra
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     rows = with_package(rows).repartition("lo", "hi", "part").sortWithinPartitions("lo", "hi", "part", "role")
-    links = stored(rows.mapInPandas(test, "a long, b long"), "near-links")
+    links = stored(rows.mapInPandas(lean(test), "a long, b long"), "near-links")
     discard(keyed, names)
     return links
 
@@ -367,7 +367,7 @@ def _compared(asks: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame
     names = [*keys, "role", "doc_id", "n_bytes", "packed"]
     rows = with_package(rows).select("team.*", *[c for c in names if c not in ("loose", "number")])
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "role")
-    links = stored(rows.mapInPandas(test, "a long, b long").distinct(), "near-links")
+    links = stored(rows.mapInPandas(lean(test), "a long, b long").distinct(), "near-links")
     discard(both, parts)
     return links
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.llm.columns import kept_apart
-from quipu.llm.common import map_batches, stored
+from quipu.llm.common import KEPT, map_batches, stored
 
 SIZE = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -70,7 +70,7 @@ class Encoder:
         return b"".join([w if (w := known(x)) is not None else self._word(x) for x in text.lower().split()])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = KEPT.setdefault("encoders", {})
 
 
 def _encoder(path: str) -> Encoder:
@@ -98,7 +98,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = 0) -> D
 
     def cut_rows(rows: DataFrame) -> DataFrame:
         kept = [c for c in rows.columns if c != "text"]
-        return map_batches(rows, ["text"], kept, "piece int, start long, length long, ids_crc32 long", cut)
+        return map_batches(rows, ["text"], kept, "piece int, start long, length long, ids_crc32 long", cut, keeps="encoders")
 
     return kept_apart(docs, ["text"], cut_rows)
 

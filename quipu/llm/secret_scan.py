@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quipu.functions.once import with_columns_once
 from quipu.llm.columns import kept_apart
-from quipu.llm.common import bound, ranked, small_side, span_text, spans, stored, whole_text
+from quipu.llm.common import bound, no_rows, ranked, small_side, span_text, spans, stored, whole_text
 from quipu.scratch import run_folder
 
 
@@ -78,7 +78,7 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: list[Rule] = RUL
 def _scanned(versions: DataFrame, ledger: str | None, rules: list[Rule], path: str, text: str) -> DataFrame:
     spark = versions.sparkSession
     folder = ledger or run_folder(spark, "secret-ledger")
-    spark.createDataFrame([], f"blob binary, rule string, findings array<{_FINDING}>").write.mode("append").parquet(folder)
+    no_rows(spark, f"blob binary, rule string, findings array<{_FINDING}>").write.mode("append").parquet(folder)
     known = spark.read.parquet(folder)
     keyed = with_columns_once(versions, {"__text": whole_text(text)})
     keyed = with_columns_once(keyed, {"blob": F.unhex(F.sha2(F.col("__text"), 256))})

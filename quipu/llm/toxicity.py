@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import map_batches, text_batches, whole_text, with_package
+from quipu.llm.common import lean, map_batches, text_batches, whole_text, with_package
 
 #: Labelled rows that the lexicon and the calibration see at most, together.
 TRAIN_ROWS = 15_000
@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     label = F.col("label").cast("int")
     different = sample.groupBy("text").agg(F.min(label).alias("label"), F.max(label).alias("__hi"), F.min_by("half", "doc_id").alias("half"))
     different = different.filter("label = __hi").drop("__hi")
-    counts = with_package(different).mapInPandas(count, "token binary, kind int, n long")
+    counts = with_package(different).mapInPandas(lean(count), "token binary, kind int, n long")
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)) for k in range(4)]
     totals = counts.groupBy("token").agg(F.array(*kinds).alias("n"))
     # The empty token counts texts. Tokens too rare for any lexicon stay where they are.
@@ -231,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             yield pd.DataFrame(out, columns=["label", "n", "places", "scores"])
 
     with text_batches(docs.sparkSession):
-        rest = with_package(different).mapInPandas(hits, "label int, n long, places array<int>, scores array<double>").collect()
+        rest = with_package(different).mapInPandas(lean(hits), "label int, n long, places array<int>, scores array<double>").collect()
     background: Counter = Counter(s for r in rest if r["label"] == 0 for s in r["scores"])
     scale, constant = _chance_law(background, sum(r["n"] for r in rest if r["label"] == 0), DRIFT)
     model = Model(lexicon, scale, constant)
