@@ -212,3 +212,19 @@ def test_messages_and_changes_are_written_by_many_tasks(spark, tmp_path, monkeyp
     for query, written, files in ((stream_queries.stream_ingest, "stream-ingest/messages", 3), (stream_queries.stream_ledger, "stream-ledger/changes", 4)):
         assert query(spark, folder).count() > 0
         assert len(list((tmp_path / written).glob("*.json"))) > 2 * files
+
+
+def test_messages_are_not_cached(spark, tmp_path, monkeypatch):
+    root, plain, cached = f"{tmp_path}/stream-postings", stream_queries.ingest_stream, []
+    monkeypatch.setattr(stream_queries, "run_folder", lambda *_: root)
+    ours = set(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def watched(*args, **options):
+        cached.append(set(spark.sparkContext._jsc.getPersistentRDDs()) - ours)
+        return plain(*args, **options)
+
+    monkeypatch.setattr(stream_queries, "ingest_stream", watched)
+    assert stream_queries.stream_postings(spark, write_orders(spark, tmp_path / "in")).count() > 0
+    assert cached[0] == set()
+    sent = spark.read.json(f"{root}/messages").groupBy("detail_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("raw").alias("each"))
+    assert sorted((r["n"], r["each"]) for r in sent.collect()) == [(120, 120), (120, 120), (240, 120)]
