@@ -9,7 +9,7 @@ from quipu import default_config
 from quipu.operators import ingest
 from quipu.operators.ledger import consolidate
 from quipu.plans import stream_queries
-from quipu.schema import KEY
+from quipu.schema import CHANGE, KEY
 from quipu.sources.changes import decode_changes, read_changes, stream_changes, undecodable
 from quipu.sources.orders import change_records
 from quipu.sources.snapshots import last_batch, read_ledger
@@ -214,6 +214,26 @@ def test_messages_and_changes_are_written_by_many_tasks(spark, tmp_path, monkeyp
         assert len(list((tmp_path / written).glob("*.json"))) > 2 * files
 
 
+def test_a_batch_of_changes_goes_once_both_streams_have_it(spark, tmp_path, monkeypatch):
+    root, plain, held = f"{tmp_path}/change-modify", stream_queries.balance_stream, []
+    monkeypatch.setattr(stream_queries, "run_folder", lambda *_: root)
+
+    def watched(changes, config, path, *args, modify, **options):
+        assert options["unload"]
+        held.append((modify, read_changes(spark, f"{root}/changes").collect()))
+        return plain(changes, config, path, *args, modify=modify, **options)
+
+    monkeypatch.setattr(stream_queries, "balance_stream", watched)
+    found = stream_queries.change_modify(spark, write_orders(spark, tmp_path / "in")).collect()
+    for modify in ("readd", "delta"):
+        batches = [rows for of, rows in held if of == modify]
+        ids = [r["eventID"] for rows in batches for r in rows]
+        assert len(batches) == 4 and all(batches) and len(ids) == len(set(ids))
+        every = spark.createDataFrame([r for rows in batches for r in rows], CHANGE)
+        book = consolidate(decode_changes(every, modify).drop("event_id"), CONFIG).select(*KEY, "valor").collect()
+        assert sorted(map(str, [(*r[:-1], int(r[-1])) for r in book])) == sorted(str((*[r[c] for c in KEY], r["valor"])) for r in found if r["modo"] == modify)
+
+
 def test_messages_are_not_cached(spark, tmp_path, monkeypatch):
     root, plain, cached = f"{tmp_path}/stream-postings", stream_queries.ingest_stream, []
     monkeypatch.setattr(stream_queries, "run_folder", lambda *_: root)
