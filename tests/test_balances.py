@@ -3,6 +3,7 @@
 import dataclasses
 import datetime as dt
 import json
+import pickle
 import random
 
 import numpy as np
@@ -20,6 +21,7 @@ from quipu.sources import snapshots
 from quipu.sources.changes import stream_changes
 from quipu.sources.orders import change_records
 from quipu.sources.snapshots import latest, read_ledger, write_ledger
+from quipu.streaming import balances as stream
 from quipu.streaming.balances import Steps, balance_stream, packed_steps, partial_sums, read_balances, read_state, refused_stream
 from quipu.streaming.jobs import apply_batch
 from test_ledger import as_book, frame, random_rows
@@ -229,3 +231,11 @@ def test_steps_of_a_key_travel_packed(spark):
         assert found[1] == list(range(41)) and found[0] == sorted(found[0])
         assert found[0][0] == "\x01\x02t\x01\x02s\x01\x0204611686018427387905\x01\x0204611686018427387904"
         assert found[0][1].startswith("\x022026-04-01 00:00:00.000000\x01\x01")
+
+
+def test_packed_steps_are_compressed_and_plain_ones_still_read():
+    orders = [f"1998-07-01 00:00:00\x02\x01{k:020d}\x02\x01{k:040d}#INSERT-{k}-HistoriaCuentasAltoRendimiento_modules_IAC\x02" for k in range(1000)]
+    columns = (orders, list(range(1000)), [True] * 1000, [False] * 1000, [None] * 1000, ["BDO"] * 1000)
+    plain = pickle.dumps(columns)
+    assert 4 * len(stream._dumped(columns)) < len(plain)
+    assert stream._loaded(stream._dumped(columns)) == stream._loaded(plain) == columns
